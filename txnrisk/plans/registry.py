@@ -682,3 +682,159 @@ select count(*) filter (predicted_fraud = 1) as model_flags, count(*) filter (an
   count(*) filter (predicted_fraud = 1 and anomaly_flag = 1) as both_signals from scored""")
 def signal_counts(spark, sf_dir):
     return S.signal_counts(scored(spark, sf_dir))
+
+
+# ------------------------------------------------------------- features and models
+
+from txnrisk.functions import features as FT  # noqa: E402
+from txnrisk.operators import diagnostics as D  # noqa: E402
+from txnrisk.operators import models as MD  # noqa: E402
+from txnrisk.operators.iforest import IsolationForest  # noqa: E402
+from txnrisk.operators.preprocess import Preprocess  # noqa: E402
+
+# DuckDB has no log1p; everything else reads the same in both dialects.
+_FEATURES_SQL = """select txn_id, txn_ts, label, split, amount, is_intl, category, method, device, location,
+  sin(2 * pi() * (hour(txn_ts) + minute(txn_ts) / 60.0) / 24) as hour_sin, cos(2 * pi() * (hour(txn_ts) + minute(txn_ts) / 60.0) / 24) as hour_cos,
+  sin(2 * pi() * (isodow(txn_ts) - 1) / 7) as weekday_sin, cos(2 * pi() * (isodow(txn_ts) - 1) / 7) as weekday_cos,
+  case when isodow(txn_ts) >= 6 then 1.0 else 0.0 end as is_weekend, ln(1 + amount) as log_amount,
+  previous_txns, average_spend, account_age_days, ln(1 + average_spend) as log_average_spend,
+  amount / nullif(average_spend, 0) as amount_to_average, amount - average_spend as amount_minus_average,
+  ln(1 + account_age_days) as log_account_age, ln(1 + previous_txns) as log_previous_txns"""
+_NUMS = FT.numeric_features(True)
+_PLAIN_NUMS = FT.numeric_features(False)
+
+
+def gappy(df: DataFrame) -> DataFrame:
+    """Transactions with planted gaps: amounts, flags and categories missing by key."""
+    k = F.col("txn_id")
+    return df.withColumns({
+        "amount": F.when(k % 41 != 0, F.col("amount")),
+        "is_intl": F.when(k % 43 != 0, F.col("is_intl")),
+        "category": F.when(k % 47 != 0, F.col("category")).otherwise(F.lit("  ")),
+    })
+
+
+_GAPPY = O.SPLIT + """,
+gap as (select * replace (case when txn_id % 41 <> 0 then amount end as amount, case when txn_id % 43 <> 0 then is_intl end as is_intl,
+  case when txn_id % 47 <> 0 then category end as category) from sp),
+ft as (""" + _FEATURES_SQL + " from gap)"
+
+
+@query("features_row", "with " + _GAPPY + " select txn_id, " + ", ".join(
+    f"round({c}, 6) + 0.0 as {c}" for c in _NUMS) + ", category, method, device, location from ft")
+def features_row(spark, sf_dir):
+    rows = gappy(T.transactions(spark, sf_dir))
+    exprs = FT.feature_sql(include_history=True)
+    out = rows.select("txn_id", *[F.expr(e).alias(n) for n, e in exprs.items()])
+    return rounded(out, 6)
+
+
+@query("features_imputed_scaled", "with " + _GAPPY + ", md as (select " + ", ".join(
+    f"median({c}) as {c}" for c in _PLAIN_NUMS) + " from ft where split = 'train'), im as (select txn_id, split, " + ", ".join(
+    f"coalesce(ft.{c}, md.{c}) as {c}" for c in _PLAIN_NUMS) + """,
+  case when ft.amount is null then 1.0 else 0.0 end as gap_amount, case when ft.is_intl is null then 1.0 else 0.0 end as gap_is_intl,
+  case when ft.log_amount is null then 1.0 else 0.0 end as gap_log_amount from ft, md),
+st as (select """ + ", ".join(f"avg({c}) as a_{c}, stddev_pop({c}) as s_{c}" for c in _PLAIN_NUMS + ["gap_amount", "gap_is_intl", "gap_log_amount"])
+       + " from im where split = 'train') select txn_id, " + ", ".join(
+    f"round(({c} - a_{c}) / case when s_{c} = 0 then 1 else s_{c} end, 6) + 0.0 as {c}" for c in _PLAIN_NUMS + ["gap_amount", "gap_is_intl", "gap_log_amount"])
+       + " from im, st")
+def features_imputed_scaled(spark, sf_dir):
+    txn, cuts = split_txn(spark, sf_dir)
+    rows = gappy(txn)
+    model = Preprocess(scale=True).fit(rows.where(cuts.condition("train")))
+    out = model.transform(rows)
+    names = {f"p_{n}": n for n in _PLAIN_NUMS} | {f"m_{n}": f"gap_{n}" for n in ("amount", "is_intl", "log_amount")}
+    return rounded(out.select("txn_id", *[F.col(c).alias(n) for c, n in names.items()]), 6)
+
+
+_CATS = FT.categorical_features(False)
+
+
+@query("features_onehot", "with " + _GAPPY + ", unk as (select txn_id, split, " + ", ".join(
+    f"coalesce({c}, 'Unknown') as {c}" for c in _CATS) + " from ft), rare as (select * replace (case when txn_id % 53 = 0 and split <> 'train' then 'Never seen' else location end as location) from unk) select txn_id, " + ", ".join(
+    f"coalesce((select r from (select v, row_number() over (order by v) - 1 as r from (select distinct {c} as v from rare where split = 'train')) d where d.v = rare.{c}), -1) as {c}"
+    for c in _CATS) + " from rare")
+def features_onehot(spark, sf_dir):
+    """Position of the one in each category's block; -1 where the block is all zeros."""
+    from pyspark.ml.functions import vector_to_array
+
+    txn, cuts = split_txn(spark, sf_dir)
+    rows = SP.with_split(gappy(txn), cuts).withColumn(
+        "location", F.when((F.col("txn_id") % 53 == 0) & (F.col("split") != "train"), "Never seen").otherwise(F.col("location"))
+    )
+    out = Preprocess().fit(rows.where(cuts.condition("train"))).transform(rows)
+    place = {c: F.array_position(vector_to_array(f"o_{c}"), 1.0) for c in _CATS}
+    return out.select("txn_id", *[(p - 1).alias(c) for c, p in place.items()])
+
+
+@query("class_weights", "with " + O.SPLIT + """
+select label, count(*) as n, round(sum(count(*)) over () / (2 * count(*)), 9) as weight from sp where split = 'train' group by label""")
+def class_weights(spark, sf_dir):
+    txn, cuts = split_txn(spark, sf_dir)
+    return rounded(MD.class_weights(txn.where(cuts.condition("train"))))
+
+
+# Fixed coefficients, so that scoring itself has an exact expected result.
+_COEF = {"log_amount": 0.31, "is_intl": 0.45, "hour_sin": -0.2, "hour_cos": 0.15, "is_weekend": 0.1}
+_BASE = -5.0
+_METHOD_COEF = {"1-URGENT": 1.2, "2-HIGH": -0.3}
+
+
+@query("fixed_coeff_score", "with " + _GAPPY + ", z as (select *, -5.0 + " + " + ".join(
+    f"{w} * coalesce({c}, 0)" for c, w in _COEF.items()) + """ + case method when '1-URGENT' then 1.2 when '2-HIGH' then -0.3 else 0.0 end as z from ft),
+s as (select txn_id, 1 / (1 + exp(-z)) as fraud_score, cast((txn_id * 104729) % 1009 as double) / 1009 as anomaly_score from z)
+select txn_id, round(fraud_score, 9) as fraud_score, cast(fraud_score >= 0.3 as int) as predicted_fraud,
+  round(anomaly_score, 9) as anomaly_score, cast(anomaly_score >= 0.9 as int) as anomaly_flag,
+  case when fraud_score >= 0.3 then 'Model review' when anomaly_score >= 0.9 then 'Anomaly review' else 'Lower score' end as review_status from s""")
+def fixed_coeff_score(spark, sf_dir):
+    rows = S.conform(gappy(T.transactions(spark, sf_dir)))
+    exprs = FT.feature_sql()
+    z = F.lit(_BASE)
+    for name, w in _COEF.items():
+        z = z + F.lit(w) * F.coalesce(F.expr(exprs[name]), F.lit(0.0))
+    bonus = F.lit(0.0)
+    for value, w in _METHOD_COEF.items():
+        bonus = F.when(F.col("method") == value, w).otherwise(bonus)
+    out = rows.select(
+        "txn_id", (1 / (1 + F.exp(-(z + bonus)))).alias("fraud_score"),
+        ((F.col("txn_id") * 104729 % 1009).cast("double") / 1009).alias("anomaly_score"),
+    )
+    return rounded(S.with_flags(out, 0.3, 0.9))
+
+
+def _parts(spark, sf_dir):
+    txn, cuts = split_txn(spark, sf_dir)
+    return txn.where(cuts.condition("train")), txn.where(cuts.condition("validation")), txn.where(cuts.condition("test"))
+
+
+for _name, _family in {"lr": "Logistic Regression", "tree": "Decision Tree", "rf": "Random Forest", "gbt": "Histogram Gradient Boosting"}.items():
+    def _scores(spark, sf_dir, family=_family):
+        train, _, test = _parts(spark, sf_dir)
+        fit, scale = MD.FAMILIES[family]
+        return MD.score(MD.fit_candidate(train, MD.Candidate(fit, scale)), test, "score").select("txn_id", "label", "score")
+
+    query(f"{_name}_scores")(_scores)
+
+
+@query("iforest_scores")
+def iforest_scores(spark, sf_dir):
+    train, _, test = _parts(spark, sf_dir)
+    return IsolationForest.fit(train).score(test).select("txn_id", "label", "anomaly_score")
+
+
+@query("bootstrap_ci")
+def bootstrap_ci(spark, sf_dir):
+    return D.grouped_bootstrap(test_scores(spark, sf_dir), FLAG_AT)
+
+
+@query("sensitivity")
+def sensitivity(spark, sf_dir):
+    train, val, _ = _parts(spark, sf_dir)
+    return D.sensitivity(train, val, MD.candidates()["Logistic Regression (unweighted)"])
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    train, val, _ = _parts(spark, sf_dir)
+    model = MD.fit_candidate(train, MD.candidates()["Logistic Regression (unweighted)"])
+    return D.permutation_importance(lambda df: MD.score(model, df, "score"), val)
