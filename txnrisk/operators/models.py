@@ -102,8 +102,7 @@ def fit_estimator(
     if balanced:
         table = table.withColumn(WEIGHT, weight_column(train.select(F.col(label).alias("label"))))
     rows = train.count()
-    # Solvers pass over this table many times: one shuffle evens it out over all cores.
-    table = table.repartition(max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_PARTITION)))
+    table = table.repartition(_partitions(spark, rows))
     estimator = (family if isinstance(family, Estimator) else family(rows)).copy()
     estimator.setFeaturesCol("features").setLabelCol("label")
     if balanced:
@@ -111,6 +110,16 @@ def fit_estimator(
     return PipelineModel([*ready.stages, estimator.fit(table)])
 
 
+def _partitions(spark: SparkSession, rows: int) -> int:
+    """Solvers pass over the training table many times, so one shuffle evens it out first.
+
+    Small tables get few partitions (tasks would cost more than rows), large ones at
+    least one per core and never more than ``ROWS_PER_PARTITION`` rows each.
+    """
+    few = min(spark.sparkContext.defaultParallelism, -(-rows // 25_000))
+    return max(1, few, -(-rows // ROWS_PER_PARTITION))
+
+
 def fit_candidate(train: DataFrame, candidate: Candidate, include_history: bool = False, include_keyword: bool = False) -> PipelineModel:
     pre = Preprocess(candidate.scale, include_history, include_keyword)
     return fit_estimator(train, candidate.family, pre, candidate.balanced)

@@ -838,3 +838,44 @@ def permutation_importance(spark, sf_dir):
     train, val, _ = _parts(spark, sf_dir)
     model = MD.fit_candidate(train, MD.candidates()["Logistic Regression (unweighted)"])
     return D.permutation_importance(lambda df: MD.score(model, df, "score"), val)
+
+
+@query("candidate_comparison")
+def candidate_comparison(spark, sf_dir):
+    """Logistic regression and tree, both weightings, the dummy and the forest, on both held-out parts."""
+    from txnrisk.plans import training as TR
+    from txnrisk.session import stage
+
+    txn, cuts = split_txn(spark, sf_dir)
+    train = txn.where(cuts.condition("train"))
+    names = [n for n in MD.candidates() if n.startswith(("Logistic", "Decision"))]
+    fitted = TR.fit_all(train, names)
+    forest = IsolationForest.fit(train, trees=50)
+    cutoff = K.exact_quantiles(forest.score(train).select("anomaly_score"), {"a": (F.col("anomaly_score"), [0.9])})["a"][0]
+    prior = float(train.agg(F.avg("label")).first()[0])
+    kinds = {**{n: "supervised" for n in fitted}, TR.ANOMALY: "unsupervised"}
+    parts = SP.with_split(txn, cuts).where(F.col("split") != "train")
+    scores = stage(TR.score_all({**fitted, TR.ANOMALY: forest}, kinds, parts, prior), "model-scores")
+    return M.compare(scores, fixed={TR.ANOMALY: cutoff}, models=len(kinds) + 1)
+
+
+# ------------------------------------------------------------------------ streaming
+
+@query("stream_trend_closed_days", """with e as (select ts, value, case when cast(json_extract_string(props, '$.k') as int) < 10 then 1 else 0 end as label from events),
+d as (select date_trunc('day', ts) as p, count(*) as transactions, cast(sum(label) as bigint) as positives, round(sum(value), 2) as amount,
+  round(sum(label) / count(*) * 100, 9) as rate_percent from e group by 1)
+select strftime(p, '%Y-%m-%d %H:%M:%S') as period, transactions, positives, amount, rate_percent from d
+where p + interval 1 day <= (select max(ts) from e) - interval 2 day""")
+def stream_trend_closed_days(spark, sf_dir):
+    """The event table as a stream; only days the watermark has closed are emitted."""
+    from txnrisk.session import working_path
+    from txnrisk.streaming import jobs as J
+
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+    schema = T.table(spark, sf_dir, "events").schema
+    # A file source takes a folder or a pattern; the brackets make the one file a pattern.
+    raw = J.read_stream(spark, f"{sf_dir}/event[s].parquet", schema)
+    out = working_path(spark, "stream-trend")
+    J.write_table_stream(J.live_trend(T.as_events(raw), "1 day", "2 days"), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    rows = spark.read.parquet(f"{out}/table")
+    return rounded(dated(rows.withColumn("amount", F.round("amount", 2)), "period"), skip=("amount",))

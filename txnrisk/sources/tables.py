@@ -49,8 +49,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_events(table(spark, sf_dir, "events"))
+
+
+def as_events(raw: DataFrame) -> DataFrame:
+    """Event rows (batch or stream) as transactions."""
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").select(
+    return raw.select(
         F.col("event_id").alias("txn_id"),
         F.col("user_id").alias("customer_id"),
         F.col("ts").alias("txn_ts"),
