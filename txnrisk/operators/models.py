@@ -6,18 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.operators.preprocess import Preprocess
-from txnrisk.session import shared_folder
+from txnrisk.session import shared_folder, working_path
 
 SEED = 42
 WEIGHT = "_weight"
@@ -31,12 +27,16 @@ def logistic(rows: int) -> Estimator:
     )
 
 
+# MLlib's classification trees merge sibling leaves that vote for the same class, which
+# erases the leaf probabilities of a rare class.  Regression trees on the 0/1 label split
+# identically (variance is half the Gini impurity) and keep each leaf's positive share.
+
 def tree(rows: int) -> Estimator:
-    return DecisionTreeClassifier(maxDepth=5, minInstancesPerNode=25, maxBins=255, impurity="gini", seed=SEED)
+    return DecisionTreeRegressor(maxDepth=5, minInstancesPerNode=25, maxBins=255, impurity="variance", seed=SEED)
 
 
 def forest(rows: int) -> Estimator:
-    return RandomForestClassifier(
+    return RandomForestRegressor(
         numTrees=250, maxDepth=10, minInstancesPerNode=8, featureSubsetStrategy="sqrt", maxBins=64, seed=SEED,
         maxMemoryInMB=1024,
     )
@@ -107,7 +107,16 @@ def fit_estimator(
     estimator.setFeaturesCol("features").setLabelCol("label")
     if balanced:
         estimator.setWeightCol(WEIGHT)
-    return PipelineModel([*ready.stages, estimator.fit(table)])
+    return PipelineModel([*ready.stages, _without_summary(estimator.fit(table))])
+
+
+def _without_summary(model):
+    """A training summary would ship its table's plan and session with every scoring task; storing drops it."""
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = working_path(SparkSession.getActiveSession(), "model")
+    model.write().overwrite().save(path)
+    return type(model).load(path)
 
 
 def _partitions(spark: SparkSession, rows: int) -> int:
@@ -128,7 +137,8 @@ def fit_candidate(train: DataFrame, candidate: Candidate, include_history: bool
 def score(model: PipelineModel, df: DataFrame, name: str = "fraud_score") -> DataFrame:
     """All columns of ``df`` plus the probability of the positive class."""
     out = model.transform(df)
-    return out.select(*[F.col(c) for c in df.columns if c != name], vector_to_array("probability")[1].alias(name))
+    positive = vector_to_array("probability")[1] if "probability" in out.columns else F.col("prediction")
+    return out.select(*[F.col(c) for c in df.columns if c != name], positive.alias(name))
 
 
 def _use_checkpoints(spark: SparkSession) -> None:
