@@ -84,9 +84,12 @@ def test_csv_files_with_other_column_orders(spark, tmp_path):
     (tmp_path / "a.csv").write_text(",".join(f" {c} " for c in order) + "\n" + ",".join(ROW[c] for c in order) + "\n")
     back = order[::-1]
     (tmp_path / "b.csv").write_text(",".join(back) + "\n" + ",".join({**ROW, "Transaction_ID": "T2", "Transaction_Amount": "NA"}[c] for c in back) + "\n")
-    rows = {r["Transaction_ID"]: r for r in R.read_feed(spark, str(tmp_path)).collect()}
+    files = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    rows = {r["Transaction_ID"]: r for r in R.read_feed(spark, files).collect()}
     assert rows["T1"].asDict() == ROW
     assert rows["T2"]["Location"] == "Pune" and rows["T2"]["Transaction_Amount"] is None
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        R.read_feed(spark, str(tmp_path)).collect()
 
 
 def test_schema_guard(spark, tmp_path):

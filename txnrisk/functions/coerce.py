@@ -71,8 +71,8 @@ def event_time(df: DataFrame, name: str) -> Column:
         return col.cast("timestamp_ntz")
     if not isinstance(kind, T.StringType):
         return F.lit(None).cast("timestamp_ntz")
-    iso = F.when(col.rlike(DAY_FIRST), F.regexp_replace(col, DAY_FIRST, "$3-$2-$1 $4:$5"))
-    iso = iso.when(col.rlike(COMPACT_DAY), F.regexp_replace(col, COMPACT_DAY, "$1-$2-$3")).otherwise(col)
+    iso = F.regexp_replace(col, DAY_FIRST, "$3-$2-$1 $4:$5")  # other texts pass unchanged
+    iso = F.regexp_replace(iso, COMPACT_DAY, "$1-$2-$3")
     return iso.try_cast("timestamp_ntz")
 
 

@@ -224,9 +224,9 @@ def spearman(df: DataFrame, cols: list[str], rows_per_bucket: int = K.ROWS_PER_B
     """
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     combos = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w"))
-    joined = combos
+    joined, n = combos, rows.count()
     for c in cols:
-        bounds = K.value_bounds(rows, c, rows_per_bucket=rows_per_bucket)
+        bounds = K.value_bounds(rows, c, rows_per_bucket=rows_per_bucket, rows=n)
         placed = K.cumulate(combos, c, {"w": F.col("_w")}, bounds=bounds, descending=False)
         # Centred average rank: rows before + half of the ties - half of all rows.
         mid = F.col("cum_w") - F.col("w") / F.lit(2.0) - F.col("all_w") / F.lit(2.0)

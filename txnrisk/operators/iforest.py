@@ -150,7 +150,7 @@ class IsolationForest:
 
         out = self.preprocess.transform(df)
         return out.select(
-            *[F.col(c) for c in df.columns if c != name], anomaly(vector_to_array("features")).alias(name)
+            *[F.col(f"`{c}`") for c in df.columns if c != name], anomaly(vector_to_array("features")).alias(name)
         )
 
     def save(self, spark, path: str) -> None:

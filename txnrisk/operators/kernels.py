@@ -24,17 +24,20 @@ BROADCAST_ROWS = 200_000  # rows of a few numbers each: a few MB
 # --------------------------------------------------------------------------- buckets
 
 def value_bounds(
-    df: DataFrame, value: str, groups: list[str] | None = None, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, value: str, groups: list[str] | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows: int | None = None,
 ) -> list[float]:
     """Inner boundaries that cut ``value`` into ranges of at most about ``rows_per_bucket`` rows.
 
     Boundaries are quantile sketches per group, merged: a cell between two merged
     boundaries holds no more of a group than that group's own cell would.  They
     only balance load, so approximate quantiles do; a value that fills a range by
-    itself collapses later, when rows are aggregated by value.
+    itself collapses later, when rows are aggregated by value.  ``rows`` is the size of
+    the largest group, counted here if not given.
     """
-    rows = df.groupBy(*(groups or [])).agg(F.count(value).alias("n")).collect()
-    biggest = max((r["n"] for r in rows), default=0)
+    if rows is None:
+        rows = df.groupBy(*(groups or [])).agg(F.count(value).alias("n")).agg(F.max("n")).first()[0] or 0
+    biggest = rows
     buckets = min(MAX_BUCKETS, -(-biggest // rows_per_bucket))
     if buckets <= 1:
         return []

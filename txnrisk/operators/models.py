@@ -138,7 +138,25 @@ def score(model: PipelineModel, df: DataFrame, name: str = "fraud_score") -> Dat
     """All columns of ``df`` plus the probability of the positive class."""
     out = model.transform(df)
     positive = vector_to_array("probability")[1] if "probability" in out.columns else F.col("prediction")
-    return out.select(*[F.col(c) for c in df.columns if c != name], positive.alias(name))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name], positive.alias(name))
+
+
+def score_wide(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
+    """``df`` with one probability column per model, in one narrow pass.
+
+    Models that share their fitted preprocessing share the feature vector too.
+    """
+    families: dict[int, list[str]] = {}
+    for name, model in models.items():
+        families.setdefault(id(model.stages[0]), []).append(name)
+    out = df
+    for names in families.values():
+        keep = out.columns
+        out = PipelineModel(models[names[0]].stages[:-1]).transform(out).select(*[F.col(f"`{c}`") for c in keep], "features")
+        for name in names:
+            out = score(PipelineModel(models[name].stages[-1:]), out, name)
+        out = out.drop("features")
+    return out
 
 
 def _use_checkpoints(spark: SparkSession) -> None:

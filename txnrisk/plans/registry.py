@@ -802,8 +802,19 @@ def fixed_coeff_score(spark, sf_dir):
     return rounded(S.with_flags(out, 0.3, 0.9))
 
 
+def stored_txn(spark, sf_dir) -> tuple[DataFrame, SP.Cuts]:
+    """The transactions as a stored table by month: fits read it many times, the joins run once."""
+    from txnrisk.session import working_path
+    from txnrisk.sources.writers import write_by_month
+
+    path = working_path(spark, "txn")
+    write_by_month(T.transactions(spark, sf_dir), path)
+    txn = spark.read.parquet(path).drop("txn_month")
+    return txn, SP.find_cuts(txn)
+
+
 def _parts(spark, sf_dir):
-    txn, cuts = split_txn(spark, sf_dir)
+    txn, cuts = stored_txn(spark, sf_dir)
     return txn.where(cuts.condition("train")), txn.where(cuts.condition("validation")), txn.where(cuts.condition("test"))
 
 
@@ -846,17 +857,15 @@ def candidate_comparison(spark, sf_dir):
     from txnrisk.plans import training as TR
     from txnrisk.session import stage
 
-    txn, cuts = split_txn(spark, sf_dir)
+    txn, cuts = stored_txn(spark, sf_dir)
     train = txn.where(cuts.condition("train"))
     names = [n for n in MD.candidates() if n.startswith(("Logistic", "Decision"))]
     fitted = TR.fit_all(train, names)
     forest = IsolationForest.fit(train, trees=50)
     cutoff = K.exact_quantiles(forest.score(train).select("anomaly_score"), {"a": (F.col("anomaly_score"), [0.9])})["a"][0]
     prior = float(train.agg(F.avg("label")).first()[0])
-    kinds = {**{n: "supervised" for n in fitted}, TR.ANOMALY: "unsupervised"}
-    parts = SP.with_split(txn, cuts).where(F.col("split") != "train")
-    scores = stage(TR.score_all({**fitted, TR.ANOMALY: forest}, kinds, parts, prior), "model-scores")
-    return M.compare(scores, fixed={TR.ANOMALY: cutoff}, models=len(kinds) + 1)
+    wide = stage(TR.score_wide(fitted, forest, SP.with_split(txn, cuts).where(~cuts.condition("train")), prior), "model-scores")
+    return M.compare(TR.long_form(wide), fixed={TR.ANOMALY: cutoff}, models=len(fitted) + 2)
 
 
 # ------------------------------------------------------------------------ streaming

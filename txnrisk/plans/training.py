@@ -36,16 +36,23 @@ EXCLUDED = [
 ]
 
 
-def score_all(models: dict, kinds: dict[str, str], parts: DataFrame, prior: float) -> DataFrame:
-    """Long score table (txn, model, kind, split, label, score) of every model."""
-    keys = ["txn_id", "customer_id", "split", "label"]
-    out = None
-    for name, model in models.items():
-        scored = model.score(parts, "score") if isinstance(model, IsolationForest) else MD.score(model, parts, "score")
-        part = scored.select(*keys, F.lit(name).alias("model"), F.lit(kinds[name]).alias("kind"), "score")
-        out = part if out is None else out.unionByName(part)
-    dummy = parts.select(*keys, F.lit(DUMMY).alias("model"), F.lit("baseline").alias("kind"), F.lit(prior).alias("score"))
-    return out.unionByName(dummy)
+SCORE_KEYS = ["txn_id", "customer_id", "split", "label"]
+
+
+def score_wide(fitted: dict, forest: IsolationForest, parts: DataFrame, prior: float) -> DataFrame:
+    """One row per transaction with a score column per model: one scan, no shuffle."""
+    wide = forest.score(MD.score_wide(fitted, parts), ANOMALY).withColumn(DUMMY, F.lit(prior))
+    return wide.select(*SCORE_KEYS, *[F.col(f"`{c}`") for c in (*fitted, ANOMALY, DUMMY)])
+
+
+def long_form(wide: DataFrame) -> DataFrame:
+    """(txn, split, label, model, kind, score) rows of a wide score table, without a shuffle."""
+    kinds = {ANOMALY: "unsupervised", DUMMY: "baseline"}
+    cells = [
+        F.struct(F.lit(c).alias("model"), F.lit(kinds.get(c, "supervised")).alias("kind"), F.col(f"`{c}`").alias("score"))
+        for c in wide.columns if c not in SCORE_KEYS
+    ]
+    return wide.select(*SCORE_KEYS, F.explode(F.array(*cells)).alias("m")).select(*SCORE_KEYS, "m.*")
 
 
 def fit_all(train: DataFrame, names: list[str] | None = None) -> dict:
@@ -82,17 +89,17 @@ def run(
     forest = IsolationForest.fit(train, trees=trees)
     cutoff = K.exact_quantiles(forest.score(train).select("anomaly_score"), {"a": (F.col("anomaly_score"), [REVIEW_QUANTILE])})["a"][0]
     prior = float(train.agg(F.avg("label")).first()[0])
-    kinds = {**{n: "supervised" for n in fitted}, ANOMALY: "unsupervised"}
-    held_out = tagged.where(F.col("split") != "train")
-    W.write_table(score_all({**fitted, ANOMALY: forest}, kinds, held_out, prior), f"{out}/model_scores")
-    scores = spark.read.parquet(f"{out}/model_scores")
+    held_out = tagged.where(~cuts.condition("train"))
+    W.write_table(score_wide(fitted, forest, held_out, prior), f"{out}/model_scores")
+    wide = spark.read.parquet(f"{out}/model_scores")
+    scores, models = long_form(wide), len(fitted) + 2
 
     # Selection sees validation rows only and is written before any test metric.
     val_scores = scores.where((F.col("split") == "validation") & (F.col("kind") == "supervised"))
     val_ranked = M.ranking(val_scores, groups=["model"], group_limit=len(fitted))
     tuned = M.choose_per_group(M.sweep(val_ranked, groups=["model"]), ["model"])
     thresholds = {r["model"]: r["threshold"] for r in tuned.collect()}
-    val_table = M.compare(scores.where(F.col("split") == "validation"), fixed={ANOMALY: cutoff}, models=len(kinds) + 1)
+    val_table = M.compare(scores.where(F.col("split") == "validation"), fixed={ANOMALY: cutoff}, models=models)
     best = M.select_model(val_table).first()
     selected, threshold = best["model"], thresholds[best["model"]]
     selection = {
@@ -106,12 +113,11 @@ def run(
     MD.save_model(fitted[selected], f"{out}/models/classifier")
     forest.save(spark, f"{out}/models/iforest")
 
-    W.write_table(M.compare(scores, fixed={ANOMALY: cutoff}, models=len(kinds) + 1), f"{out}/model_comparison")
+    W.write_table(M.compare(scores, fixed={ANOMALY: cutoff}, models=models), f"{out}/model_comparison")
     table = spark.read.parquet(f"{out}/model_comparison")
     test_scores = scores.where((F.col("split") == "test") & (F.col("model") != DUMMY))
-    W.write_table(M.curves(M.ranking(test_scores, groups=["model"], group_limit=len(kinds)), ["model"]), f"{out}/performance_curves")
-    wide = M.wide_scores(test_scores, [*fitted, ANOMALY], ["txn_id", "customer_id", "label"])
-    W.write_table(wide, f"{out}/test_model_scores")
+    W.write_table(M.curves(M.ranking(test_scores, groups=["model"], group_limit=models), ["model"]), f"{out}/performance_curves")
+    W.write_table(wide.where(F.col("split") == "test").drop(DUMMY), f"{out}/test_model_scores")
     chosen = test_scores.where(F.col("model") == selected).select("txn_id", "customer_id", "label", "score")
     W.write_table(D.grouped_bootstrap(chosen, threshold, repeats), f"{out}/test_confidence_intervals")
     seen = SP.seen_flag(df, cuts).select("txn_id", F.when(F.col("seen"), "seen in training").otherwise("unseen in training").alias("customer_slice"))

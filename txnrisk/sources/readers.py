@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnrisk.sources import schema as S
 
@@ -14,50 +15,34 @@ def null_tokens(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(S.NULL_TOKENS), F.col(c)) for c in text})
 
 
-def header_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files of a folder grouped by their header line.
+def read_text_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV as all-text columns under trimmed header names; no inference pass.
 
-    An explicit CSV schema binds by position, so files whose columns come in another
-    order must be read apart.  Only the first line of each file reaches the driver.
+    The names come from one header line.  A schema binds by position, so Spark is told
+    to check every file's own header against it: a file with another column order fails
+    the read instead of swapping columns.  Give such files as separate entries of a list;
+    entries are matched by name.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value"
-    )
-    # The first line sits in the file's first block; monotonically_increasing_id keeps line order within it.
-    first = (
-        lines.where(F.col("at") == 0)
-        .withColumn("line", F.monotonically_increasing_id())
-        .groupBy("file").agg(F.min_by("value", "line").alias("header"))
-        .collect()
-    )
-    out: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(first, key=lambda r: r["file"]):
-        out.setdefault(tuple(r["header"].split(",")), []).append(r["file"])
-    return out
-
-
-def read_text_table(spark: SparkSession, path: str) -> DataFrame:
-    """CSV as all-text columns, bound by trimmed header names; no inference pass."""
-    parts = []
-    for header, files in header_layouts(spark, path).items():
-        part = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(files)
-        parts.append(part.toDF(*[c.strip() for c in part.columns]))
-    if not parts:
-        raise S.SchemaError(f"No data in {path}")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=False)
-    return null_tokens(out)
-
-
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
+    if not isinstance(path, str):
+        first, *rest = [read_text_table(spark, p) for p in path]
+        for part in rest:
+            first = first.unionByName(part)
+        return first
+    options = {"header": True, "quote": '"', "escape": '"'}
+    names = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    df = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+    return null_tokens(df.toDF(*[c.strip() for c in names]))
+
+
+def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Training feed: exactly the contract's columns."""
     df = read_text_table(spark, path)
     S.check_feed_header(df.columns)
     return df.select(*S.FEED_COLUMNS)
 
 
-def read_scoring_input(spark: SparkSession, path: str) -> DataFrame:
+def read_scoring_input(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Scoring input under engine names: the seven inputs, extras passed through."""
     df = S.to_engine_names(read_text_table(spark, path))
     S.check_inputs(df.columns, S.SCORING_INPUTS)
