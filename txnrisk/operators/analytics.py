@@ -224,13 +224,16 @@ def spearman(df: DataFrame, cols: list[str], rows_per_bucket: int = K.ROWS_PER_B
     """
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     combos = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w"))
-    joined, n = combos, rows.count()
+    size = rows.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    joined = combos
     for c in cols:
-        bounds = K.value_bounds(rows, c, rows_per_bucket=rows_per_bucket, rows=n)
+        bounds = K.value_bounds(rows, c, rows_per_bucket=rows_per_bucket, rows=size["n"])
         placed = K.cumulate(combos, c, {"w": F.col("_w")}, bounds=bounds, descending=False)
         # Centred average rank: rows before + half of the ties - half of all rows.
         mid = F.col("cum_w") - F.col("w") / F.lit(2.0) - F.col("all_w") / F.lit(2.0)
-        joined = joined.join(placed.select(c, mid.alias(f"_r_{c}")), c)
+        # A column of few values must not shuffle all rows by those values; twice the
+        # estimate bounds the count with a wide margin.
+        joined = joined.join(K.small(placed.select(c, mid.alias(f"_r_{c}")), 2 * size[c]), c)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     sums = joined.agg(*[F.sum(F.col("_w") * F.col(f"_r_{a}") * F.col(f"_r_{b}")).alias(f"{a}__{b}") for a, b in pairs])
 

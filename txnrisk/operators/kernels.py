@@ -80,7 +80,21 @@ def cumulate(
     """
     groups = list(groups or [])
     names = list(measures)
-    flat = with_bucket(df.select(*groups, value, *[c.alias(n) for n, c in measures.items()]), value, bounds or [])
+    flat = df.select(*groups, value, *[c.alias(n) for n, c in measures.items()])
+    by_value = F.col(value).desc() if descending else F.col(value).asc()
+    if not bounds:
+        # Every group fits one bucket (see value_bounds): a plain window per group.
+        points = flat.groupBy(*groups, value).agg(*[F.sum(n).alias(n) for n in names])
+        whole = Window.partitionBy(*groups)
+        along = whole.orderBy(by_value)
+        upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return points.select(
+            *groups, value, *names,
+            *[F.sum(n).over(upto).alias(f"cum_{n}") for n in names],
+            *[F.sum(n).over(whole).alias(f"all_{n}") for n in names],
+            *[F.lead(n).over(along).alias(f"next_{n}") for n in names],
+        )
+    flat = with_bucket(flat, value, bounds)
     # Partial aggregation folds a hot value before anything is shuffled.
     points = flat.groupBy(*groups, "_bucket", value).agg(*[F.sum(n).alias(n) for n in names])
 
@@ -102,9 +116,8 @@ def cumulate(
         F.lead("_head").over(along).alias("_next_head"),
     )
     if group_limit is not None or not groups:
-        cells = small(cells, (len(bounds or []) + 1) * (group_limit or 1))
+        cells = small(cells, (len(bounds) + 1) * (group_limit or 1))
     joined = points.join(cells, [*groups, "_bucket"])
-    by_value = F.col(value).desc() if descending else F.col(value).asc()
     inside = Window.partitionBy(*groups, "_bucket").orderBy(by_value)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return joined.select(
@@ -330,12 +343,19 @@ def dense_index(
 
 # -------------------------------------------------------------------- skewed lookup
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.001) -> list:
-    """Keys holding at least ``share`` of the rows: at most ``1 / share`` of them."""
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 1000
+
+
+def hot_keys(df: DataFrame, key: str) -> list:
+    """The heaviest keys with at least ``HOT_ROWS`` rows, ``MAX_HOT_KEYS`` of them at most.
+
+    Any key left out is either below ``HOT_ROWS`` or outranked by a thousand others, so
+    it holds under a thousandth of the rows.
+    """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(key).alias("n")).first()["n"]
-    limit = max(share * total, 1_000_000.0)
-    return [r[key] for r in counts.where(F.col("n") >= limit).select(key).collect()]
+    top = counts.where(F.col("n") >= HOT_ROWS).orderBy(F.col("n").desc()).limit(MAX_HOT_KEYS)
+    return [r[key] for r in top.collect()]
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, cols: list[str], spread: str, hot: list | None = None) -> DataFrame:

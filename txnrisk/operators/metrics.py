@@ -19,17 +19,18 @@ INTERVAL_METRICS = ["precision", "recall", "f1", "roc_auc", "average_precision",
 def ranking(
     df: DataFrame, score: str = "score", label: str = "label", groups: list[str] | None = None,
     weight: str | None = None, bounds: list[float] | None = None, rows_per_bucket: int = K.ROWS_PER_BUCKET,
-    group_limit: int | None = None,
+    group_limit: int | None = None, rows: int | None = None,
 ) -> DataFrame:
     """Per (group, distinct score), best score first: ``pos``, ``alerts`` and their running sums.
 
     ``cum_pos`` and ``cum_alerts`` are the true positives and alerts of the threshold
-    "score or higher"; ``all_pos`` and ``all_alerts`` are the group's totals.
+    "score or higher"; ``all_pos`` and ``all_alerts`` are the group's totals.  ``rows`` is an
+    upper bound on a group's size, if one is known; it saves a counting pass.
     """
     w = F.col(weight) if weight else F.lit(1)
     df = df.where(F.col(score).isNotNull())
     if bounds is None:
-        bounds = K.value_bounds(df, score, groups, rows_per_bucket)
+        bounds = K.value_bounds(df, score, groups, rows_per_bucket, rows)
     measures = {"pos": (F.col(label) * w).cast("bigint"), "alerts": w.cast("bigint")}
     return K.cumulate(df, score, measures, groups, bounds, group_limit=group_limit)
 
@@ -186,7 +187,7 @@ def curves(ranked: DataFrame, groups: list[str]) -> DataFrame:
 
 def compare(
     scores: DataFrame, baseline_threshold: float = 0.5, fixed: dict[str, float] | None = None, models: int = 16,
-    rows_per_bucket: int = K.ROWS_PER_BUCKET,
+    rows_per_bucket: int = K.ROWS_PER_BUCKET, rows: int | None = None,
 ) -> DataFrame:
     """Comparison table of every (model, split) from one long score table.
 
@@ -196,7 +197,7 @@ def compare(
     """
     groups = ["model", "kind", "split"]
     limit = models * 2
-    ranked = ranking(scores, groups=groups, rows_per_bucket=rows_per_bucket, group_limit=limit)
+    ranked = ranking(scores, groups=groups, rows_per_bucket=rows_per_bucket, group_limit=limit, rows=rows)
     tuned = choose_per_group(
         sweep(ranked.where((F.col("split") == "validation") & (F.col("kind") == "supervised")), groups=["model"]), ["model"]
     ).select("model", F.col("threshold").alias("_tuned"))

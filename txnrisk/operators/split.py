@@ -82,18 +82,20 @@ def customer_overlap(df: DataFrame, cuts: Cuts) -> DataFrame:
 
 def disjoint_check(df: DataFrame, cuts: Cuts) -> DataFrame:
     """Per neighbouring pair: shared IDs (must be 0) and whether time is strictly increasing."""
-    tagged = with_split(df, cuts)
-    ids = tagged.groupBy("txn_id").agg(*[F.max(F.col("split") == s).alias(s) for s in SPLITS])
-    shared = ids.agg(*[F.count_if(F.col(a) & F.col(b)).alias(f"shared_{a}_{b}") for a, b in combinations(SPLITS, 2)])
-    spans = tagged.agg(
-        *[f(F.when(F.col("split") == s, F.col("txn_ts"))).alias(f"{s}_{n}") for s in SPLITS for n, f in (("lo", F.min), ("hi", F.max))]
+    ends = (("lo", F.min), ("hi", F.max))
+    ids = with_split(df, cuts).groupBy("txn_id").agg(
+        *[F.max(F.col("split") == s).alias(s) for s in SPLITS],
+        *[f(F.when(F.col("split") == s, F.col("txn_ts"))).alias(f"{s}_{n}") for s in SPLITS for n, f in ends],
     )
-    ordered = spans.select(
+    total = ids.agg(
+        *[F.count_if(F.col(a) & F.col(b)).alias(f"shared_{a}_{b}") for a, b in combinations(SPLITS, 2)],
+        *[f(f"{s}_{n}").alias(f"{s}_{n}") for s in SPLITS for n, f in ends],
+    )
+    return total.select(
+        *[f"shared_{a}_{b}" for a, b in combinations(SPLITS, 2)],
         (F.col("train_hi") < F.col("validation_lo")).alias("train_before_validation"),
         (F.col("validation_hi") < F.col("test_lo")).alias("validation_before_test"),
     )
-    # Two one-row results side by side, matched on a constant key.
-    return shared.withColumn("_k", F.lit(1)).join(ordered.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 def seen_flag(df: DataFrame, cuts: Cuts, split: str = "test", hot: list | None = None) -> DataFrame:

@@ -463,9 +463,21 @@ def template_rows(spark, sf_dir):
 
 # ------------------------------------------------------------------------ evaluation
 
-def test_scores(spark, sf_dir) -> DataFrame:
+def test_scores(spark, sf_dir) -> tuple[DataFrame, int]:
+    """Test rows with a stand-in score, and a bound on their number (known from the cuts)."""
     txn, cuts = split_txn(spark, sf_dir)
-    return txn.where(cuts.condition("test")).select("txn_id", "customer_id", "label", F.col("pseudo_score").alias("score"))
+    rows = txn.where(cuts.condition("test"))
+    return rows.select("txn_id", "customer_id", "label", F.col("pseudo_score").alias("score")), cuts.rows
+
+
+def test_metrics(spark, sf_dir) -> DataFrame:
+    rows, n = test_scores(spark, sf_dir)
+    return M.evaluate(rows, FLAG_AT, rows=n)
+
+
+def test_ranking(spark, sf_dir) -> DataFrame:
+    rows, n = test_scores(spark, sf_dir)
+    return M.ranking(rows, rows=n)
 
 
 _TEST = O.SPLIT + ", src as (select txn_id, customer_id, label, pseudo_score as score from sp where split = 'test'), "
@@ -478,29 +490,29 @@ select 'Legitimate' as actual, count(*) filter (label = 0 and score < 0.9) as pr
   count(*) filter (label = 0 and score >= 0.9) as predicted_review from src
 union all select 'Fraudulent', count(*) filter (label = 1 and score < 0.9), count(*) filter (label = 1 and score >= 0.9) from src""")
 def confusion(spark, sf_dir):
-    return M.confusion_matrix(M.at_threshold(test_scores(spark, sf_dir), FLAG_AT))
+    return M.confusion_matrix(M.at_threshold(test_scores(spark, sf_dir)[0], FLAG_AT))
 
 
 @query("prf", _TEST_METRICS + O.rounded("m", cols=["n", "positives", "prevalence", "alert_count", "alert_rate", "precision", "recall", "f1"]))
 def prf(spark, sf_dir):
-    return rounded(M.at_threshold(test_scores(spark, sf_dir), FLAG_AT).drop("tp", "fp", "fn", "tn"))
+    return rounded(M.at_threshold(test_scores(spark, sf_dir)[0], FLAG_AT).drop("tp", "fp", "fn", "tn"))
 
 
 for _metric in ["roc_auc", "average_precision", "pr_auc"]:
     query(_metric, _TEST_METRICS + O.rounded("m", cols=["n", "positives", _metric]))(
-        lambda spark, sf_dir, m=_metric: rounded(M.evaluate(test_scores(spark, sf_dir), FLAG_AT).select("n", "positives", m))
+        lambda spark, sf_dir, m=_metric: rounded(test_metrics(spark, sf_dir).select("n", "positives", m))
     )
 
 
 @query("metric_record", _TEST_METRICS + O.rounded("m"))
 def metric_record(spark, sf_dir):
-    return rounded(M.evaluate(test_scores(spark, sf_dir), FLAG_AT))
+    return rounded(test_metrics(spark, sf_dir))
 
 
 @query("pr_curve", "with " + _TEST + O.ranked("src") + """
 select round(cum_pos / all_pos, 9) as x, round(cum_pos / cum_alerts, 9) as y from rk union all select 0.0, 1.0""")
 def pr_curve(spark, sf_dir):
-    return rounded(M.pr_curve(M.ranking(test_scores(spark, sf_dir))))
+    return rounded(M.pr_curve(test_ranking(spark, sf_dir)))
 
 
 @query("roc_curve", "with " + _TEST + O.ranked("src") + """
@@ -508,7 +520,7 @@ select round((cum_alerts - cum_pos) / (all_alerts - all_pos), 9) as x, round(cum
 where cum_alerts = alerts or next_pos is null or next_pos <> pos or next_alerts - next_pos <> alerts - pos
 union all select 0.0, 0.0""")
 def roc_curve(spark, sf_dir):
-    return rounded(M.roc_curve(M.ranking(test_scores(spark, sf_dir))))
+    return rounded(M.roc_curve(test_ranking(spark, sf_dir)))
 
 
 _SWEEP = """, pr as (select score as threshold, cum_pos / cum_alerts as precision, cum_pos / all_pos as recall from rk),
@@ -518,7 +530,7 @@ select round(threshold, 9) as threshold, round(precision, 9) as precision, round
 
 def validation_ranking(spark, sf_dir) -> DataFrame:
     txn, cuts = split_txn(spark, sf_dir)
-    return M.ranking(txn.where(cuts.condition("validation")), "pseudo_score")
+    return M.ranking(txn.where(cuts.condition("validation")), "pseudo_score", rows=cuts.rows)
 
 
 @query("threshold_sweep", "with " + _VAL + O.ranked("src") + _SWEEP)
@@ -546,8 +558,9 @@ def threshold_explorer(spark, sf_dir):
        + O.ranked("src", "customer_slice") + f", m as (select customer_slice, {O.metric_cols('0.9')} from rk group by customer_slice) "
        + O.rounded("m", "customer_slice"))
 def slice_metrics(spark, sf_dir):
-    rows = slices(*split_txn(spark, sf_dir)).select("customer_slice", "label", F.col("pseudo_score").alias("score"))
-    return rounded(M.evaluate(rows, FLAG_AT, groups=["customer_slice"], group_limit=2))
+    txn, cuts = split_txn(spark, sf_dir)
+    rows = slices(txn, cuts).select("customer_slice", "label", F.col("pseudo_score").alias("score"))
+    return rounded(M.evaluate(rows, FLAG_AT, groups=["customer_slice"], group_limit=2, rows=cuts.rows))
 
 
 _COMPARE = "with " + O.LONG + ", " + O.ranked("long", "model, kind, split") + f""",
@@ -608,7 +621,7 @@ def scores_wide(spark, sf_dir):
 select txn_id, 'differs' as reason, round(pseudo_score, 9) as a_score, round(pseudo_score + 0.001, 9) as b_score
 from sp where split = 'test' and txn_id % 13 = 0""")
 def score_diff(spark, sf_dir):
-    a = test_scores(spark, sf_dir)
+    a, _ = test_scores(spark, sf_dir)
     # A second run whose scores moved for every 13th transaction.
     b = a.withColumn("score", F.when(F.col("txn_id") % 13 == 0, F.col("score") + 0.001).otherwise(F.col("score")))
     return rounded(M.score_diff(a, b, "txn_id", ["score"]))
@@ -835,7 +848,7 @@ def iforest_scores(spark, sf_dir):
 
 @query("bootstrap_ci")
 def bootstrap_ci(spark, sf_dir):
-    return D.grouped_bootstrap(test_scores(spark, sf_dir), FLAG_AT)
+    return D.grouped_bootstrap(test_scores(spark, sf_dir)[0], FLAG_AT)
 
 
 @query("sensitivity")
