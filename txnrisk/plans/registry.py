@@ -734,12 +734,12 @@ ft as (""" + _FEATURES_SQL + " from gap)"
 
 
 @query("features_row", "with " + _GAPPY + " select txn_id, " + ", ".join(
-    f"round({c}, 6) + 0.0 as {c}" for c in _NUMS) + ", category, method, device, location from ft")
+    f"round({c}, 10) + 0.0 as {c}" for c in _NUMS) + ", category, method, device, location from ft")
 def features_row(spark, sf_dir):
     rows = gappy(T.transactions(spark, sf_dir))
     exprs = FT.feature_sql(include_history=True)
     out = rows.select("txn_id", *[F.expr(e).alias(n) for n, e in exprs.items()])
-    return rounded(out, 6)
+    return rounded(out, 10)
 
 
 @query("features_imputed_scaled", "with " + _GAPPY + ", md as (select " + ", ".join(
