@@ -27,11 +27,13 @@ def draw_weights(customers: DataFrame, repeats: int, seed: int) -> DataFrame:
     """
     spark = customers.sparkSession
     total = customers.count()
-    numbered = K.dense_index(customers, F.xxhash64("customer_id", F.lit(seed)), ["customer_id"], rows=total)
+    # Shifted up so that the hash fills all 64 bits, as even buckets need.
+    place = F.shiftleft(K.portable_hash(F.lit("customer"), F.col("customer_id"), F.lit(seed)), 4)
+    numbered = K.dense_index(customers, place, ["customer_id"], rows=total)
     draws = spark.range(repeats * total).select(
         (F.col("id") % repeats).cast("int").alias("repeat"), F.floor(F.col("id") / repeats).alias("draw")
     )
-    hit = F.pmod(F.xxhash64("repeat", "draw", F.lit(seed)), F.lit(total))
+    hit = F.pmod(K.portable_hash(F.lit("draw"), F.col("repeat"), F.col("draw"), F.lit(seed)), F.lit(total))
     times = draws.groupBy(hit.alias("idx"), "repeat").agg(F.count(F.lit(1)).alias("times"))
     # At most `repeats` entries per customer.
     per_customer = times.groupBy("idx").agg(F.collect_list(F.struct("repeat", "times")).alias("drawn"))

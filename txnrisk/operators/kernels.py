@@ -55,6 +55,12 @@ def with_bucket(df: DataFrame, value: str, bounds: list[float], name: str = "_bu
     return Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
 
 
+def portable_hash(*cols: Column) -> Column:
+    """60-bit hash of the columns' text that other engines can compute as well."""
+    text = F.concat_ws("-", *[c.cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast ``df`` only if its proven row bound is small."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
@@ -216,6 +222,19 @@ class _Bracket:
     hi: float
     below: int = 0  # rows strictly below lo
     inside: int = 0  # rows in [lo, hi]
+    outer: tuple | None = None  # the bracket this one was narrowed from
+    slack: float = 0.0  # extra rank share kept on both sides when narrowing
+
+    def holds(self, rank: float) -> bool:
+        return self.below <= math.floor(rank) <= math.ceil(rank) < self.below + self.inside
+
+    def narrow(self, lo: float, hi: float) -> None:
+        self.outer = (self.lo, self.hi, self.below, self.inside)
+        self.lo, self.hi = lo, hi
+
+    def widen(self) -> None:
+        self.lo, self.hi, self.below, self.inside = self.outer
+        self.slack = 4 * self.slack
 
 
 def exact_quantiles(
@@ -233,7 +252,7 @@ def exact_quantiles(
     names = list(wanted)
     flat = df.select(*[wanted[n][0].cast("double").alias(n) for n in names])
 
-    def around(p: float) -> list[float]:
+    def around(p: float, slack: float = slack) -> list[float]:
         return [max(0.0, p - slack), min(1.0, p + slack)]
 
     aggs = []
@@ -246,42 +265,42 @@ def exact_quantiles(
     rank = {(n, i): (size[n] - 1) * p for n in names if size[n] for i, p in enumerate(wanted[n][1])}
     brackets: dict[tuple[str, int], _Bracket] = {}
     for n, i in rank:
-        lo, hi = first[f"{n}__min"], first[f"{n}__max"]
+        b = _Bracket(first[f"{n}__min"], first[f"{n}__max"], 0, size[n], slack=slack)
         p = wanted[n][1][i]
         if size[n] * slack >= 4:  # below that the sketch cannot be trusted to one rank
-            lo = first[f"{n}__q"][2 * i] if p - slack > 0 else lo
-            hi = first[f"{n}__q"][2 * i + 1] if p + slack < 1 else hi
-        brackets[n, i] = _Bracket(lo, hi)
-
-    pending = dict(brackets)
-    while pending:
-        aggs = []
-        for (n, i), b in pending.items():
-            inside = F.col(n).between(b.lo, b.hi)
-            aggs += [F.count_if(F.col(n) < b.lo).alias(f"{n}__{i}__b"), F.count_if(inside).alias(f"{n}__{i}__i")]
-        row = flat.agg(*aggs).first()
-        wide = {}
-        for (n, i), b in pending.items():
-            b.below, b.inside = row[f"{n}__{i}__b"], row[f"{n}__{i}__i"]
-            k = rank[n, i]
-            if not b.below <= math.floor(k) <= math.ceil(k) < b.below + b.inside:
-                raise ArithmeticError(f"Quantile sketch of {n} missed its rank")
-            if b.inside > collect_limit and b.lo < b.hi:
-                wide[n, i] = b
-        if not wide:
-            break
-        aggs = []
-        for (n, i), b in wide.items():
-            inside = F.when(F.col(n).between(b.lo, b.hi), F.col(n))
-            probs = around((rank[n, i] - b.below) / (b.inside - 1))
-            aggs.append(F.percentile_approx(inside, probs, accuracy).alias(f"{n}__{i}__q"))
-        row = flat.agg(*aggs).first()
+            lo, hi = first[f"{n}__q"][2 * i:2 * i + 2]
+            b.narrow(lo if p - slack > 0 else b.lo, hi if p + slack < 1 else b.hi)
+        brackets[n, i] = b
+
+    pending = {key: b for key, b in brackets.items() if b.outer}
+    wide = {key: b for key, b in brackets.items() if not b.outer and b.inside > collect_limit}
+    while pending or wide:
+        if pending:
+            aggs = []
+            for (n, i), b in pending.items():
+                inside = F.col(n).between(b.lo, b.hi)
+                aggs += [F.count_if(F.col(n) < b.lo).alias(f"{n}__{i}__b"), F.count_if(inside).alias(f"{n}__{i}__i")]
+            row = flat.agg(*aggs).first()
+            for (n, i), b in pending.items():
+                b.below, b.inside = row[f"{n}__{i}__b"], row[f"{n}__{i}__i"]
+                if not b.holds(rank[n, i]):
+                    b.widen()  # the sketch missed: narrow the outer bracket again, more carefully
+                if b.inside > collect_limit and b.lo < b.hi:
+                    wide[n, i] = b
         pending = {}
-        for (n, i), b in wide.items():
-            lo, hi = row[f"{n}__{i}__q"]
-            if (lo, hi) != (b.lo, b.hi):  # an unchanged bracket holds few distinct values
-                b.lo, b.hi = lo, hi
-                pending[n, i] = b
+        if wide:
+            aggs = []
+            for (n, i), b in wide.items():
+                inside = F.when(F.col(n).between(b.lo, b.hi), F.col(n))
+                probs = around((rank[n, i] - b.below) / (b.inside - 1), b.slack)
+                aggs.append(F.percentile_approx(inside, probs, accuracy).alias(f"{n}__{i}__q"))
+            row = flat.agg(*aggs).first()
+            for (n, i), b in wide.items():
+                lo, hi = row[f"{n}__{i}__q"]
+                if (lo, hi) != (b.lo, b.hi):  # an unchanged bracket holds few distinct values
+                    b.narrow(lo, hi)
+                    pending[n, i] = b
+            wide = {}
 
     counts: dict[tuple[str, int], list[tuple[float, int]]] = {key: [] for key in brackets}
     if brackets:

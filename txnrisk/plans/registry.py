@@ -851,9 +851,29 @@ def iforest_scores(spark, sf_dir):
     return IsolationForest.fit(train).score(test).select("txn_id", "label", "anomaly_score")
 
 
-@query("bootstrap_ci")
+_HASH = "cast('0x' || substr(md5({}), 1, 15) as bigint)"
+_BOOT = ("with " + _TEST + """hc as (select customer_id, """ + _HASH.format("'customer-' || customer_id || '-42'") + """ as h
+  from (select distinct customer_id from src)),
+-- hash order with bit 59 read as a sign
+who as (select customer_id, row_number() over (order by case when h >= 576460752303423488 then 0 else 1 end, h, customer_id) - 1 as idx from hc),
+g as (select count(*) as g from hc),
+draws as (select r as repeat, """ + _HASH.format("'draw-' || r || '-' || d || '-42'") + """ % g as idx
+  from g, range(400) a(r), lateral (select unnest(range(g)) as d)),
+times as (select repeat, idx, count(*) as t from draws group by repeat, idx),
+folded as (select customer_id, score, sum(label) as pos, count(*) as alerts from src group by customer_id, score),
+pts as (select repeat, score, sum(pos * t) as pos, sum(alerts * t) as alerts from folded join who using (customer_id) join times using (idx)
+  group by repeat, score),
+rk as (select *, sum(pos) over w as cum_pos, sum(alerts) over w as cum_alerts from pts
+  window w as (partition by repeat order by score desc rows unbounded preceding)),
+m as (select repeat, """ + O.metric_cols("0.9") + " from rk group by repeat having sum(pos) between 1 and sum(alerts) - 1) "
+         + " union all ".join(
+    f"""select '{m}' as metric, round(quantile_cont({m}, 0.025), 9) as "lower", round(quantile_cont({m}, 0.975), 9) as "upper", count(*) as repeats from m"""
+    for m in M.INTERVAL_METRICS))
+
+
+@query("bootstrap_ci", _BOOT)
 def bootstrap_ci(spark, sf_dir):
-    return D.grouped_bootstrap(test_scores(spark, sf_dir)[0], FLAG_AT)
+    return rounded(D.grouped_bootstrap(test_scores(spark, sf_dir)[0], FLAG_AT))
 
 
 @query("sensitivity")
