@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.operators import kernels as K
@@ -19,6 +19,11 @@ METHOD = (
 )
 
 
+def _order(purpose: str, *cols: Column) -> Column:
+    """Random order key; shifted up so that the hash fills all 64 bits, as even buckets need."""
+    return F.shiftleft(K.portable_hash(F.lit(purpose), *cols), 4)
+
+
 def draw_weights(customers: DataFrame, repeats: int, seed: int) -> DataFrame:
     """Per customer the list of (repeat, times drawn) of a resample with replacement.
 
@@ -27,9 +32,7 @@ def draw_weights(customers: DataFrame, repeats: int, seed: int) -> DataFrame:
     """
     spark = customers.sparkSession
     total = customers.count()
-    # Shifted up so that the hash fills all 64 bits, as even buckets need.
-    place = F.shiftleft(K.portable_hash(F.lit("customer"), F.col("customer_id"), F.lit(seed)), 4)
-    numbered = K.dense_index(customers, place, ["customer_id"], rows=total)
+    numbered = K.dense_index(customers, _order("customer", F.col("customer_id"), F.lit(seed)), ["customer_id"], rows=total)
     draws = spark.range(repeats * total).select(
         (F.col("id") % repeats).cast("int").alias("repeat"), F.floor(F.col("id") / repeats).alias("draw")
     )
@@ -106,7 +109,7 @@ def permuted(validation: DataFrame, features: list[str], repeats: int, seed: int
     """
     rows = validation.count()
     base = K.dense_index(
-        validation.select(key, "label", *features), F.xxhash64(F.col(key), F.lit(seed), F.lit("base")), [key],
+        validation.select(key, "label", *features), _order("base", F.col(key), F.lit(seed)), [key],
         rows=rows, rows_per_bucket=rows_per_bucket, name="_pos",
     )
     variants = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat")) for f in features for r in range(repeats)]))
@@ -115,7 +118,7 @@ def permuted(validation: DataFrame, features: list[str], repeats: int, seed: int
         *[F.when(F.col("v.feature") == f, F.col(f)).alias(f"_g_{f}") for f in features],
     )
     givers = K.dense_index(
-        givers, F.xxhash64(F.col(key), F.col("feature"), F.col("repeat"), F.lit(seed)), [key], ["feature", "repeat"],
+        givers, _order("give", F.col(key), F.col("feature"), F.col("repeat"), F.lit(seed)), [key], ["feature", "repeat"],
         rows=rows, rows_per_bucket=rows_per_bucket, name="_pos",
     ).drop(key)
     takers = base.withColumn("v", variants).select("*", "v.*").drop("v")

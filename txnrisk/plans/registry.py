@@ -796,26 +796,30 @@ def class_weights(spark, sf_dir):
 _COEF = {"log_amount": 0.31, "is_intl": 0.45, "hour_sin": -0.2, "hour_cos": 0.15, "is_weekend": 0.1}
 _BASE = -5.0
 _METHOD_COEF = {"1-URGENT": 1.2, "2-HIGH": -0.3}
+_METHOD_SQL = "case method when '1-URGENT' then 1.2 when '2-HIGH' then -0.3 else 0.0 end"
+
+
+def fixed_score(df: DataFrame, name: str = "fraud_score") -> DataFrame:
+    exprs = FT.feature_sql()
+    z = F.lit(_BASE)
+    for feature, w in _COEF.items():
+        z = z + F.lit(w) * F.coalesce(F.expr(exprs[feature]), F.lit(0.0))
+    bonus = F.lit(0.0)
+    for value, w in _METHOD_COEF.items():
+        bonus = F.when(F.col("method") == value, w).otherwise(bonus)
+    return df.withColumn(name, 1 / (1 + F.exp(-(z + bonus))))
 
 
 @query("fixed_coeff_score", "with " + _GAPPY + ", z as (select *, -5.0 + " + " + ".join(
-    f"{w} * coalesce({c}, 0)" for c, w in _COEF.items()) + """ + case method when '1-URGENT' then 1.2 when '2-HIGH' then -0.3 else 0.0 end as z from ft),
+    f"{w} * coalesce({c}, 0)" for c, w in _COEF.items()) + " + " + _METHOD_SQL + """ as z from ft),
 s as (select txn_id, 1 / (1 + exp(-z)) as fraud_score, cast((txn_id * 104729) % 1009 as double) / 1009 as anomaly_score from z)
 select txn_id, round(fraud_score, 9) as fraud_score, cast(fraud_score >= 0.3 as int) as predicted_fraud,
   round(anomaly_score, 9) as anomaly_score, cast(anomaly_score >= 0.9 as int) as anomaly_flag,
   case when fraud_score >= 0.3 then 'Model review' when anomaly_score >= 0.9 then 'Anomaly review' else 'Lower score' end as review_status from s""")
 def fixed_coeff_score(spark, sf_dir):
     rows = S.conform(gappy(T.transactions(spark, sf_dir)))
-    exprs = FT.feature_sql()
-    z = F.lit(_BASE)
-    for name, w in _COEF.items():
-        z = z + F.lit(w) * F.coalesce(F.expr(exprs[name]), F.lit(0.0))
-    bonus = F.lit(0.0)
-    for value, w in _METHOD_COEF.items():
-        bonus = F.when(F.col("method") == value, w).otherwise(bonus)
-    out = rows.select(
-        "txn_id", (1 / (1 + F.exp(-(z + bonus)))).alias("fraud_score"),
-        ((F.col("txn_id") * 104729 % 1009).cast("double") / 1009).alias("anomaly_score"),
+    out = fixed_score(rows).select(
+        "txn_id", "fraud_score", ((F.col("txn_id") * 104729 % 1009).cast("double") / 1009).alias("anomaly_score")
     )
     return rounded(S.with_flags(out, 0.3, 0.9))
 
@@ -889,6 +893,30 @@ def permutation_importance(spark, sf_dir):
     return D.permutation_importance(lambda df: MD.score(model, df, "score"), val)
 
 
+_INPUTS = ["txn_ts", "amount", "is_intl", *_CATS]
+_SIGN = "case when h >= 576460752303423488 then 0 else 1 end, h, txn_id"
+_PERMUTE = ("with " + O.SPLIT + ", val as (select * from sp where split = 'validation'), vb as (select *, row_number() over (order by " + _SIGN
+            + ") - 1 as pos from (select *, " + _HASH.format("'base-' || txn_id || '-42'") + " as h from val)), "
+            + "vars as (select f, r from (values " + ", ".join(f"('{c}')" for c in _INPUTS) + ") t(f), range(5) a(r)), "
+            + "gv as (select *, row_number() over (partition by f, r order by " + _SIGN + ") - 1 as pos from (select val.*, f, r, "
+            + _HASH.format("'give-' || txn_id || '-' || f || '-' || r || '-42'") + " as h from val, vars)), "
+            + "pm as (select vb.txn_id, vb.label, gv.f, gv.r, vb.split, vb.previous_txns, vb.average_spend, vb.account_age_days, "
+            + ", ".join(f"case when gv.f = '{c}' then gv.{c} else vb.{c} end as {c}" for c in _INPUTS) + " from vb join gv using (pos) "
+            + "union all select txn_id, label, 'none', 0, split, previous_txns, average_spend, account_age_days, " + ", ".join(_INPUTS) + " from val), "
+            + "ft as (" + _FEATURES_SQL + ", f, r from pm), src as (select f, r, label, 1 / (1 + exp(-(-5.0 + "
+            + " + ".join(f"{w} * coalesce({c}, 0)" for c, w in _COEF.items()) + " + " + _METHOD_SQL + "))) as score from ft), "
+            + O.ranked("src", "f, r") + ", ap as (select f, r, sum(pos * (cum_pos / cum_alerts)) / sum(pos) as ap from rk group by f, r), "
+            + "base as (select ap as b from ap where f = 'none') select f as feature, round(avg(b - ap), 8) + 0.0 as validation_ap_drop_mean, "
+            + "round(stddev_pop(b - ap), 8) + 0.0 as validation_ap_drop_std from ap, base where f <> 'none' group by f")
+
+
+@query("permutation_fixed_score", _PERMUTE)
+def permutation_fixed_score(spark, sf_dir):
+    txn, cuts = split_txn(spark, sf_dir)
+    out = D.permutation_importance(lambda df: fixed_score(df, "score"), txn.where(cuts.condition("validation")))
+    return rounded(out, 8)
+
+
 @query("candidate_comparison")
 def candidate_comparison(spark, sf_dir):
     """Logistic regression and tree, both weightings, the dummy and the forest, on both held-out parts."""
