@@ -138,7 +138,7 @@ def test_text_export_has_iso_dates(spark, txn, tmp_path):
 
 def test_audit_document(spark, sf, tmp_path):
     raw = R.null_tokens(T.raw_feed(spark, sf))
-    W.write_document(TR.audit_document(raw, CL.clean_rows(raw)), str(tmp_path / "audit"))
+    W.write_document(TR.audit_document(raw, CL.typed(CL.distinct_rows(raw)), CL.clean_rows(raw)), str(tmp_path / "audit"))
     text = next((tmp_path / "audit").glob("*.json")).read_text()
     doc = json.loads(text)
     assert doc["columns"] == S.FEED_COLUMNS and set(doc["history_caution"]) >= {"account_age_decreases", "previous_txns_decreases"}

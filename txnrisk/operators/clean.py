@@ -57,7 +57,11 @@ def typed(rows: DataFrame) -> DataFrame:
 
 def clean_rows(feed: DataFrame) -> DataFrame:
     """Typed valid rows.  Zero and extreme amounts stay: unusual may be the signal."""
-    return typed(distinct_rows(feed)).where("valid").select(*S.FEED_TO_ENGINE.values())
+    return valid_rows(typed(distinct_rows(feed)))
+
+
+def valid_rows(t: DataFrame) -> DataFrame:
+    return t.where("valid").select(*S.FEED_TO_ENGINE.values())
 
 
 def key_conflicts(df: DataFrame, key: str | list[str] = "txn_id") -> DataFrame:
@@ -74,7 +78,11 @@ def require_unique(df: DataFrame, key: str = "txn_id") -> DataFrame:
 
 def audit_summary(feed: DataFrame) -> DataFrame:
     """One row with every audit counter, from a single shuffle of the feed."""
-    t = typed(distinct_rows(feed))
+    return summarize(typed(distinct_rows(feed)))
+
+
+def summarize(t: DataFrame) -> DataFrame:
+    """The audit counters of a ``typed`` table."""
     ok, n = F.col("valid"), F.col("copies")
     cols = list(S.FEED_TO_ENGINE.values())
 

@@ -22,7 +22,7 @@ from txnrisk.operators import split as SP
 from txnrisk.operators.analytics import template_rows
 from txnrisk.operators.iforest import IsolationForest
 from txnrisk.operators.preprocess import Preprocess
-from txnrisk.session import build_session, tune
+from txnrisk.session import build_session, stage, tune
 from txnrisk.sources import readers as R
 from txnrisk.sources import writers as W
 from txnrisk.sources.schema import FEED_COLUMNS, SCORING_INPUTS
@@ -70,12 +70,13 @@ def run(
 ) -> dict:
     """Run the whole protocol and write every result under ``out``; returns the headline numbers."""
     tune(spark)
-    clean = CL.require_unique(CL.clean_rows(feed))
-    W.write_clean(clean, f"{out}/clean")
+    # The feed is parsed and folded once; audit, key check and clean table read the result.
+    parsed = stage(CL.typed(CL.distinct_rows(feed)), "parsed")
+    W.write_clean(CL.require_unique(CL.valid_rows(parsed)), f"{out}/clean", check=False)
     W.write_text(R.read_clean(spark, f"{out}/clean").drop("txn_month"), f"{out}/clean_csv")
     # Everything below reads the stored table: no recomputation of the cleaning.
     df = R.read_clean(spark, f"{out}/clean").drop("txn_month")
-    audit = audit_document(feed, df, digest)
+    audit = audit_document(feed, parsed, df, digest)
     W.write_document(audit, f"{out}/audit")
 
     cuts = SP.find_cuts(df)
@@ -137,10 +138,10 @@ def run(
     return {"selected_model": selected, "threshold": threshold, "anomaly_cutoff": cutoff, "test": test_row.asDict()}
 
 
-def audit_document(feed: DataFrame, clean: DataFrame, digest: DataFrame | None = None) -> DataFrame:
+def audit_document(feed: DataFrame, parsed: DataFrame, clean: DataFrame, digest: DataFrame | None = None) -> DataFrame:
     """One row: the audit counters, the history caution and the identity of the input."""
     spark = feed.sparkSession
-    row = CL.audit_summary(feed).withColumns({c: iso_text(F.col(c)) for c in ("min_date", "max_date")}).first().asDict(recursive=True)
+    row = CL.summarize(parsed).withColumns({c: iso_text(F.col(c)) for c in ("min_date", "max_date")}).first().asDict(recursive=True)
     row["columns"] = FEED_COLUMNS
     row["history_caution"] = {**CL.history_decreases(clean).first().asDict(), "interpretation": CL.INTERPRETATION}
     if digest is not None:
