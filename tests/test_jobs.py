@@ -47,6 +47,9 @@ def test_run_writes_every_result(spark, run):
         assert again[m] == pytest.approx(head["test"][m], abs=1e-12), m
     selection = spark.read.json(f"{out}/a/selection").first()
     assert selection["model"] == head["selected_model"] and selection["fit_partition"] == "train only"
+    record = spark.read.json(f"{out}/a/metrics").first()
+    assert record["final_model"] == head["selected_model"] and record["test"]["tp"] == head["test"]["tp"]
+    assert len(record["test_confidence_intervals"]["intervals_95"]["f1"]) == 2 and len(record["customer_slices"]) >= 1
     audit = spark.read.json(f"{out}/a/audit").first()
     assert audit["rows_clean"] == clean.count() and len(audit["source_files"][0]["sha256"]) == 64
     split = spark.read.json(f"{out}/a/split_summary").first()

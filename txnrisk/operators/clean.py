@@ -9,6 +9,7 @@ from txnrisk.functions import coerce as C
 from txnrisk.operators import kernels as K
 from txnrisk.sources import schema as S
 
+# Fixed value: note stored with the history audit.
 INTERPRETATION = (
     "Snapshot definitions and customer-ID consistency are unverified. History inputs must be available "
     "before the transaction; no history is reconstructed from future rows."

@@ -13,6 +13,7 @@ from txnrisk.operators import metrics as M
 from txnrisk.operators import models as MD
 from txnrisk.sources.schema import SCORING_INPUTS
 
+# Fixed value: description stored with the intervals.
 METHOD = (
     "Customer-group percentile bootstrap on fixed test predictions; conditional on the fitted model, "
     "not training/selection uncertainty."
@@ -86,7 +87,7 @@ def sensitivity(
     train: DataFrame, validation: DataFrame, candidate: MD.Candidate, final: PipelineModel | None = None
 ) -> DataFrame:
     """Validation average precision of the chosen model type with extra inputs; none may replace it."""
-    variants = [
+    variants = [  # fixed values: names in the result table
         ("Final: transaction-time fields only", False, False),
         ("Add unverified history (diagnostic only)", True, False),
         ("Add suspicious keyword (diagnostic only)", False, True),

@@ -74,7 +74,8 @@ typed as (select
   nullif(trim(Merchant_Category), '') as category, Payment_Method as method, Device_Type as device, Location as location,
   Suspicious_Keyword as keyword,
   case when try_cast(Fraudulent as double) in (0, 1) then cast(Fraudulent as int) end as label,
-  Transaction_Amount as raw_amount, Is_International as raw_intl, Previous_Transactions as raw_prev
+  Transaction_Amount as raw_amount, Is_International as raw_is_intl, Previous_Transactions as raw_previous_txns,
+  Average_Spend as raw_average_spend, Account_Age_Days as raw_account_age_days
   from uniq),
 valid as (select * from typed where txn_id is not null and customer_id is not null and txn_ts is not null and label is not null)"""
 

@@ -17,6 +17,7 @@ from txnrisk.operators import scoring as S
 from txnrisk.operators import split as SP
 from txnrisk.plans import oracles as O
 from txnrisk.session import tune
+from txnrisk.sources import schema as SC
 from txnrisk.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,11 +94,7 @@ def _day(col: str) -> Column:
 
 # ------------------------------------------------------------- audit and cleaning
 
-_AUDIT_MAPS = {
-    "missing_raw": ["Transaction_Amount", "Merchant_Category", "Transaction_ID"],
-    "missing_clean": ["Transaction_Amount", "Merchant_Category", "Is_International", "Previous_Transactions"],
-    "invalid_numeric_cells": ["Transaction_Amount", "Is_International", "Previous_Transactions", "Average_Spend"],
-}
+_AUDIT_MAPS = {"missing_raw": SC.FEED_COLUMNS, "missing_clean": SC.FEED_COLUMNS, "invalid_numeric_cells": [SC.ENGINE_TO_FEED[c] for c in SC.NUMERIC]}
 
 
 @query("audit_summary", "with " + O.RAW + """
@@ -109,17 +106,11 @@ select (select count(*) from raw) as rows_raw,
   count(*) filter (amount = 0) as zero_amount_count,
   strftime(min(txn_ts), '%Y-%m-%d %H:%M:%S') as min_date, strftime(max(txn_ts), '%Y-%m-%d %H:%M:%S') as max_date,
   count(distinct customer_id) as unique_customers,
-  (select count(*) filter (Transaction_Amount is null) from raw) as missing_raw_Transaction_Amount,
-  (select count(*) filter (Merchant_Category is null) from raw) as missing_raw_Merchant_Category,
-  (select count(*) filter (Transaction_ID is null) from raw) as missing_raw_Transaction_ID,
-  count(*) filter (amount is null) as missing_clean_Transaction_Amount,
-  count(*) filter (category is null) as missing_clean_Merchant_Category,
-  count(*) filter (is_intl is null) as missing_clean_Is_International,
-  count(*) filter (previous_txns is null) as missing_clean_Previous_Transactions,
-  (select count(*) filter (raw_amount is not null and amount is null) from typed) as invalid_numeric_cells_Transaction_Amount,
-  (select count(*) filter (raw_intl is not null and is_intl is null) from typed) as invalid_numeric_cells_Is_International,
-  (select count(*) filter (raw_prev is not null and previous_txns is null) from typed) as invalid_numeric_cells_Previous_Transactions,
-  cast(0 as bigint) as invalid_numeric_cells_Average_Spend
+""" + ",\n".join(
+    [f"(select count(*) filter ({c} is null) from raw) as missing_raw_{c}" for c in SC.FEED_COLUMNS]
+    + [f"count(*) filter ({SC.FEED_TO_ENGINE[c]} is null) as missing_clean_{c}" for c in SC.FEED_COLUMNS]
+    + [f"(select count(*) filter (raw_{c} is not null and {c} is null) from typed) as invalid_numeric_cells_{SC.ENGINE_TO_FEED[c]}" for c in SC.NUMERIC]
+) + """
 from valid""")
 def audit_summary(spark, sf_dir):
     a = CL.audit_summary(null_tokens(T.raw_feed(spark, sf_dir)))
@@ -159,14 +150,14 @@ def history_decreases(spark, sf_dir):
     return CL.history_decreases(T.transactions(spark, sf_dir))
 
 
-_PROFILED = ["category", "method", "device", "location", "keyword", "label", "customer_id"]
+_KINDS = {"txn_ts": "timestamp_ntz", "label": "int", **dict.fromkeys(SC.NUMERIC, "double")}
 
 
 @query("column_profile", "with " + O.RAW + " " + " union all ".join(
     f"""select '{c}' as "column", '{t}' as "type", count(*) filter ({c} is null) as nulls, count(distinct {c}) as distinct_values from valid"""
-    for c, t in zip(_PROFILED, ["string"] * 5 + ["int", "string"])))
+    for c, t in ((c, _KINDS.get(c, "string")) for c in SC.FEED_TO_ENGINE.values())))
 def column_profile(spark, sf_dir):
-    return CL.column_profile(CL.clean_rows(null_tokens(T.raw_feed(spark, sf_dir))).select(*_PROFILED))
+    return CL.column_profile(CL.clean_rows(null_tokens(T.raw_feed(spark, sf_dir))))
 
 
 @query("describe_numeric", "with " + O.TXN + " " + " union all ".join(
@@ -333,8 +324,8 @@ _TREND = {
     "month": ("cast(date_trunc('month', txn_ts) as date)", "interval 1 month", ""),
 }
 for _period, (_trunc, _step, _shift) in _TREND.items():
-    query(f"trend_{_period}", "with " + O.SPLIT + f""",
-base as (select {_trunc} as d, label, amount from sp where device = 'P' or extract(year from txn_ts) % 2 = 0),
+    query(f"trend_{_period}", "with " + O.TXN + f""",
+base as (select {_trunc} as d, label, amount from txn),
 per as (select d, count(*) as n, sum(label) as p, sum(amount) as a from base group by d),
 spine as (select cast(unnest(generate_series(min(d), max(d), {_step})) as date) as d from per)
 select strftime(s.d{_shift}, '%Y-%m-%d') as period, coalesce(n, 0) as transactions, cast(coalesce(p, 0) as bigint) as positives,
@@ -344,9 +335,7 @@ select strftime(s.d{_shift}, '%Y-%m-%d') as period, coalesce(n, 0) as transactio
 
 
 def _trend(spark, sf_dir, period):
-    # Odd years keep one device only, so that some periods are empty.
-    txn = T.transactions(spark, sf_dir).where((F.col("device") == "P") | (F.year("txn_ts") % 2 == 0))
-    out = A.trend(txn, period).withColumns({"amount": F.round("amount", 2), "rate_percent": F.round("rate_percent", 9)})
+    out = A.trend(T.transactions(spark, sf_dir), period).withColumns({"amount": F.round("amount", 2), "rate_percent": F.round("rate_percent", 9)})
     return out.withColumn("period", _day("period"))
 
 

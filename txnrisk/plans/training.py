@@ -120,9 +120,11 @@ def run(
     W.write_table(M.curves(M.ranking(test_scores, groups=["model"], group_limit=models), ["model"]), f"{out}/performance_curves")
     W.write_table(wide.where(F.col("split") == "test").drop(DUMMY), f"{out}/test_model_scores")
     chosen = test_scores.where(F.col("model") == selected).select("txn_id", "customer_id", "label", "score")
-    W.write_table(D.grouped_bootstrap(chosen, threshold, repeats), f"{out}/test_confidence_intervals")
+    intervals = D.grouped_bootstrap(chosen, threshold, repeats)
+    W.write_table(intervals.withColumns({"method": F.lit(D.METHOD), "seed": F.lit(MD.SEED)}), f"{out}/test_confidence_intervals")
     seen = SP.seen_flag(df, cuts).select("txn_id", F.when(F.col("seen"), "seen in training").otherwise("unseen in training").alias("customer_slice"))
     W.write_table(M.evaluate(chosen.join(seen, "txn_id"), threshold, groups=["customer_slice"], group_limit=2), f"{out}/customer_slices")
+    W.write_document(metrics_document(spark, out, selected), f"{out}/metrics")
     if diagnostics:
         val = df.where(cuts.condition("validation"))
         W.write_table(D.sensitivity(train, val, MD.candidates()[selected], fitted[selected]), f"{out}/feature_sensitivity")
@@ -160,6 +162,23 @@ def split_document(df: DataFrame, cuts: SP.Cuts) -> DataFrame:
     return json_document(spark, doc)
 
 
+def metrics_document(spark: SparkSession, out: str, selected: str) -> DataFrame:
+    """One nested record of the headline results, from the stored result tables (a few rows each)."""
+    table = {(r["model"], r["split"]): r.asDict() for r in spark.read.parquet(f"{out}/model_comparison").collect()}
+    intervals = spark.read.parquet(f"{out}/test_confidence_intervals").collect()
+    return json_document(spark, {
+        "final_model": selected,
+        "test": table[selected, "test"],
+        "validation": table[selected, "validation"],
+        "isolation_forest_test": table[ANOMALY, "test"],
+        "test_confidence_intervals": {
+            "method": D.METHOD, "seed": MD.SEED, "repeats": intervals[0]["repeats"],
+            "intervals_95": {r["metric"]: [r["lower"], r["upper"]] for r in intervals},
+        },
+        "customer_slices": [r.asDict() for r in spark.read.parquet(f"{out}/customer_slices").orderBy("customer_slice").collect()],
+    })
+
+
 def json_document(spark: SparkSession, doc: dict) -> DataFrame:
     """A nested record as a one-row DataFrame (schema taken from the JSON text)."""
     text = json.dumps(doc, allow_nan=False)
