@@ -200,6 +200,9 @@ def digest(found: Column) -> dict[str, Column]:
     def joined(x: Column) -> Column:
         return F.concat_ws(",", F.transform(x, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
-    counts = {f"n_{k}": F.size(F.filter(found, lambda s, k=k: s["kind"] == k)).cast("long") for k in BASE_KINDS}
+    def count(kind: str) -> Column:
+        return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
+
+    counts = {f"n_{k}": count(k) for k in BASE_KINDS}
     base = joined(F.filter(found, lambda s: s["base"]))
     return {**counts, "base_sha256": F.sha2(base.cast("binary"), 256), "spans": joined(found)}
