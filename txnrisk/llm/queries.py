@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import bpe, pii
+from txnrisk.llm import bpe, pii, substring
 from txnrisk.llm.common import documents
 
 
@@ -15,6 +15,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[c.alias(n) for n, c in pii.digest(F.col("pii_spans")).items()])
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every whole text that repeat a 13-word window of a document with a smaller ID, removed."""
+    kept = substring.deduplicate(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token IDs of every whole text and the text decoded from them, as digests."""
     import public_tokenizers
@@ -28,5 +34,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op10_bpe)}
 ORACLES: dict[str, str] = {}
