@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import bpe, pii, substring
+from txnrisk.llm import bpe, pii, simhash, substring, suffix
 from txnrisk.llm.common import documents
 
 
@@ -21,6 +21,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every whole text covered by a 400-byte string that occurs anywhere else, removed."""
+    kept = suffix.deduplicate(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every whole text and the smallest document ID reachable over links of at most two bits."""
+    found = simhash.cluster(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token IDs of every whole text and the text decoded from them, as digests."""
     import public_tokenizers
@@ -34,5 +46,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_suffix_array_dedup, op4_simhash_near_dedup, op10_bpe)}
 ORACLES: dict[str, str] = {}
