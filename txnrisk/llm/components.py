@@ -19,7 +19,7 @@ def with_least(links: DataFrame) -> DataFrame:
     """
     salted = links.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
     least = links.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    copies = least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("s", F.col("s").cast("long"))
+    copies = least.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return salted.join(copies, ["u", "s"]).select("u", "v", "m")
 
 

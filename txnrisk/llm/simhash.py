@@ -176,7 +176,7 @@ def cluster(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     roots = components(links(classes.select("fp"), radius))
     linked = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    copies = least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    copies = least.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     linked = linked.withColumn("s", F.pmod(F.xxhash64("fp"), F.lit(SALTS))).join(copies, ["root", "s"]).select("fp", "component_id")
     ids = stage(classes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "component-ids")
     # A class may hold a third of all rows.  Both sides are plain scans, so Spark can split such a key at run time.
