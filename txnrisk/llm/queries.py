@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import bpe, pii, simhash, substring, suffix
-from txnrisk.llm.common import documents
+from txnrisk.llm import bpe, language, pii, quality, simhash, substring, suffix
+from txnrisk.llm.common import documents, remainder
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,24 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from the documents outside fold 2 of 4."""
+    docs = documents(spark, sf_dir, F.col("lang").cast("string").alias("lang"))
+    held = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = language.train(docs.where(~held))
+    found = docs.select("doc_id", held.alias("held_out"), language.identified(F.col("text"), model).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.rejected")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, learned from the labels outside fold 0 of 5."""
+    docs = documents(spark, sf_dir)
+    held = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held))
+    found = docs.select("doc_id", held.alias("held_out"), quality.scored(F.col("text"), model).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token IDs of every whole text and the text decoded from them, as digests."""
     import public_tokenizers
@@ -46,5 +64,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_suffix_array_dedup, op4_simhash_near_dedup, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_suffix_array_dedup, op4_simhash_near_dedup, op8_language_id, op9_quality_classifier, op10_bpe)}
 ORACLES: dict[str, str] = {}
