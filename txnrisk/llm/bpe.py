@@ -241,17 +241,7 @@ class Codec:
 
     def encode(self, text: Column) -> Column:
         """Array column of token IDs."""
-        shared = self.shared
-
-        @F.arrow_udf("array<int>")
-        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            vocabulary, cache = Vocabulary(shared.value), {}
-            for texts in batches:
-                packed = [*vocabulary.encode((t.as_py() or "" for t in texts), cache)]
-                ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
-                yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-
-        return run(text)
+        return unpacked(self.encode_packed(text))
 
     def decode_packed(self, packed: Column) -> Column:
         """Text column from packed IDs; null gives the empty text."""
@@ -266,6 +256,17 @@ class Codec:
         return run(packed)
 
 
+def unpacked(packed: Column) -> Column:
+    """Array column of the IDs in a packed column; null gives no IDs."""
+    @F.arrow_udf("array<int>")
+    def run(ids: pa.Array) -> pa.Array:
+        raw = [i or b"" for i in ids.to_pylist()]
+        ends = np.cumsum([0, *(len(r) // 4 for r in raw)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+
+    return run(packed)
+
+
 def encode_documents(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
     """``df`` with an array of token IDs as column ``into`` (an existing column of that name is replaced)."""
     return df.withColumn(into, Codec(df.sparkSession, path).encode(F.col(text)))

@@ -21,3 +21,14 @@ def encoded(texts: pa.Array) -> list[bytes]:
 def remainder(doc_id, parts: int):
     """CRC-32 of the ID's decimal text modulo ``parts``, which fixes the folds."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
+
+
+def row_key(df: DataFrame) -> DataFrame:
+    """``df`` with ``__key``, a hash of all its columns: equal rows share it, a missing ID does not matter."""
+    return df.withColumn("__key", F.xxhash64(*[F.to_json(F.col(c)) if "map" in kind else F.col(c) for c, kind in df.dtypes]))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

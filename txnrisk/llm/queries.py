@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import bpe, language, pii, quality, simhash, substring, suffix
+import corpus_pipeline
+from txnrisk.llm import bpe, decontaminate, language, pii, quality, sharding, simhash, spotsigs, substring, suffix
 from txnrisk.llm.common import documents, remainder
 
 
@@ -33,6 +34,35 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds, exactly or edited."""
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents dealt to 40 shards whose row counts are at most one apart, in random order."""
+    content = F.coalesce(F.col("text"), F.lit(""))
+    rows = documents(spark, sf_dir).select(
+        "doc_id", (F.octet_length(content) + 16).cast("long").alias("size"), F.crc32(content.cast("binary")).alias("text_crc32"),
+    )
+    dealt = sharding.assign(rows, ["doc_id", "size", "text_crc32"])
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every whole text and of its edited text, and its likeness to that and to the next document's."""
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = spotsigs.with_next(docs, {"prints": spotsigs.signatures(F.col("text"))})
+    pairs = pairs.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), "prints", "next_prints", spotsigs.edited(F.col("text"), F.col("next_text")).alias("edited"))
+    pairs = pairs.withColumn("edited_prints", spotsigs.signatures(F.col("edited")))
+    return pairs.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.as_text(F.col("prints")).alias("fingerprint"), spotsigs.as_text(F.col("edited_prints")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("prints"), F.col("edited_prints")).alias("near_edited"),
+        spotsigs.likeness(F.col("prints"), F.col("next_prints")).alias("near_next"),
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned from the documents outside fold 2 of 4."""
     docs = documents(spark, sf_dir, F.col("lang").cast("string").alias("lang"))
@@ -64,5 +94,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_suffix_array_dedup, op4_simhash_near_dedup, op8_language_id, op9_quality_classifier, op10_bpe)}
-ORACLES: dict[str, str] = {}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's last stage over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_suffix_array_dedup, op4_simhash_near_dedup, op5_benchmark_decontamination, op6_sharding, op7_document_fingerprints, op8_language_id, op9_quality_classifier, op10_bpe, pipeline)}
+ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import encoded
+from txnrisk.llm.common import encoded, row_key
 from txnrisk.llm.components import SALTS, components
 from txnrisk.session import stage
 
@@ -169,15 +169,39 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     return rows.select("group", F.col("band").cast("int"), "key", "side", "ones", "fp").mapInArrow(compare_task(radius), "u long, v long")
 
 
-def cluster(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row per row of ``df``: ``doc_id``, ``fp`` (signed number), ``component_id``."""
-    rows = stage(df.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprint(F.col(text).cast("string"), shingle).alias("fp")), "fingerprints")
+def cluster_rows(df: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """The columns of ``df`` (with ``doc_id`` and ``text``) but ``text``, with ``fp``, ``component`` (its root's fingerprint) and ``component_id``."""
+    others = [c for c in df.columns if c != "text"]
+    rows = stage(df.select(*others, fingerprint(F.col("text"), shingle).alias("fp")), "fingerprints")
     classes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes.select("fp"), radius))
     linked = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     copies = least.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    linked = linked.withColumn("s", F.pmod(F.xxhash64("fp"), F.lit(SALTS))).join(copies, ["root", "s"]).select("fp", "component_id")
-    ids = stage(classes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "component-ids")
+    linked = linked.withColumn("s", F.pmod(F.xxhash64("fp"), F.lit(SALTS))).join(copies, ["root", "s"]).select("fp", "root", "component_id")
+    named = classes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("component"), F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
     # A class may hold a third of all rows.  Both sides are plain scans, so Spark can split such a key at run time.
-    return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(stage(named, "component-ids"), "fp")
+
+
+def cluster(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row per row of ``df``: ``doc_id``, ``fp`` (signed number), ``component_id``."""
+    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return cluster_rows(rows, shingle, radius).select("doc_id", "fp", "component_id")
+
+
+def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``df`` with one row of each component: the smallest ID, rows without an ID last.
+
+    Rows equal in every column are one document, so one of them stays if any does.
+    """
+    keyed = row_key(df)
+    rows = keyed.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("__key"), F.col(text).cast("string").alias("text"))
+    found = cluster_rows(rows, shingle, radius)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key"))
+    winners = stage(found.groupBy("component").agg(best.alias("best")).select("best.__key"), "winners")
+    kept = keyed.join(winners.distinct(), "__key", "left_semi")
+    repeats = found.groupBy("__key").count().where("count > 1").join(winners, "__key", "left_semi").limit(1).count()
+    kept = kept.dropDuplicates(["__key"]) if repeats else kept
+    return kept.select(*df.columns)
