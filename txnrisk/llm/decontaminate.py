@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Texts are lower-cased and read as words (ASCII punctuation parts them).  How many documents hold each n-gram of the benchmark is counted over the whole corpus;
-an item's seeds are its n-grams held by at most ``RARE_SHARE`` of all documents, and in any case its ``MIN_SEEDS`` rarest, so that
-an item that leaked everywhere is still found.  Items shorter than ``GRAM`` words are one seed as a whole.
+an item's seeds are its n-grams held by at most ``RARE_SHARE`` of all documents or by at most ``TYPICAL`` times as many as its median
+n-gram, and in any case its ``MIN_SEEDS`` rarest.  So an item that leaked everywhere keeps its seeds, and only phrases that are common
+beyond the item are left out.  Items shorter than ``GRAM`` words are one seed as a whole.
 
 A document that holds a seed is a candidate at the place where the item would lie.  The words there, with some room on either side,
 are aligned locally with the item's (match 1, mismatch and gap ``PENALTY``), and the best alignment's score over the item's number of words
@@ -30,6 +31,7 @@ from txnrisk.llm import superkmers as S
 
 GRAM = 3
 RARE_SHARE = 1e-3
+TYPICAL = 4
 MIN_SEEDS = 8
 THRESHOLD = 0.5
 MIN_MATCHES = 5
@@ -106,9 +108,11 @@ class Index:
         """Only the seeds: ``held_by`` says for each distinct hash, in order, how many documents hold it."""
         spread = held_by[np.searchsorted(np.unique(self.hash), self.hash)]
         order = np.lexsort((self.place, spread, self.item))
-        rank = np.arange(len(order)) - np.searchsorted(self.item[order], self.item[order])
+        item, spread_there = self.item[order], spread[order]
+        first, end = np.searchsorted(item, item), np.searchsorted(item, item, side="right")
+        typical = spread_there[(first + end - 1) // 2]
         seed = np.zeros(len(order), bool)
-        seed[order] = (rank < MIN_SEEDS) | (spread[order] <= RARE_SHARE * documents)
+        seed[order] = (np.arange(len(order)) - first < MIN_SEEDS) | (spread_there <= np.maximum(RARE_SHARE * documents, TYPICAL * typical))
         self.hash, self.item, self.place, self.size = (x[seed] for x in (self.hash, self.item, self.place, self.size))
         self.sort()
 

@@ -193,8 +193,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
 
 def repeat_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Maximal repeat groups as found at each anchor: one row per occurrence with ``repeat`` (a number of the repeated bytes), ``n_bytes``,
-    ``row_id``, ``mark``, ``start``.  Equal texts that one chunk holds twice are reported once; their copies are in the spans.
+    """Maximal repeat groups of the windows around each anchor: one row per occurrence with ``repeat`` (a number of the repeated bytes), ``n_bytes``,
+    ``row_id``, ``mark``, ``start``.  A repeat that spans several anchors comes in pieces that overlap, each with all its
+    occurrences.  Equal segments that one chunk holds twice are reported once; their copies are in the spans.
     """
     schema = pa.schema([("repeat", pa.int64()), ("n_bytes", pa.int64()), ("row_id", pa.int64()), ("mark", pa.int32()), ("start", pa.int64())])
 
