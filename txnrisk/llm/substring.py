@@ -27,6 +27,7 @@ from txnrisk.llm import superkmers as S
 
 WINDOW = 13
 GRAM = 3
+PART_BYTES = 2 << 20  # text of a bucket whose windows are sorted at a time
 MAX_BUCKETS = 1 << 20
 
 
@@ -140,9 +141,24 @@ def answer(spans: list[tuple[int, int, bytes]]) -> pa.Table:
 
 
 def judge_windows(segments: S.Segments, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Segment and offset of every window that also starts in a document with a smaller ID."""
-    if not len(segments.row):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """Segment and offset of every window that also starts in a document with a smaller ID.
+
+    A bucket is sorted in parts of about ``PART_BYTES``, dealt by minimiser, so that memory stays at a few arrays over one part.
+    """
+    parts = max(1, math.ceil(int(segments.size.sum()) / PART_BYTES))
+    part = S.mix(segments.minimiser ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+    found = [(np.zeros(0, np.int64),) * 2]
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if b > a:
+            owner, offset = judge_part(segments.compact(order[a:b]), window)
+            found.append((order[a:b][owner], offset))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def judge_part(segments: S.Segments, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """``judge_windows`` for segments whose texts lie back to back."""
     data = segments.data
     # Blanks part words inside a segment, edges do so between segments, whose texts lie back to back.
     gaps = np.flatnonzero(data == 32)
