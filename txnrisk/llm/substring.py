@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from txnrisk.llm import superkmers as S
 
 WINDOW = 13
-GRAM = 3
+GRAM = 1
 PART_BYTES = 2 << 20  # text of a bucket whose windows are sorted at a time
 MAX_BUCKETS = 1 << 20
 

@@ -128,7 +128,7 @@ class Segments:
                 values = np.diff(values, prepend=values.dtype.type(0))
             columns.append(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
         texts = self.data[expand(self.at, self.size)].tobytes()
-        return zstandard.ZstdCompressor(level=3).compress(b"".join([struct.pack("<q", len(self.row)), *columns, texts]))
+        return zstandard.ZstdCompressor(level=7).compress(b"".join([struct.pack("<q", len(self.row)), *columns, texts]))
 
     @classmethod
     def unpack(cls, blobs: list[bytes]) -> Segments:
