@@ -95,15 +95,44 @@ def test_dense_index_is_a_numbering(spark, per_bucket):
     assert (merged.idx_x == merged.idx_y).all()
 
 
-@pytest.mark.parametrize("hot", [[], [0], [0, 1, 77]])
-def test_lookup_with_hot_keys(spark, hot):
+@pytest.mark.parametrize("salts", [1, 16])
+def test_lookup_spreads_every_key(spark, salts):
     left = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"))
     right = spark.range(0, 30).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    got = K.lookup(left, right, "k", ["v"], spread="id", hot=hot).toPandas().set_index("id")["v"].sort_index()
+    got = K.lookup(left, right, "k", ["v"], spread=["id"], salts=salts).toPandas().set_index("id")["v"].sort_index()
     want = left.join(right, "k", "left").toPandas().set_index("id")["v"].sort_index()
     pd.testing.assert_series_equal(got, want, check_dtype=False)
 
 
+def test_quantile_fetch_is_bounded_by_the_limit(spark, monkeypatch):
+    """Half zeros, half ones and a little in between: neither rows nor ties may carry more than the limit to the driver."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([np.zeros(14_850), np.ones(14_850), rng.random(300), -rng.lognormal(0, 20, 50)])
+    fetched, plain = [], K._fetch
+    monkeypatch.setattr(K, "_fetch", lambda hits: fetched.append(rows := plain(hits)) or rows)
+    ps = [0.001, 0.25, 0.495, 0.5, 0.504, 0.75, 1.0]
+    got = K.exact_quantiles(spark.createDataFrame(pd.DataFrame({"x": x})), {"x": (F.col("x"), ps)}, collect_limit=50)
+    np.testing.assert_allclose(got["x"], np.quantile(x, ps), rtol=1e-13)
+    assert all(len([r for r in rows if r["task"] == task]) <= 50 for rows in fetched for task in {r["task"] for r in rows})
+
+
+def test_many_ranges_come_from_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(K, "SKETCH_BUCKETS", 10)
+    bounds = K.value_bounds(spark.range(5000).withColumn("v", F.col("id").cast("double")), "v", rows_per_bucket=50)
+    assert len(bounds) > 80 and max(np.diff([0, *bounds, 5000])) < 200
+
+
+@pytest.mark.parametrize("query", ["metric_record", "pr_curve", "spearman", "threshold_sweep", "model_comparison"])
+def test_no_single_task_over_rows(spark, sf, query):
+    """Windows run inside ranges of values; only those over cells (one row per range) span them."""
+    from txnrisk.plans.registry import QUERIES
+
+    plan = QUERIES[query](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [sum(" in line]
+    assert any("(_bucket#" in line for line in windows)
+    assert all("_cell_" in line or "normalizenanandzero(_bucket#" in line for line in windows), windows
+
+
 @pytest.mark.parametrize("per_bucket", [20, 10**6])
 def test_history_decreases_across_ranges(spark, per_bucket):
     rng = np.random.default_rng(9)

@@ -14,6 +14,8 @@ from txnrisk.operators.split import label_text
 DIMENSIONS = ["category", "location", "device", "method", "is_intl"]
 WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]  # fixed values, Monday is 0
 
+MAX_LEVELS = 50  # groups of a box plot
+
 
 def filtered(
     df: DataFrame, split: str | None = None, start: dt.date | None = None, end: dt.date | None = None,
@@ -171,8 +173,16 @@ def histogram(df: DataFrame, value: str, bins: int, by: str = "label", density:
     return out
 
 
-def box_summary(df: DataFrame, value: str = "amount", by: str = "label", levels: tuple = (0, 1)) -> DataFrame:
-    """Exact quartiles, whiskers within 1.5 IQR and the outlier count per group."""
+def box_summary(df: DataFrame, value: str = "amount", by: str = "label", levels: tuple | None = None) -> DataFrame:
+    """Exact quartiles, whiskers within 1.5 IQR and the outlier count per group.
+
+    ``levels``: the groups wanted; by default all that occur, which must be at most ``MAX_LEVELS``.
+    """
+    if levels is None:
+        found = df.where(F.col(by).isNotNull()).select(by).distinct().limit(MAX_LEVELS + 1).collect()
+        if len(found) > MAX_LEVELS:
+            raise ValueError(f"{by} has more than {MAX_LEVELS} values; name the levels wanted")
+        levels = tuple(sorted(r[0] for r in found))
     q = K.exact_quantiles(
         df, {f"g{i}": (F.when(F.col(by) == g, F.col(value)), [0.25, 0.5, 0.75]) for i, g in enumerate(levels)}
     )
@@ -198,8 +208,7 @@ def box_summary(df: DataFrame, value: str = "amount", by: str = "label", levels:
 
 def box_outliers(df: DataFrame, summary: DataFrame, value: str = "amount", by: str = "label") -> DataFrame:
     """Rows beyond the whiskers; the summary has one row per group."""
-    ends = summary.select(by, "whisker_low", "whisker_high")
-    return df.join(F.broadcast(ends), by).where(
+    return K.lookup(df, summary, by, ["whisker_low", "whisker_high"], spread=["txn_id"]).where(
         (F.col(value) < F.col("whisker_low")) | (F.col(value) > F.col("whisker_high"))
     ).select("txn_id", by, value)
 
@@ -224,16 +233,15 @@ def spearman(df: DataFrame, cols: list[str], rows_per_bucket: int = K.ROWS_PER_B
     """
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     combos = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w"))
-    size = rows.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    n = rows.count()
     joined = combos
     for c in cols:
-        bounds = K.value_bounds(rows, c, rows_per_bucket=rows_per_bucket, rows=size["n"])
+        bounds = K.value_bounds(rows, c, rows_per_bucket=rows_per_bucket, rows=n)
         placed = K.cumulate(combos, c, {"w": F.col("_w")}, bounds=bounds, descending=False)
         # Centred average rank: rows before + half of the ties - half of all rows.
         mid = F.col("cum_w") - F.col("w") / F.lit(2.0) - F.col("all_w") / F.lit(2.0)
-        # A column of few values must not shuffle all rows by those values; twice the
-        # estimate bounds the count with a wide margin.
-        joined = joined.join(K.small(placed.select(c, mid.alias(f"_r_{c}")), 2 * size[c]), c)
+        # A value may be shared by very many combinations, so they are spread.
+        joined = K.lookup(joined, placed.select(c, mid.alias(f"_r_{c}")), c, [f"_r_{c}"], spread=[x for x in cols if x != c] or [c])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     sums = joined.agg(*[F.sum(F.col("_w") * F.col(f"_r_{a}") * F.col(f"_r_{b}")).alias(f"{a}__{b}") for a, b in pairs])
 

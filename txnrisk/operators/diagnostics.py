@@ -44,13 +44,13 @@ def draw_weights(customers: DataFrame, repeats: int, seed: int) -> DataFrame:
     return numbered.join(per_customer, "idx").select("customer_id", "drawn")
 
 
-def resampled(test: DataFrame, repeats: int = 400, seed: int = 42, hot: list | None = None) -> DataFrame:
+def resampled(test: DataFrame, repeats: int = 400, seed: int = 42) -> DataFrame:
     """(repeat, score, pos, alerts) totals of every resample."""
     folded = test.groupBy("customer_id", "score").agg(
         F.sum("label").cast("bigint").alias("pos"), F.count(F.lit(1)).alias("alerts")
     )
     weights = draw_weights(test.select("customer_id").distinct(), repeats, seed)
-    keyed = K.lookup(folded, weights, "customer_id", ["drawn"], spread="score", hot=hot)
+    keyed = K.lookup(folded, weights, "customer_id", ["drawn"], spread=["score"]).where("drawn is not null")
     return keyed.select("score", "pos", "alerts", F.explode("drawn").alias("d")).select(
         F.col("d.repeat").alias("repeat"), "score",
         (F.col("pos") * F.col("d.times")).alias("pos"), (F.col("alerts") * F.col("d.times")).alias("alerts"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 import bisect
 import datetime as dt
 import math
+import struct
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -17,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
+MIN_BUCKETS = 8     # ranges of even the smallest table: there is one plan for all sizes
+SKETCH_BUCKETS = 1024  # ranges one quantile sketch finds; more come from a sketch inside each of these
 BROADCAST_ROWS = 200_000  # rows of a few numbers each: a few MB
 
 
@@ -27,23 +29,29 @@ def value_bounds(
     df: DataFrame, value: str, groups: list[str] | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
     rows: int | None = None,
 ) -> list[float]:
-    """Inner boundaries that cut ``value`` into ranges of at most about ``rows_per_bucket`` rows.
+    """Inner boundaries that cut ``value`` into ranges of at most about ``rows_per_bucket`` rows, ``MIN_BUCKETS`` at least.
 
     Boundaries are quantile sketches per group, merged: a cell between two merged
     boundaries holds no more of a group than that group's own cell would.  They
     only balance load, so approximate quantiles do; a value that fills a range by
-    itself collapses later, when rows are aggregated by value.  ``rows`` is the size of
-    the largest group, counted here if not given.
+    itself collapses later, when rows are aggregated by value.  Their number grows with the table without a limit: beyond
+    ``SKETCH_BUCKETS`` ranges, each range is sketched again by itself, so no sketch has to be finer than that.
+    ``rows`` is the size of the largest group, counted here if not given.
     """
     if rows is None:
         rows = df.groupBy(*(groups or [])).agg(F.count(value).alias("n")).agg(F.max("n")).first()[0] or 0
-    biggest = rows
-    buckets = min(MAX_BUCKETS, -(-biggest // rows_per_bucket))
-    if buckets <= 1:
-        return []
+    buckets = max(MIN_BUCKETS, -(-rows // rows_per_bucket))
+    coarse = _quantiles(df, value, list(groups or []), min(buckets, SKETCH_BUCKETS))
+    if buckets <= SKETCH_BUCKETS:
+        return coarse
+    ranged = with_bucket(df, value, coarse, "_range")
+    return sorted({*coarse, *_quantiles(ranged, value, ["_range", *(groups or [])], -(-buckets // SKETCH_BUCKETS))})
+
+
+def _quantiles(df: DataFrame, value: str, groups: list[str], buckets: int) -> list[float]:
     probs = [i / buckets for i in range(1, buckets)]
     sketch = F.percentile_approx(value, probs, max(10_000, 10 * buckets))
-    found = df.groupBy(*(groups or [])).agg(sketch.alias("q")).collect()
+    found = df.groupBy(*groups).agg(sketch.alias("q")).collect()  # one list per group
     return sorted({float(q) for r in found for q in (r["q"] or [])})
 
 
@@ -88,18 +96,7 @@ def cumulate(
     names = list(measures)
     flat = df.select(*groups, value, *[c.alias(n) for n, c in measures.items()])
     by_value = F.col(value).desc() if descending else F.col(value).asc()
-    if not bounds:
-        # Every group fits one bucket (see value_bounds): a plain window per group.
-        points = flat.groupBy(*groups, value).agg(*[F.sum(n).alias(n) for n in names])
-        whole = Window.partitionBy(*groups)
-        along = whole.orderBy(by_value)
-        upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return points.select(
-            *groups, value, *names,
-            *[F.sum(n).over(upto).alias(f"cum_{n}") for n in names],
-            *[F.sum(n).over(whole).alias(f"all_{n}") for n in names],
-            *[F.lead(n).over(along).alias(f"next_{n}") for n in names],
-        )
+    bounds = list(bounds or [])  # without boundaries there is one range; see value_bounds
     flat = with_bucket(flat, value, bounds)
     # Partial aggregation folds a hot value before anything is shuffled.
     points = flat.groupBy(*groups, "_bucket", value).agg(*[F.sum(n).alias(n) for n in names])
@@ -218,107 +215,102 @@ def ntz(value: dt.datetime) -> Column:
 
 @dataclass
 class _Bracket:
+    """Values lo..hi that hold the row at a 0-based rank; ``below`` rows are smaller than lo, ``inside`` lie in between."""
+
     lo: float
     hi: float
-    below: int = 0  # rows strictly below lo
-    inside: int = 0  # rows in [lo, hi]
-    outer: tuple | None = None  # the bracket this one was narrowed from
-    slack: float = 0.0  # extra rank share kept on both sides when narrowing
+    below: int
+    inside: int
+    halve: bool = False  # the sketch did not help last time
+
+    def wide(self, limit: int) -> bool:
+        return self.inside > limit and self.lo < self.hi
 
-    def holds(self, rank: float) -> bool:
-        return self.below <= math.floor(rank) <= math.ceil(rank) < self.below + self.inside
 
-    def narrow(self, lo: float, hi: float) -> None:
-        self.outer = (self.lo, self.hi, self.below, self.inside)
-        self.lo, self.hi = lo, hi
+def _ordinal(x: float) -> int:
+    """Number of a double in the order of all doubles."""
+    bits = struct.unpack("<q", struct.pack("<d", x))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFFFFFFFFFFFFFF)
 
-    def widen(self) -> None:
-        self.lo, self.hi, self.below, self.inside = self.outer
-        self.slack = 4 * self.slack
+
+def _halfway(lo: float, hi: float) -> float:
+    """A double from lo up to but not including hi that halves the doubles in between: 64 halvings reach any value."""
+    mid = (_ordinal(lo) + _ordinal(hi)) // 2
+    return struct.unpack("<d", struct.pack("<q", mid if mid >= 0 else -(2**63) - mid))[0]
+
+
+def _fetch(hits: DataFrame) -> list:
+    return hits.collect()
 
 
 def exact_quantiles(
-    df: DataFrame, wanted: dict[str, tuple[Column, list[float]]], collect_limit: int = 200_000, accuracy: int = 10_000
+    df: DataFrame, wanted: dict[str, tuple[Column, list[float]]], collect_limit: int = 20_000, accuracy: int = 10_000
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolation quantiles of several expressions at once.
 
-    Spark's exact ``percentile`` holds every distinct value in one reducer.  Here a
-    quantile sketch brackets each wanted rank, rows below a bracket are counted, and
-    only values inside brackets are fetched, by value with counts.  A bracket with
-    more than ``collect_limit`` rows is sketched again, so the fetch stays bounded
-    whatever the table's size.
+    Spark's exact ``percentile`` holds every distinct value in one reducer.  Here each
+    wanted rank has a bracket of values.  Rounds narrow the brackets, by a quantile sketch of the values inside or, where that
+    does not move the ends, by halving the numbers in between, until a bracket holds at most
+    ``collect_limit`` rows or a single value; only then are its values fetched, with counts.  So at most that many
+    values per rank reach the driver, whatever the table's size or ties.
     """
     slack = 2.0 / accuracy
     names = list(wanted)
     flat = df.select(*[wanted[n][0].cast("double").alias(n) for n in names])
-
-    def around(p: float, slack: float = slack) -> list[float]:
-        return [max(0.0, p - slack), min(1.0, p + slack)]
-
-    aggs = []
-    for n in names:
-        probs = [q for p in wanted[n][1] for q in around(p)]
-        aggs += [F.count(n).alias(f"{n}__n"), F.min(n).alias(f"{n}__min"), F.max(n).alias(f"{n}__max"),
-                 F.percentile_approx(n, probs, accuracy).alias(f"{n}__q")]
-    first = flat.agg(*aggs).first()
+    first = flat.agg(*[f(n).alias(f"{n}__{k}") for n in names for k, f in (("n", F.count), ("min", F.min), ("max", F.max))]).first()
     size = {n: first[f"{n}__n"] for n in names}
-    rank = {(n, i): (size[n] - 1) * p for n in names if size[n] for i, p in enumerate(wanted[n][1])}
-    brackets: dict[tuple[str, int], _Bracket] = {}
-    for n, i in rank:
-        b = _Bracket(first[f"{n}__min"], first[f"{n}__max"], 0, size[n], slack=slack)
-        p = wanted[n][1][i]
-        if size[n] * slack >= 4:  # below that the sketch cannot be trusted to one rank
-            lo, hi = first[f"{n}__q"][2 * i:2 * i + 2]
-            b.narrow(lo if p - slack > 0 else b.lo, hi if p + slack < 1 else b.hi)
-        brackets[n, i] = b
-
-    pending = {key: b for key, b in brackets.items() if b.outer}
-    wide = {key: b for key, b in brackets.items() if not b.outer and b.inside > collect_limit}
-    while pending or wide:
-        if pending:
-            aggs = []
-            for (n, i), b in pending.items():
-                inside = F.col(n).between(b.lo, b.hi)
-                aggs += [F.count_if(F.col(n) < b.lo).alias(f"{n}__{i}__b"), F.count_if(inside).alias(f"{n}__{i}__i")]
-            row = flat.agg(*aggs).first()
-            for (n, i), b in pending.items():
-                b.below, b.inside = row[f"{n}__{i}__b"], row[f"{n}__{i}__i"]
-                if not b.holds(rank[n, i]):
-                    b.widen()  # the sketch missed: narrow the outer bracket again, more carefully
-                if b.inside > collect_limit and b.lo < b.hi:
-                    wide[n, i] = b
-        pending = {}
-        if wide:
-            aggs = []
-            for (n, i), b in wide.items():
-                inside = F.when(F.col(n).between(b.lo, b.hi), F.col(n))
-                probs = around((rank[n, i] - b.below) / (b.inside - 1), b.slack)
-                aggs.append(F.percentile_approx(inside, probs, accuracy).alias(f"{n}__{i}__q"))
-            row = flat.agg(*aggs).first()
-            for (n, i), b in wide.items():
-                lo, hi = row[f"{n}__{i}__q"]
-                if (lo, hi) != (b.lo, b.hi):  # an unchanged bracket holds few distinct values
-                    b.narrow(lo, hi)
-                    pending[n, i] = b
-            wide = {}
-
-    counts: dict[tuple[str, int], list[tuple[float, int]]] = {key: [] for key in brackets}
-    if brackets:
+    place = {(n, i): (size[n] - 1) * p for n in names if size[n] for i, p in enumerate(wanted[n][1])}
+    ranks = sorted({(n, k) for (n, _), x in place.items() for k in (math.floor(x), math.ceil(x))})
+    brackets = {(n, k): _Bracket(first[f"{n}__min"], first[f"{n}__max"], 0, size[n]) for n, k in ranks}
+
+    while wide := {f"r{j}": (n, k, brackets[n, k]) for j, (n, k) in enumerate(ranks) if brackets[n, k].wide(collect_limit)}:
+        aggs = []
+        for name, (n, k, b) in wide.items():
+            share = (k - b.below) / (b.inside - 1)
+            inside = F.when(F.col(n).between(b.lo, b.hi), F.col(n))
+            aggs.append(F.percentile_approx(inside, [max(0.0, share - slack), min(1.0, share + slack)], accuracy).alias(name))
+        sketch = flat.agg(*aggs).first()
+        aggs = []
+        for name, (n, k, b) in wide.items():
+            lo, hi = sketch[name]
+            b.halve = b.halve or (lo, hi) == (b.lo, b.hi)
+            if b.halve:
+                lo, hi = b.lo, _halfway(b.lo, b.hi)
+            left = F.col(n).between(lo, hi)
+            right = F.col(n) > hi
+            aggs += [
+                F.count_if(F.col(n) < lo).alias(f"{name}b"), F.count_if(left).alias(f"{name}i"),
+                F.min(F.when(left, F.col(n))).alias(f"{name}lo"), F.max(F.when(left, F.col(n))).alias(f"{name}hi"),
+                F.min(F.when(right & (F.col(n) <= b.hi), F.col(n))).alias(f"{name}up"),
+            ]
+        row = flat.agg(*aggs).first()
+        for name, (n, k, b) in wide.items():
+            below, inside = row[f"{name}b"], row[f"{name}i"]
+            if below <= k < below + inside:
+                brackets[n, k] = _Bracket(row[f"{name}lo"], row[f"{name}hi"], below, inside)
+            elif b.halve:  # the rank lies in the upper half
+                brackets[n, k] = _Bracket(row[f"{name}up"], b.hi, below + inside, b.below + b.inside - below - inside)
+            else:
+                b.halve = True  # the sketch missed the rank
+
+    values: dict[tuple[str, int], list[tuple[float, int]]] = {key: [(b.lo, b.inside)] if b.lo == b.hi else [] for key, b in brackets.items()}
+    left = {f"r{j}": key for j, key in enumerate(ranks) if brackets[key].lo < brackets[key].hi}
+    if left:
         pieces = F.array(*[
-            F.when(F.col(n).between(b.lo, b.hi), F.struct(F.lit(f"{n}__{i}").alias("task"), F.col(n).alias("v")))
-            for (n, i), b in brackets.items()
+            F.when(F.col(n).between(brackets[n, k].lo, brackets[n, k].hi), F.struct(F.lit(name).alias("task"), F.col(n).alias("v")))
+            for name, (n, k) in left.items()
         ])
         hits = flat.select(F.explode(F.array_compact(pieces)).alias("h")).groupBy("h.task", "h.v").count()
-        label = {f"{n}__{i}": (n, i) for n, i in brackets}
-        for r in hits.collect():  # bounded: collect_limit values per quantile
-            counts[label[r["task"]]].append((r["v"], r["count"]))
+        for r in _fetch(hits):
+            values[left[r["task"]]].append((r["v"], r["count"]))
+
+    def at(n: str, k: int) -> float:
+        return _ranked(sorted(values[n, k]), k - brackets[n, k].below)
 
     out: dict[str, list[float | None]] = {n: [None] * len(wanted[n][1]) for n in names}
-    for (n, i), b in brackets.items():
-        values, k = sorted(counts[n, i]), rank[n, i]
-        low = _ranked(values, math.floor(k) - b.below)
-        high = _ranked(values, math.ceil(k) - b.below)
-        out[n][i] = low + (high - low) * (k - math.floor(k))
+    for (n, i), x in place.items():
+        low, high = at(n, math.floor(x)), at(n, math.ceil(x))
+        out[n][i] = low + (high - low) * (x - math.floor(x))
     return out
 
 
@@ -343,7 +335,7 @@ def dense_index(
     """
     groups = list(groups or [])
     rows = df.count() if rows is None else rows
-    buckets = max(1, min(MAX_BUCKETS, -(-rows // rows_per_bucket)))
+    buckets = max(MIN_BUCKETS, -(-rows // rows_per_bucket))
     marked = df.withColumn("_h", by)
     # Top 31 bits, shifted to be non-negative, cut into equal ranges: bucket order is hash order.
     top = F.shiftrightunsigned(F.col("_h").bitwiseXOR(F.lit(-(2**63))), 33)
@@ -362,38 +354,15 @@ def dense_index(
 
 # -------------------------------------------------------------------- skewed lookup
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1000
-
-
-def hot_keys(df: DataFrame, key: str) -> list:
-    """The heaviest keys with at least ``HOT_ROWS`` rows, ``MAX_HOT_KEYS`` of them at most.
-
-    Any key left out is either below ``HOT_ROWS`` or outranked by a thousand others, so
-    it holds under a thousandth of the rows.
-    """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.where(F.col("n") >= HOT_ROWS).orderBy(F.col("n").desc()).limit(MAX_HOT_KEYS)
-    return [r[key] for r in top.collect()]
+SALTS = 16
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, cols: list[str], spread: str, hot: list | None = None) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str, cols: list[str], spread: list[str], salts: int = SALTS) -> DataFrame:
     """Left join to a table with unique ``key`` without gathering a hot key in one task.
 
-    Rows of hot keys (a bounded list) get their columns from a broadcast of just those
-    keys; in the shuffle they carry a null key and a hash of ``spread``, so they stay
-    spread out.  All other keys join normally.
+    Every key is dealt over ``salts`` parts by a hash of the ``spread`` columns, null keys too, and each part has
+    its own copy of the key's columns: one plan, whichever keys are hot and however large the tables are.
     """
-    hot = hot_keys(left, key) if hot is None else hot
-    if not hot:
-        return left.join(right.select(key, *cols), key, "left")
-    is_hot = F.col(key).isin(hot)
-    a = left.withColumn("_cold", F.when(~F.coalesce(is_hot, F.lit(False)), F.col(key))).withColumn(
-        "_spread", F.when(is_hot, F.xxhash64(spread)).otherwise(F.lit(0).cast("bigint"))
-    )
-    cold = right.where(~is_hot).select(
-        F.col(key).alias("_cold"), F.lit(0).cast("bigint").alias("_spread"), *[F.col(c).alias(f"_c_{c}") for c in cols]
-    )
-    warm = right.where(is_hot).select(key, *[F.col(c).alias(f"_w_{c}") for c in cols])
-    joined = a.join(cold, ["_cold", "_spread"], "left").join(F.broadcast(warm), key, "left")
-    return joined.select(*left.columns, *[F.coalesce(f"_c_{c}", f"_w_{c}").alias(c) for c in cols])
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    copies = right.select(key, *cols, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"))
+    return dealt.join(copies, [key, "_salt"], "left").select(*left.columns, *cols)

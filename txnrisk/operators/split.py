@@ -98,11 +98,11 @@ def disjoint_check(df: DataFrame, cuts: Cuts) -> DataFrame:
     )
 
 
-def seen_flag(df: DataFrame, cuts: Cuts, split: str = "test", hot: list | None = None) -> DataFrame:
+def seen_flag(df: DataFrame, cuts: Cuts, split: str = "test") -> DataFrame:
     """Rows of ``split`` with ``seen``: whether the customer occurs in the training part."""
     part = df.where(cuts.condition(split))
     train = df.where(cuts.condition("train")).select("customer_id").distinct().withColumn("seen", F.lit(True))
-    out = K.lookup(part, train, "customer_id", ["seen"], spread="txn_id", hot=hot)
+    out = K.lookup(part, train, "customer_id", ["seen"], spread=["txn_id"])
     return out.withColumn("seen", F.coalesce("seen", F.lit(False)))
 
 
