@@ -103,17 +103,15 @@ def trend(df: DataFrame, period: str) -> DataFrame:
     unit, step, shift = PERIODS[period]
     label = F.date_add(F.date_trunc(unit, F.col("txn_ts")).cast("date"), shift)
     per = df.groupBy(label.alias("period")).agg(*_volume())
-    # The calendar comes from the aggregated rows, at most one per period.
-    first, last = (F.date_add(f("period"), -shift) for f in (F.min, F.max))
-    spine = per.agg(first.alias("a"), last.alias("b")).select(
-        F.explode(F.sequence("a", "b", F.expr(f"interval {step}"))).alias("s")
-    ).select(F.date_add("s", shift).alias("period"))
-    zero = F.lit(0)
-    full = spine.join(per, "period", "left").select(
-        "period",
-        F.coalesce("transactions", zero).alias("transactions"),
-        F.coalesce("positives", zero).alias("positives"),
-        F.coalesce("amount", F.lit(0.0)).alias("amount"),
+    # Each period fills the gap up to the next one that occurs: a window over at most one row per period, no second scan.
+    per = per.withColumn("_next", F.lead("period").over(Window.orderBy("period")))
+    start, end = F.date_add("period", -shift), F.date_add(F.coalesce("_next", "period"), -shift)
+    days = F.transform(F.sequence(start, end, F.expr(f"interval {step}")), lambda d: F.date_add(d, shift))
+    filled = per.select("period", "transactions", "positives", "amount", F.explode(days).alias("day"), "_next")
+    own = F.col("day") == F.col("period")
+    full = filled.where(own | (F.col("day") != F.col("_next"))).select(
+        F.col("day").alias("period"), *[F.when(own, F.col(c)).otherwise(F.lit(0)).alias(c) for c in ("transactions", "positives")],
+        F.when(own, F.col("amount")).otherwise(F.lit(0.0)).alias("amount"),
     )
     return full.withColumn("rate_percent", _rate_percent())
 

@@ -11,8 +11,8 @@ from txnrisk.sources import schema as S
 
 # Fixed value: note stored with the history audit.
 INTERPRETATION = (
-    "Snapshot definitions and customer-ID consistency are unverified. History inputs must be available "
-    "before the transaction; no history is reconstructed from future rows."
+    "Falling values hint that the history columns are not snapshots taken before each transaction, "
+    "or that one ID stands for several customers; neither is settled here, and nothing is rebuilt from later rows."
 )
 
 
@@ -73,7 +73,7 @@ def key_conflicts(df: DataFrame, key: str | list[str] = "txn_id") -> DataFrame:
 
 def require_unique(df: DataFrame, key: str = "txn_id") -> DataFrame:
     if key_conflicts(df, key).limit(1).count():
-        raise ValueError("Conflicting or repeated transaction IDs need source review.")
+        raise ValueError("Some transaction IDs occur more than once; resolve them at the source.")
     return df
 
 
@@ -201,8 +201,23 @@ def reconcile(df: DataFrame) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-free identity of a table: the same rows give the same numbers in any layout."""
-    h = F.xxhash64(*sorted(df.columns))
+    """Order-free identity of a table: the same rows give the same numbers in any layout, and in any engine with MD5.
+
+    Cells are hashed as text: times to the microsecond, other numbers with nine decimals (as they are where that does not fit), null as ``~``.
+    """
+    kinds = dict(df.dtypes)
+
+    def cell(c: str) -> Column:
+        x = F.col(f"`{c}`")
+        if kinds[c].startswith("timestamp"):
+            text = F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif kinds[c] in ("double", "float"):
+            text = F.coalesce(x.try_cast("decimal(38,9)").cast("string"), x.cast("string"))
+        else:
+            text = x.cast("string")
+        return F.coalesce(text, F.lit("~"))
+
+    h = K.portable_hash(*[cell(c) for c in sorted(df.columns)])
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.bit_xor(h).alias("hash_xor"),

@@ -13,11 +13,8 @@ from txnrisk.operators import metrics as M
 from txnrisk.operators import models as MD
 from txnrisk.sources.schema import SCORING_INPUTS
 
-# Fixed value: description stored with the intervals.
-METHOD = (
-    "Customer-group percentile bootstrap on fixed test predictions; conditional on the fitted model, "
-    "not training/selection uncertainty."
-)
+# Stored with the intervals.
+METHOD = "percentile intervals over resampled customers; scores and model are held fixed, so the spread of fitting and choosing is not in them"
 
 
 def _order(purpose: str, *cols: Column) -> Column:

@@ -21,7 +21,7 @@ from txnrisk.operators import kernels as K
 from txnrisk.operators.preprocess import Preprocess
 
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, size int, depth int"
-POOL_FACTOR = 4
+TRIED = 3  # a tree left short of rows is an event of odds below 1e-30
 EULER = 0.5772156649015329
 
 
@@ -33,26 +33,39 @@ def average_path(n):
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, long))
 
 
+def tickets(trees: int, share: float) -> list[float]:
+    """Cumulative odds that a row is tried by 0, 1, 2, ... of the trees when each takes it with odds ``share``."""
+    odds, total, out = (1 - share) ** trees, 0.0, []
+    for k in range(trees + 1):
+        total += odds
+        out.append(total)
+        if 1 - total < 1e-13:
+            break
+        odds *= (trees - k) / (k + 1) * share / (1 - share)
+    return out
+
+
 def tree_samples(df: DataFrame, key: str, trees: int, sample_size: int, seed: int, rows: int) -> DataFrame:
-    """(key, tree, rank hash) of ``sample_size`` distinct rows per tree.
+    """(key, tree, rank hash) of ``sample_size`` distinct rows per tree, drawn from all rows at any size.
 
-    One hash per row picks a pool a few times larger than all samples together; only
-    the pool is tried against every tree.  Each tree keeps its lowest hashes.
+    Every tree tries about ``TRIED`` times the rows it wants and keeps those of the lowest hashes.  How many trees try a row, and
+    which, comes from hashes of its key: in a large table most rows emit nothing.  Hashes are ones other engines can compute.
     """
-    pool_rows = POOL_FACTOR * trees * sample_size
-    ids = df.select(key)
-    if rows > pool_rows:
-        share = int(pool_rows / rows * 2**31)
-        ids = ids.where(F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed), F.lit("pool")), 33) < share)
-    tried = ids.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_h", F.xxhash64(F.col(key), F.col("tree"), F.lit(seed))
-    )
-    expected = min(rows, pool_rows)
-    if expected > 4 * sample_size:
-        # Twice the wanted rows: fewer than sample_size would be an event of odds below 1e-30.
-        cut = int(2 * sample_size / expected * 2**31)
-        tried = tried.where(F.shiftrightunsigned(F.xxhash64(F.col("_h"), F.lit(seed)), 33) < cut)
-    order = Window.partitionBy("tree").orderBy("_h", key)
+    share = min(1.0, TRIED * sample_size / max(1, rows))
+    if share == 1.0:
+        picks = F.sequence(F.lit(0), F.lit(trees - 1))
+    else:
+        chance = K.portable_hash(F.lit("tickets"), F.col(key), F.lit(seed)) / float(2**60)
+        odds = tickets(trees, share)
+        count = F.size(F.filter(F.array(*[F.lit(c) for c in odds]), lambda c: c <= chance))
+        # Distinct trees: steps of a hashed width, coprime to their number, from a hashed start.
+        widths = [w for w in range(1, trees + 1) if math.gcd(w, trees) == 1]
+        start = F.pmod(K.portable_hash(F.lit("start"), F.col(key), F.lit(seed)), F.lit(trees))
+        width = F.element_at(F.array(*[F.lit(w) for w in widths]), (F.pmod(K.portable_hash(F.lit("width"), F.col(key), F.lit(seed)), F.lit(len(widths))) + 1).cast("int"))
+        steps = F.when(count > 0, F.sequence(F.lit(0), F.least(count, F.lit(trees)) - 1)).otherwise(F.array().cast("array<int>"))
+        picks = F.transform(steps, lambda i: F.pmod(start + i * width, F.lit(trees)).cast("int"))
+    tried = df.select(key, F.explode(picks).alias("tree")).withColumn("_h", K.portable_hash(F.lit("rank"), F.col(key), F.col("tree"), F.lit(seed)))
+    order = Window.partitionBy("tree").orderBy("_h", key)  # about TRIED x sample_size rows each
     return tried.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample_size).drop("_rank")
 
 

@@ -154,10 +154,16 @@ def pr_curve(ranked: DataFrame, groups: list[str] | None = None) -> DataFrame:
     """Points (x = recall, y = precision) of every threshold, and the end point (0, 1)."""
     groups = list(groups or [])
     pos = F.nullif(F.col("all_pos").cast("double"), F.lit(0.0))
-    points = ranked.select(*groups, (_tp() / pos).alias("x"), _precision().alias("y"))
-    # The last running row is the group's single complete one, so it can carry the end point.
-    ends = ranked.where(F.col("cum_alerts") == F.col("all_alerts")).select(*groups, F.lit(0.0).alias("x"), F.lit(1.0).alias("y"))
-    return points.unionByName(ends)
+    point = F.struct((_tp() / pos).alias("x"), _precision().alias("y"))
+    # The last running row is the group's single complete one, so it carries the end point along.
+    last = F.col("cum_alerts") == F.col("all_alerts")
+    return _with_ends(ranked, groups, point, last, (0.0, 1.0))
+
+
+def _with_ends(rows: DataFrame, groups: list[str], point: Column, last: Column, end: tuple[float, float]) -> DataFrame:
+    """A point per row, and one more for the row that is ``last``: one read of ``rows``."""
+    extra = F.struct(F.lit(end[0]).alias("x"), F.lit(end[1]).alias("y"))
+    return rows.select(*groups, F.explode(F.when(last, F.array(point, extra)).otherwise(F.array(point))).alias("p")).select(*groups, "p.x", "p.y")
 
 
 def roc_curve(ranked: DataFrame, groups: list[str] | None = None) -> DataFrame:
@@ -171,9 +177,8 @@ def roc_curve(ranked: DataFrame, groups: list[str] | None = None) -> DataFrame:
     all_neg = F.nullif((F.col("all_alerts") - F.col("all_pos")).cast("double"), F.lit(0.0))
     all_pos = F.nullif(F.col("all_pos").cast("double"), F.lit(0.0))
     kept = ranked.where(first | last | bends)
-    points = kept.select(*groups, (fp / all_neg).alias("x"), (_tp() / all_pos).alias("y"))
-    origin = ranked.where(last).select(*groups, F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    return points.unionByName(origin)
+    point = F.struct((fp / all_neg).alias("x"), (_tp() / all_pos).alias("y"))
+    return _with_ends(kept, groups, point, last, (0.0, 0.0))
 
 
 def curves(ranked: DataFrame, groups: list[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from txnrisk.session import shared_folder, working_path
 SEED = 42
 WEIGHT = "_weight"
 ROWS_PER_PARTITION = 1_000_000
+SMALL_PARTITION = 20_000  # up to 256 partitions; larger tables fill them to ROWS_PER_PARTITION
 
 
 def logistic(rows: int) -> Estimator:
@@ -37,7 +38,7 @@ def tree(rows: int) -> Estimator:
 
 def forest(rows: int) -> Estimator:
     return RandomForestRegressor(
-        numTrees=250, maxDepth=10, minInstancesPerNode=8, featureSubsetStrategy="sqrt", maxBins=64, seed=SEED,
+        numTrees=250, maxDepth=10, minInstancesPerNode=8, featureSubsetStrategy="sqrt", maxBins=255, seed=SEED,
         maxMemoryInMB=1024,
     )
 
@@ -102,7 +103,7 @@ def fit_estimator(
     if balanced:
         table = table.withColumn(WEIGHT, weight_column(train.select(F.col(label).alias("label"))))
     rows = train.count()
-    table = table.repartition(_partitions(spark, rows))
+    table = table.repartition(_partitions(rows))
     estimator = (family if isinstance(family, Estimator) else family(rows)).copy()
     estimator.setFeaturesCol("features").setLabelCol("label")
     if balanced:
@@ -119,14 +120,13 @@ def _without_summary(model):
     return type(model).load(path)
 
 
-def _partitions(spark: SparkSession, rows: int) -> int:
+def _partitions(rows: int) -> int:
     """Solvers pass over the training table many times, so one shuffle evens it out first.
 
-    Small tables get few partitions (tasks would cost more than rows), large ones at
-    least one per core and never more than ``ROWS_PER_PARTITION`` rows each.
+    The number depends on the rows alone: forests draw their samples per partition, and a model must not change with
+    the cluster.
     """
-    few = min(spark.sparkContext.defaultParallelism, -(-rows // 25_000))
-    return max(1, few, -(-rows // ROWS_PER_PARTITION))
+    return max(1, min(-(-rows // SMALL_PARTITION), max(256, -(-rows // ROWS_PER_PARTITION))))
 
 
 def fit_candidate(train: DataFrame, candidate: Candidate, include_history: bool = False, include_keyword: bool = False) -> PipelineModel:

@@ -43,12 +43,12 @@ def find_cuts(df: DataFrame, ts: str = "txn_ts") -> Cuts:
 def check_cuts(df: DataFrame, cuts: Cuts, label: str = "label") -> None:
     """At least 100 rows, and both classes in every part."""
     if cuts.rows < MIN_ROWS:
-        raise ValueError(f"At least {MIN_ROWS} transactions are required for this protocol.")
+        raise ValueError(f"A split needs at least {MIN_ROWS} transactions.")
     seen = df.groupBy(cuts.tag().alias("split")).agg(F.min(label).alias("lo"), F.max(label).alias("hi")).collect()
     by = {r["split"]: (r["lo"], r["hi"]) for r in seen}
     for split in SPLITS:
         if by.get(split) != (0, 1):
-            raise ValueError(f"{split} must contain both classes.")
+            raise ValueError(f"The {split} part has rows of one class only.")
 
 
 def with_split(df: DataFrame, cuts: Cuts) -> DataFrame:
@@ -100,9 +100,13 @@ def disjoint_check(df: DataFrame, cuts: Cuts) -> DataFrame:
 
 def seen_flag(df: DataFrame, cuts: Cuts, split: str = "test") -> DataFrame:
     """Rows of ``split`` with ``seen``: whether the customer occurs in the training part."""
-    part = df.where(cuts.condition(split))
-    train = df.where(cuts.condition("train")).select("customer_id").distinct().withColumn("seen", F.lit(True))
-    out = K.lookup(part, train, "customer_id", ["seen"], spread=["txn_id"])
+    return flag_seen(df.where(cuts.condition(split)), df.where(cuts.condition("train")))
+
+
+def flag_seen(rows: DataFrame, train: DataFrame) -> DataFrame:
+    """``rows`` (with txn_id, customer_id) and ``seen``: whether ``train`` has the customer."""
+    known = train.select("customer_id").distinct().withColumn("seen", F.lit(True))
+    out = K.lookup(rows, known, "customer_id", ["seen"], spread=["txn_id"])
     return out.withColumn("seen", F.coalesce("seen", F.lit(False)))
 
 
@@ -116,10 +120,15 @@ def join_context(scored: DataFrame, split_table: DataFrame, validate: bool = Tru
     if validate:
         check_unique(scored, "txn_id")
         check_unique(split_table, "txn_id")
+    return with_context(scored.join(split_table.select("txn_id", "split"), "txn_id"))
+
+
+def with_context(df: DataFrame) -> DataFrame:
+    """The context text of each row's part (column ``split``)."""
     text = F.lit(None).cast("string")
     for split, context in CONTEXT.items():
         text = F.when(F.col("split") == split, context).otherwise(text)
-    return scored.join(split_table.select("txn_id", "split"), "txn_id").withColumn("score_context", text)
+    return df.withColumn("score_context", text)
 
 
 def label_text(col: Column) -> Column:

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnrisk.operators import models as MD
 from txnrisk.operators import scoring as S
@@ -40,16 +41,18 @@ def load_artifacts(spark: SparkSession, run_dir: str) -> Artifacts:
 
 
 def score_transactions(df: DataFrame, artifacts: Artifacts, strict: bool = True) -> DataFrame:
-    """All input columns plus both scores, both flags and the review status.
+    """All input columns as given, plus both scores, both flags and the review status.
 
     ``strict`` rejects the whole input if any row is bad; otherwise filter first with
     ``scoring.quarantine``.
     """
     if strict:
         S.require_valid(df)
-    ready = S.conform(df)
+    # The caller's cells travel along beside the cleaned ones, as one column.
+    ready = S.conform(df.withColumn("_given", F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     scored = artifacts.forest.score(MD.score(artifacts.classifier, ready))
-    return S.with_flags(scored, artifacts.threshold, artifacts.cutoff)
+    flagged = S.with_flags(scored, artifacts.threshold, artifacts.cutoff)
+    return flagged.select("_given.*", *[c for c in flagged.columns if c not in df.columns and c != "_given"])
 
 
 def score_file(spark: SparkSession, source: str, target: str, run_dir: str, quarantine: str | None = None) -> None:
@@ -73,6 +76,7 @@ def main() -> None:
     alert.add_argument("--input", required=True)
     alert.add_argument("--output", required=True)
     alert.add_argument("--limit", type=int, default=25)
+    alert.add_argument("--format", choices=["csv", "parquet"], help="of the input; by default what lies there")
     args = parser.parse_args()
     if args.job == "alerts" and args.limit < 0:
         parser.error("--limit must be nonnegative")
@@ -80,7 +84,7 @@ def main() -> None:
     if args.job == "score":
         score_file(spark, args.input, args.output, args.model_dir, args.quarantine)
     else:
-        W.write_alerts(S.alerts(R.read_scored(spark, args.input), args.limit), args.output)
+        W.write_alerts(S.alerts(R.read_scored(spark, args.input, args.format), args.limit), args.output)
 
 
 if __name__ == "__main__":

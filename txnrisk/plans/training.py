@@ -76,8 +76,10 @@ def run(
     W.write_text(R.read_clean(spark, f"{out}/clean").drop("txn_month"), f"{out}/clean_csv")
     # Everything below reads the stored table: no recomputation of the cleaning.
     df = R.read_clean(spark, f"{out}/clean").drop("txn_month")
-    audit = audit_document(feed, parsed, df, digest)
-    W.write_document(audit, f"{out}/audit")
+    identity = CL.fingerprint(df).first().asDict()  # ties every model of this run to its rows
+    if digest is not None:
+        W.write_table(digest, f"{out}/source_files")  # one row per file, however many there are
+    W.write_document(audit_document(parsed, df, identity, digest is not None), f"{out}/audit")
 
     cuts = SP.find_cuts(df)
     SP.check_cuts(df, cuts)
@@ -88,7 +90,9 @@ def run(
 
     fitted = fit_all(train, names)
     forest = IsolationForest.fit(train, trees=trees)
-    cutoff = K.exact_quantiles(forest.score(train).select("anomaly_score"), {"a": (F.col("anomaly_score"), [REVIEW_QUANTILE])})["a"][0]
+    # Scored once, in Python; the quantile reads the result several times.
+    anomalies = stage(forest.score(train).select("anomaly_score"), "anomaly-scores")
+    cutoff = K.exact_quantiles(anomalies, {"a": (F.col("anomaly_score"), [REVIEW_QUANTILE])})["a"][0]
     prior = float(train.agg(F.avg("label")).first()[0])
     held_out = tagged.where(~cuts.condition("train"))
     W.write_table(score_wide(fitted, forest, held_out, prior), f"{out}/model_scores")
@@ -97,7 +101,7 @@ def run(
 
     # Selection sees validation rows only and is written before any test metric.
     val_scores = scores.where((F.col("split") == "validation") & (F.col("kind") == "supervised"))
-    val_ranked = M.ranking(val_scores, groups=["model"], group_limit=len(fitted))
+    val_ranked = stage(M.ranking(val_scores, groups=["model"], group_limit=len(fitted)), "validation-ranking")
     tuned = M.choose_per_group(M.sweep(val_ranked, groups=["model"]), ["model"])
     thresholds = {r["model"]: r["threshold"] for r in tuned.collect()}
     val_table = M.compare(scores.where(F.col("split") == "validation"), fixed={ANOMALY: cutoff}, models=models)
@@ -105,8 +109,9 @@ def run(
     selected, threshold = best["model"], thresholds[best["model"]]
     selection = {
         "model": selected, "threshold": threshold, "validation": best.asDict(), "fit_partition": "train only",
-        "criterion": "Highest validation average precision; name breaks exact AP ties",
-        "threshold_policy": "Validation maximum F1; ties favour recall",
+        "criterion": "average precision on the validation part, the alphabetically first model among equals",
+        "threshold_policy": "largest F1 on the validation part, the higher recall among equals",
+        "data_identity": identity,
         "excluded_features": EXCLUDED, "input_columns": SCORING_INPUTS, "seed": MD.SEED, "anomaly_cutoff": cutoff,
     }
     W.write_document(json_document(spark, selection), f"{out}/selection")
@@ -122,16 +127,17 @@ def run(
     chosen = test_scores.where(F.col("model") == selected).select("txn_id", "customer_id", "label", "score")
     intervals = D.grouped_bootstrap(chosen, threshold, repeats)
     W.write_table(intervals.withColumns({"method": F.lit(D.METHOD), "seed": F.lit(MD.SEED)}), f"{out}/test_confidence_intervals")
-    seen = SP.seen_flag(df, cuts).select("txn_id", F.when(F.col("seen"), "seen in training").otherwise("unseen in training").alias("customer_slice"))
-    W.write_table(M.evaluate(chosen.join(seen, "txn_id"), threshold, groups=["customer_slice"], group_limit=2), f"{out}/customer_slices")
+    # The scores carry the customer, so only the training part's customers are looked up.
+    seen = SP.flag_seen(chosen, train).withColumn("customer_slice", F.when(F.col("seen"), "seen in training").otherwise("unseen in training"))
+    W.write_table(M.evaluate(seen, threshold, groups=["customer_slice"], group_limit=2), f"{out}/customer_slices")
     W.write_document(metrics_document(spark, out, selected), f"{out}/metrics")
     if diagnostics:
         val = df.where(cuts.condition("validation"))
         W.write_table(D.sensitivity(train, val, MD.candidates()[selected], fitted[selected]), f"{out}/feature_sensitivity")
         W.write_table(D.permutation_importance(lambda d: MD.score(fitted[selected], d, "score"), val), f"{out}/feature_importance")
 
-    scored = S.with_flags(forest.score(MD.score(fitted[selected], df)), threshold, cutoff)
-    scored = SP.join_context(scored, SP.assignments(df, cuts), validate=False)  # keys were checked at the clean table
+    # The part is a function of time alone: no join.
+    scored = SP.with_context(S.with_flags(forest.score(MD.score(fitted[selected], tagged)), threshold, cutoff))
     W.write_scored(scored, f"{out}/scored", f"{out}/test_predictions")
     stored = spark.read.parquet(f"{out}/scored")
     W.write_alerts(S.alerts(stored.where(F.col("split") == "test")), f"{out}/alerts")
@@ -140,16 +146,15 @@ def run(
     return {"selected_model": selected, "threshold": threshold, "anomaly_cutoff": cutoff, "test": test_row.asDict()}
 
 
-def audit_document(feed: DataFrame, parsed: DataFrame, clean: DataFrame, digest: DataFrame | None = None) -> DataFrame:
-    """One row: the audit counters, the history caution and the identity of the input."""
-    spark = feed.sparkSession
+def audit_document(parsed: DataFrame, clean: DataFrame, identity: dict, digested: bool = False) -> DataFrame:
+    """One row: the audit counters, the history caution and the identity of the clean table (and where file digests lie)."""
+    spark = parsed.sparkSession
     row = CL.summarize(parsed).withColumns({c: iso_text(F.col(c)) for c in ("min_date", "max_date")}).first().asDict(recursive=True)
     row["columns"] = FEED_COLUMNS
     row["history_caution"] = {**CL.history_decreases(clean).first().asDict(), "interpretation": CL.INTERPRETATION}
-    if digest is not None:
-        row["source_files"] = [r.asDict() for r in digest.select("path", "sha256").collect()]
-    else:
-        row["source_fingerprint"] = CL.fingerprint(feed).first().asDict()
+    row["data_identity"] = identity
+    if digested:
+        row["source_files"] = "source_files"
     return json_document(spark, row)
 
 
@@ -158,7 +163,7 @@ def split_document(df: DataFrame, cuts: SP.Cuts) -> DataFrame:
     rows = SP.split_summary(df, cuts).withColumns({c: iso_text(F.col(c)) for c in ("start", "end")}).collect()
     doc = {r["split"]: r.asDict() for r in rows}
     doc["customer_overlap"] = SP.customer_overlap(df, cuts).first().asDict()
-    doc["policy"] = "Chronological 60/20/20; identical timestamps not split; returning customers permitted, IDs excluded."
+    doc["policy"] = "Cut by time at 60 and 80 percent of the rows, equal times kept together; customers may recur, keys are no features."
     return json_document(spark, doc)
 
 
@@ -190,13 +195,14 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--data", required=True)
     parser.add_argument("--output-dir", required=True)
-    parser.add_argument("--expected-sha256")
+    parser.add_argument("--expected-sha256", help="digest of the one input file; another file ends the run")
+    parser.add_argument("--digest", action="store_true", help="store the digest of every input file (reads the feed once more)")
     parser.add_argument("--no-diagnostics", action="store_true")
     args = parser.parse_args()
     spark = build_session("txnrisk-training")
     if args.expected_sha256:
         R.require_digest(spark, args.data, args.expected_sha256)
-    digest = R.file_digests(spark, args.data)
+    digest = R.file_digests(spark, args.data) if args.digest or args.expected_sha256 else None
     print(json.dumps(run(spark, R.read_feed(spark, args.data), args.output_dir, digest=digest, diagnostics=not args.no_diagnostics), indent=2, default=str))
 
 

@@ -45,7 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):  # executors elsewhere, also under local-cluster
         raise RuntimeError("Set spark.checkpoint.dir to a folder all executors can reach.")
     folder = tempfile.mkdtemp(prefix="txnrisk-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -57,6 +58,12 @@ def working_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/txnrisk/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stage(df, name: str):
     """Cut lineage: write ``df`` to the shared folder and read it back.
 

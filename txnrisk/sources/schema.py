@@ -62,10 +62,10 @@ def check_feed_header(columns: Iterable[str]) -> None:
     have = set(columns)
     missing = sorted(set(FEED_COLUMNS) - have)
     if missing:
-        raise SchemaError(f"Dataset is missing required columns: {missing}")
+        raise SchemaError(f"The feed lacks these columns: {missing}")
     extra = sorted(have - set(FEED_COLUMNS))
     if extra:
-        raise SchemaError(f"Unexpected dataset columns {extra}; review the schema before training.")
+        raise SchemaError(f"The feed has columns outside the contract: {extra}")
 
 
 def check_inputs(columns: Iterable[str], needed: Iterable[str]) -> None:
