@@ -100,4 +100,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_suffix_array_dedup, op4_simhash_near_dedup, op5_benchmark_decontamination, op6_sharding, op7_document_fingerprints, op8_language_id, op9_quality_classifier, op10_bpe, pipeline)}
-ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+_SUBSTRING_SQL = r"""with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+win as (select doc_id, i, array_to_string(ws[i:i + 12], ' ') as k from w, lateral (select unnest(range(1, len(ws) - 11)) as i)),
+least_id as (select k, min(doc_id) as m from win group by k),
+gone as (select distinct doc_id, i + j as p from win join least_id using (k), range(13) r(j) where m < doc_id),
+words as (select doc_id, ws[p] as word, p from w, lateral (select unnest(range(1, len(ws) + 1)) as p)),
+kept as (select doc_id, count(*) as n, string_agg(word, ' ' order by p) as t from words anti join gone using (doc_id, p) group by doc_id)
+select w.doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from w left join kept using (doc_id)"""
+
+ORACLES: dict[str, str] = {"op2_substring_dedup": _SUBSTRING_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
