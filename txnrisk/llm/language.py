@@ -25,6 +25,7 @@ BUCKETS = 1 << 13
 SIZES = (2, 3, 4)
 DIMENSIONS = 16
 MAX_DOCS_PER_LANGUAGE = 300
+MAX_LANGUAGES = 1000       # values of the language column; more are an error
 EPOCHS, BATCH, RATE = 12, 32, 4.0
 KEPT_BACK = 5              # one in so many training documents calibrates
 WANTED_PRECISION = 0.995   # of answers that are not rejected
@@ -165,8 +166,14 @@ def rejection(score: np.ndarray, right: np.ndarray) -> float:
 def train(df: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id", per_language: int = MAX_DOCS_PER_LANGUAGE) -> LanguageModel:
     """Model from about ``per_language`` documents of each language, drawn by a hash of ``key`` over all rows of ``df``."""
     rows = df.select(F.col(text).cast("string").alias("t"), F.col(language).cast("string").alias("l"), F.col(key).alias("k")).where("t is not null and l is not null")
-    sizes = rows.groupBy("l").agg(F.count("*").alias("n"))
-    draw = (F.pmod(F.xxhash64("k"), F.lit(1 << 30)) / float(1 << 30)) < F.lit(float(per_language)) / F.col("n")
+    sizes = rows.groupBy("l").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"More than {MAX_LANGUAGES} languages")
+    if not sizes:
+        return fit([], [], [])
+    # Shares as literals: a join would send all texts to their languages' tasks.
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], per_language / r["n"])])[F.col("l")]
+    draw = (F.pmod(F.xxhash64("k"), F.lit(1 << 30)) / float(1 << 30)) < share
 
     @F.arrow_udf("array<struct<held:boolean,bucket:array<int>,n:array<int>>>")
     def examples(texts: pa.Array, keys: pa.Array) -> pa.Array:
@@ -178,7 +185,7 @@ def train(df: DataFrame, text: str = "text", language: str = "lang", key: str =
             out.append([{"held": k % KEPT_BACK == 0, "bucket": b, "n": n.astype(np.int32)} for b, n in found if len(b)])
         return pa.array(out, type=kind)
 
-    drawn = rows.join(sizes, "l").where(draw).select("l", F.explode(examples("t", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(1 << 30)))).alias("e"))
+    drawn = rows.where(draw).select("l", F.explode(examples("t", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(1 << 30)))).alias("e"))
     found = drawn.select("l", "e.held", "e.bucket", "e.n").collect()
     found.sort(key=lambda r: (r["l"], r["bucket"], r["n"]))
     return fit([(np.array(r["bucket"], np.int32), np.array(r["n"], float)) for r in found], [r["l"] for r in found], [r["held"] for r in found])
