@@ -44,7 +44,8 @@ def signatures(text: Column) -> Column:
     words = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\n]+", " ")
     spaced = F.concat(F.lit(" \n "), F.regexp_replace(words, r" ?\n[ \n]*", " \n "), F.lit(" "))
     spaced = F.regexp_replace(spaced, " {2,}", " ")
-    anchor = rf"(?: (?:\n|\p{{L}}{{1,{ANCHOR_LETTERS}}}|{'|'.join(LONGER_ANCHORS)})(?= ))+ "
+    # Possessive: a greedy group would recurse once per anchor and overflow the stack on a long run of them.
+    anchor = rf"(?: (?:\n|\p{{L}}{{1,{ANCHOR_LETTERS}}}|{'|'.join(LONGER_ANCHORS)})(?= ))++ "
     marked = F.regexp_replace(spaced, anchor, f" {MARK}")
     chains = F.regexp_extract_all(marked, F.lit(rf"{MARK}(?=(\p{{L}}+ {MARK}?(?:\p{{L}}+|$)))"), F.lit(1))
     return F.sort_array(F.array_distinct(F.transform(chains, lambda c: F.hash(c))))
