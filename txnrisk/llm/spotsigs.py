@@ -20,11 +20,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.operators.kernels import with_bucket
+from txnrisk.operators.kernels import small, value_bounds, with_bucket
 
 THRESHOLD = 0.8
 ANCHOR_LETTERS = 2
-RANGE_BYTES = 16 << 20  # text of neighbouring documents that one task orders
+MIN_RANGES = 128         # ranges of neighbouring documents, each ordered by one task
+RANGE_BYTES = 256 << 20  # text of a range where there are more
 # Frequent function words of more than two letters.
 LONGER_ANCHORS = (
     "the and for are was not you all but can had her his one our out has who its she him how may "
@@ -87,16 +88,15 @@ def with_next(df: DataFrame, carried: dict[str, Column]) -> DataFrame:
     """``doc_id``, ``text`` and the ``carried`` columns (made from ``text``) of ``df``, each with ``next_<c>`` of the next row in descending ID.
 
     After the last row comes the first.  Rows without an ID come last; ties go by a hash of the text, then the text.  The order is cut into
-    ranges of about ``RANGE_BYTES`` of text by quantiles of the IDs (and by hash ranges for rows without one).  The first row of every
-    range is copied behind the last row of the range before it, so that a window inside ranges sees every neighbour.
+    ``MIN_RANGES`` ranges, or more of about ``RANGE_BYTES`` of text, by quantiles of the IDs (and by hash ranges for rows without one).  The
+    first row of every range is copied behind the last row of the range before it, so that a window inside ranges sees every
+    neighbour.  The table of first rows, one per range, is broadcast while it is small, and joined otherwise.
     """
     size, count = df.agg(F.sum(F.octet_length("text")), F.count("doc_id")).first()
-    ranges = max(1, math.ceil((size or 0) / RANGE_BYTES))
-    bounds = []
-    if ranges > 1 and count:
-        probs = [i / ranges for i in range(1, ranges)]
-        bounds = sorted({float(x) for x in df.agg(F.percentile_approx(F.col("doc_id").cast("double"), probs, max(1000, 10 * ranges))).first()[0]})
-    placed = with_bucket(df.withColumn("__id", F.col("doc_id").cast("double")), "__id", bounds, "__bucket")
+    ranges = max(MIN_RANGES, math.ceil((size or 0) / RANGE_BYTES))
+    numbered = df.withColumn("__id", F.col("doc_id").cast("double"))
+    bounds = value_bounds(numbered.select("__id"), "__id", rows_per_bucket=-(-count // ranges), rows=count) if count else []
+    placed = with_bucket(numbered, "__id", bounds, "__bucket")
     spread = F.xxhash64(F.coalesce("text", F.lit("")))
     placed = placed.select(
         "doc_id", "text", spread.alias("__h"), F.col("doc_id").isNull().alias("__none"), F.expr("~doc_id").alias("__down"),
@@ -109,7 +109,7 @@ def with_next(df: DataFrame, carried: dict[str, Column]) -> DataFrame:
     behind = heads.withColumn("__before", F.coalesce(F.lag("__range").over(along), F.max("__range").over(Window.partitionBy())))
     firsts = behind.select(F.struct(*[F.coalesce(F.col("__first")[c], F.lit(0) if c == "__down" else F.col("__first")[c]).alias(c) for c in order]).alias("__key"), "__before")
     own = F.struct("__none", F.coalesce("__down", F.lit(0)).alias("__down"), "__h")
-    copies = placed.withColumn("__key", own).join(firsts, "__key").select("doc_id", "text", *order, F.col("__before").alias("__range"), F.lit(1).alias("__copy"))
+    copies = placed.withColumn("__key", own).join(small(firsts, ranges + 64), "__key").select("doc_id", "text", *order, F.col("__before").alias("__range"), F.lit(1).alias("__copy"))
     both = placed.select("doc_id", "text", *order, "__range", F.lit(0).alias("__copy")).unionByName(copies).withColumns(carried)
     inside = Window.partitionBy("__range").orderBy("__copy", F.col("__none"), F.col("__down"), "__h", "text")
     ahead = both.select("*", *[F.lead(c).over(inside).alias(f"next_{c}") for c in ("text", *carried)])
