@@ -95,7 +95,7 @@ def test_csv_files_with_other_column_orders(spark, tmp_path):
 def test_schema_guard(spark, tmp_path):
     with pytest.raises(S.SchemaError, match="lacks these columns"):
         S.check_feed_header(S.FEED_COLUMNS[1:])
-    with pytest.raises(S.SchemaError, match="Unexpected"):
+    with pytest.raises(S.SchemaError, match="outside the contract"):
         S.check_feed_header([*S.FEED_COLUMNS, "Extra"])
 
 
@@ -138,10 +138,13 @@ def test_text_export_has_iso_dates(spark, txn, tmp_path):
 
 def test_audit_document(spark, sf, tmp_path):
     raw = R.null_tokens(T.raw_feed(spark, sf))
-    W.write_document(TR.audit_document(raw, CL.typed(CL.distinct_rows(raw)), CL.clean_rows(raw)), str(tmp_path / "audit"))
+    clean = CL.clean_rows(raw)
+    identity = CL.fingerprint(clean).first().asDict()
+    W.write_document(TR.audit_document(CL.typed(CL.distinct_rows(raw)), clean, identity), str(tmp_path / "audit"))
     text = next((tmp_path / "audit").glob("*.json")).read_text()
     doc = json.loads(text)
     assert doc["columns"] == S.FEED_COLUMNS and set(doc["history_caution"]) >= {"account_age_decreases", "previous_txns_decreases"}
+    assert doc["data_identity"] == identity and identity["rows"] == doc["rows_clean"]
     assert doc["rows_raw"] > doc["rows_clean"] and doc["invalid_numeric_cells"]["Average_Spend"] == 0
 
 

@@ -51,7 +51,9 @@ def test_run_writes_every_result(spark, run):
     assert record["final_model"] == head["selected_model"] and record["test"]["tp"] == head["test"]["tp"]
     assert len(record["test_confidence_intervals"]["intervals_95"]["f1"]) == 2 and len(record["customer_slices"]) >= 1
     audit = spark.read.json(f"{out}/a/audit").first()
-    assert audit["rows_clean"] == clean.count() and len(audit["source_files"][0]["sha256"]) == 64
+    assert audit["rows_clean"] == clean.count() and audit["source_files"] == "source_files"
+    assert len(spark.read.parquet(f"{out}/a/source_files").first()["sha256"]) == 64
+    assert selection["data_identity"]["rows"] == audit["rows_clean"]
     split = spark.read.json(f"{out}/a/split_summary").first()
     assert split["train"]["rows"] + split["validation"]["rows"] + split["test"]["rows"] == clean.count()
     for name in ("performance_curves", "test_model_scores", "test_confidence_intervals", "customer_slices", "feature_sensitivity",
