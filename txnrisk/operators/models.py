@@ -91,31 +91,40 @@ def weight_column(train: DataFrame, label: str = "label") -> Column:
     return out
 
 
+def feature_table(train: DataFrame, ready: PipelineModel, label: str = "label") -> DataFrame:
+    """Feature vectors and labels, as the estimators take them."""
+    return ready.transform(train).select("features", F.col(label).cast("double").alias("label"))
+
+
+def fit_on(
+    table: DataFrame, rows: int, ready: PipelineModel, family: Callable[[int], Estimator] | Estimator, weight: Column | None = None,
+) -> PipelineModel:
+    """Fit an estimator on a ``feature_table`` of ``rows`` rows; ``weight`` is an expression of ``label``."""
+    spark = table.sparkSession
+    _use_checkpoints(spark)
+    estimator = (family if isinstance(family, Estimator) else family(rows)).copy()
+    estimator.setFeaturesCol("features").setLabelCol("label")
+    if weight is not None:
+        table = table.withColumn(WEIGHT, weight)
+        estimator.setWeightCol(WEIGHT)
+    return PipelineModel([*ready.stages, _without_summary(estimator.fit(table.repartition(_partitions(rows))), spark)])
+
+
 def fit_estimator(
     train: DataFrame, family: Callable[[int], Estimator] | Estimator, preprocess: Preprocess | PipelineModel,
     balanced: bool = False, label: str = "label",
 ) -> PipelineModel:
     """Fit preprocessing (unless given fitted) and estimator on ``train`` only."""
-    spark = train.sparkSession
-    _use_checkpoints(spark)
     ready = preprocess if isinstance(preprocess, PipelineModel) else preprocess.fit(train)
-    table = ready.transform(train).select("features", F.col(label).cast("double").alias("label"))
-    if balanced:
-        table = table.withColumn(WEIGHT, weight_column(train.select(F.col(label).alias("label"))))
-    rows = train.count()
-    table = table.repartition(_partitions(rows))
-    estimator = (family if isinstance(family, Estimator) else family(rows)).copy()
-    estimator.setFeaturesCol("features").setLabelCol("label")
-    if balanced:
-        estimator.setWeightCol(WEIGHT)
-    return PipelineModel([*ready.stages, _without_summary(estimator.fit(table))])
+    weight = weight_column(train.select(F.col(label).alias("label"))) if balanced else None
+    return fit_on(feature_table(train, ready, label), train.count(), ready, family, weight)
 
 
-def _without_summary(model):
+def _without_summary(model, spark: SparkSession):
     """A training summary would ship its table's plan and session with every scoring task; storing drops it."""
     if not getattr(model, "hasSummary", False):
         return model
-    path = working_path(SparkSession.getActiveSession(), "model")
+    path = working_path(spark, "model")
     model.write().overwrite().save(path)
     return type(model).load(path)
 
@@ -161,7 +170,9 @@ def score_wide(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
 
 def _use_checkpoints(spark: SparkSession) -> None:
     """Boosting cuts its lineage every few rounds once a shared folder is set."""
-    spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/txnrisk/checkpoints")
+    folder = f"{shared_folder(spark)}/txnrisk/checkpoints"
+    if folder not in (spark.sparkContext.getCheckpointDir() or ""):
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import argparse
 import json
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,13 +57,22 @@ def long_form(wide: DataFrame) -> DataFrame:
     return wide.select(*SCORE_KEYS, F.explode(F.array(*cells)).alias("m")).select(*SCORE_KEYS, "m.*")
 
 
-def fit_all(train: DataFrame, names: list[str] | None = None) -> dict:
-    """Every candidate; preprocessing is fitted once per variant, not once per model."""
+def fit_all(train: DataFrame, names: list[str] | None = None, parallel: int = 4) -> dict:
+    """Every candidate, ``parallel`` at a time.
+
+    Preprocessing is fitted and the feature table written once per variant, not once per model; row and class counts are taken once.
+    """
     chosen = {k: v for k, v in MD.candidates().items() if names is None or k in names}
+    rows, weight = train.count(), MD.weight_column(train.select("label"))
     ready = {scale: Preprocess(scale).fit(train) for scale in {c.scale for c in chosen.values()}}
-    return {
-        name: MD.fit_estimator(train, c.family, ready[c.scale], c.balanced) for name, c in chosen.items()
-    }
+    tables = {scale: stage(MD.feature_table(train, model), "features") for scale, model in ready.items()}
+
+    def fit(c: MD.Candidate):
+        return MD.fit_on(tables[c.scale], rows, ready[c.scale], c.family, weight if c.balanced else None)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        jobs = {name: pool.submit(inheritable_thread_target(train.sparkSession)(fit), c) for name, c in chosen.items()}
+        return {name: job.result() for name, job in jobs.items()}
 
 
 def run(
