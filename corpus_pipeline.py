@@ -17,27 +17,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import bpe, decontaminate, pii, quality, simhash
-from txnrisk.llm.common import discard, remainder, row_key
+from txnrisk.llm.common import discard, remainder, row_key, small_batches
 from txnrisk.session import working_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels.where(remainder(F.col("doc_id"), 5) != 0))
     return docs.where(quality.scored(F.col("text"), model) >= quality.THRESHOLD)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     keyed = row_key(docs)
     found = decontaminate.contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="__key")
     return keyed.join(found.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     clean = docs.withColumn("text", pii.redacted(F.col("text")))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -45,6 +49,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     codec = bpe.Codec(spark, public_tokenizers.path("word_bpe_49k.json"))
     others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "decoded")]
     coded = docs.select(*others, codec.encode_packed(F.col("text")).alias("packed_ids"))

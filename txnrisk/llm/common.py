@@ -7,8 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_ROWS = 1000  # rows of an Arrow batch: whole documents are large, and a Python worker holds a batch several times over
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hand documents to Python workers in batches of ``BATCH_ROWS`` (a setting of the session)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """``doc_id`` and ``text`` (and ``more`` columns) of the documents table; other columns are never read."""
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
