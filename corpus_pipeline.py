@@ -52,9 +52,8 @@ def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     small_batches(spark)
     codec = bpe.Codec(spark, public_tokenizers.path("word_bpe_49k.json"))
     others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "decoded")]
-    coded = docs.select(*others, codec.encode_packed(F.col("text")).alias("packed_ids"))
-    coded = coded.withColumn("decoded", codec.decode_packed(F.col("packed_ids")))
-    return coded.select(*others, bpe.unpacked(F.col("packed_ids")).alias("ids"), F.expr("octet_length(packed_ids) div 4").cast("long").alias("n_tokens"), "decoded")
+    coded = docs.select(*others, codec.round_trip(F.col("text")).alias("__coded"))
+    return coded.select(*others, F.col("__coded.ids"), F.size("__coded.ids").cast("long").alias("n_tokens"), F.col("__coded.decoded"))
 
 
 STAGES = [

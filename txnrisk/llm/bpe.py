@@ -243,6 +243,20 @@ class Codec:
         """Array column of token IDs."""
         return unpacked(self.encode_packed(text))
 
+    def round_trip(self, text: Column, packed: bool = False) -> Column:
+        """Struct of ``ids`` (array, or binary if ``packed``) and ``decoded``, the text decoded from them: one Python worker for both."""
+        shared = self.shared
+
+        @F.arrow_udf(f"struct<ids:{'binary' if packed else 'array<int>'},decoded:string>")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            vocabulary, cache = Vocabulary(shared.value), {}
+            for texts in batches:
+                raw = [*vocabulary.encode((t.as_py() or "" for t in texts), cache)]
+                ids = pa.array(raw, type=pa.binary()) if packed else as_lists(raw)
+                yield pa.StructArray.from_arrays([ids, pa.array(map(vocabulary.decode, raw), type=pa.string())], ["ids", "decoded"])
+
+        return run(text)
+
     def decode_packed(self, packed: Column) -> Column:
         """Text column from packed IDs; null gives the empty text."""
         shared = self.shared
@@ -256,13 +270,16 @@ class Codec:
         return run(packed)
 
 
+def as_lists(raw: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(r) // 4 for r in raw)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+
+
 def unpacked(packed: Column) -> Column:
     """Array column of the IDs in a packed column; null gives no IDs."""
     @F.arrow_udf("array<int>")
     def run(ids: pa.Array) -> pa.Array:
-        raw = [i or b"" for i in ids.to_pylist()]
-        ends = np.cumsum([0, *(len(r) // 4 for r in raw)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+        return as_lists([i or b"" for i in ids.to_pylist()])
 
     return run(packed)
 

@@ -86,11 +86,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     codec = bpe.Codec(spark, public_tokenizers.path("word_bpe_49k.json"))
-    coded = documents(spark, sf_dir).select("doc_id", codec.encode_packed(F.col("text")).alias("packed"))
-    both = coded.select("doc_id", "packed", codec.decode_packed(F.col("packed")).alias("decoded"))
-    return both.select(
-        "doc_id", F.expr("octet_length(packed) div 4").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    coded = documents(spark, sf_dir).select("doc_id", codec.round_trip(F.col("text"), packed=True).alias("c"))
+    return coded.select(
+        "doc_id", F.expr("octet_length(c.ids) div 4").cast("long").alias("n_tokens"), F.sha2("c.ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("c.decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
