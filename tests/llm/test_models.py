@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 from llm.helpers import empty_frame, odd_frame
@@ -30,6 +31,23 @@ def test_language_odd_rows(spark):
     assert same[0][0] == same[0][2] and same[1][0] == same[1][2]
 
 
+def test_language_draw_is_bounded_whatever_the_ids(spark, monkeypatch):
+    ids = {"null": lambda i: None, "one": lambda i: 7, "own": lambda i: i}
+    rows = [(f(i), f"{name} word{i} {chr(97 + i % 26) * 5}", name) for name, f in ids.items() for i in range(400)]
+    rows += [(None, "the same text again", "copies")] * 400 + [(i, f"few {i}", "few") for i in range(3)]
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda rows, names, held: seen.append((names, held)))
+    monkeypatch.setattr(language, "SNIPPETS", ())  # one example per document
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language.train(df, per_language=20)
+    language.train(df.repartition(7), per_language=20)
+    assert seen[0] == seen[1]
+    names, held = seen[0]
+    assert Counter(names) == {"null": 20, "one": 20, "own": 20, "copies": 1, "few": 3}
+    for name in ids:
+        assert len({h for n, h in zip(names, held) if n == name}) == 2  # some learn, some calibrate
+
+
 def test_language_rejects_what_it_does_not_know():
     assert language.rejection(np.array([0.9, 0.8, 0.3]), np.array([True, True, False])) == 0.8
     assert language.rejection(np.array([0.9]), np.array([False])) == 1.0

@@ -13,6 +13,7 @@ subwords (one letter) get the learned prior.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -164,16 +165,15 @@ def rejection(score: np.ndarray, right: np.ndarray) -> float:
 # --------------------------------------------------------------------------- Spark
 
 def train(df: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id", per_language: int = MAX_DOCS_PER_LANGUAGE) -> LanguageModel:
-    """Model from about ``per_language`` documents of each language, drawn by a hash of ``key`` over all rows of ``df``."""
+    """Model from the ``per_language`` documents of each language with the smallest hashes of ``key`` and text, over all rows of ``df``.
+
+    Equal rows count as one document; a missing or repeated ID does not matter.
+    """
     rows = df.select(F.col(text).cast("string").alias("t"), F.col(language).cast("string").alias("l"), F.col(key).alias("k")).where("t is not null and l is not null")
-    sizes = rows.groupBy("l").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"More than {MAX_LANGUAGES} languages")
-    if not sizes:
+    rows = rows.select("t", "l", F.shiftrightunsigned(F.xxhash64("k", "t"), 1).alias("h"))
+    last = last_hashes(rows.select("l", "h"), per_language)
+    if not last:
         return fit([], [], [])
-    # Shares as literals: a join would send all texts to their languages' tasks.
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], per_language / r["n"])])[F.col("l")]
-    draw = (F.pmod(F.xxhash64("k"), F.lit(1 << 30)) / float(1 << 30)) < share
 
     @F.arrow_udf("array<struct<held:boolean,bucket:array<int>,n:array<int>>>")
     def examples(texts: pa.Array, keys: pa.Array) -> pa.Array:
@@ -185,12 +185,41 @@ def train(df: DataFrame, text: str = "text", language: str = "lang", key: str =
             out.append([{"held": k % KEPT_BACK == 0, "bucket": b, "n": n.astype(np.int32)} for b, n in found if len(b)])
         return pa.array(out, type=kind)
 
-    drawn = rows.where(draw).select("l", F.explode(examples("t", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(1 << 30)))).alias("e"))
+    # Hashes as literals: a join would send all texts to their languages' tasks.
+    drawn = rows.where(F.col("h") <= by_language(last)).groupBy("l", "h").agg(F.min("t").alias("t"))
+    drawn = drawn.select("l", F.explode(examples("t", F.pmod(F.xxhash64("h", F.lit(1)), F.lit(1 << 30)))).alias("e"))
     found = drawn.select("l", "e.held", "e.bucket", "e.n").collect()
     found.sort(key=lambda r: (r["l"], r["bucket"], r["n"]))
     return fit([(np.array(r["bucket"], np.int32), np.array(r["n"], float)) for r in found], [r["l"] for r in found], [r["held"] for r in found])
 
 
+def by_language(values: dict[str, int]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("l")]
+
+
+def last_hashes(rows: DataFrame, wanted: int) -> dict[str, int]:
+    """For each language ``l``, the ``wanted``-th smallest distinct hash ``h``, or the largest if there are fewer.
+
+    Distinct hashes are counted in quarter octaves; only those up to the one that reaches ``wanted``, about a fifth more than
+    wanted at most, come to the driver.
+    """
+    rows = rows.withColumn("octave", F.floor(4 * F.log2(F.col("h").cast("double") + 1)).cast("int"))  # 0 to 252
+    counted = rows.distinct().groupBy("l", "octave").agg(F.count("*").alias("n")).limit(253 * MAX_LANGUAGES + 1).collect()
+    edge, reached = {}, Counter()
+    for r in sorted(counted, key=lambda r: r["octave"]):
+        if reached[r["l"]] < wanted:
+            edge[r["l"]] = r["octave"]
+            reached[r["l"]] += r["n"]
+    if len(edge) > MAX_LANGUAGES:
+        raise ValueError(f"More than {MAX_LANGUAGES} languages")
+    if not edge:
+        return {}
+    hashes = defaultdict(list)
+    for r in rows.where(F.col("octave") <= by_language(edge)).select("l", "h").distinct().collect():
+        hashes[r["l"]].append(r["h"])
+    return {name: sorted(h)[:wanted][-1] for name, h in hashes.items()}
+
+
 def identified(text: Column, model: LanguageModel) -> Column:
     """Struct column ``lang_pred``, ``score``, ``rejected``."""
     @F.arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
