@@ -8,7 +8,7 @@ from llm.helpers import ODD, batch, empty_frame, odd_frame, ordered
 
 from txnrisk.llm import queries, suffix
 from txnrisk.llm import superkmers as S
-from txnrisk.llm.substring import received
+from txnrisk.llm.substring import received, with_spans
 
 
 def plain(rows, length=400):
@@ -79,3 +79,51 @@ def test_repeat_groups_hold_all_occurrences(spark):
     assert (pieces == 5).any()  # all occurrences, not pairs of neighbours
     whole = groups[groups.groupby(["repeat", "n_bytes"])["row_id"].transform("nunique") == 5]
     assert {(a["start"].min(), (a["start"] + a["n_bytes"]).max()) for _, a in whole.groupby("row_id")} == {(100, 600)}
+
+
+def common_passages(rng, n):
+    """Documents that differ but for common passages, some of which are nearly a window of 60 long, and some real repeats."""
+    text = lambda k: "".join(chr(97 + c) for c in rng.integers(0, 20, k))
+    shared, whole = [text(30), text(54), text(59)], text(75)
+    return [(k, text(40) + shared[k % 3] + text(40) + (whole if k % 40 == 0 else "") + text(20)) for k in range(n)]
+
+
+@pytest.mark.parametrize("bucket_bytes", [4_000, 24 << 20])
+def test_common_passages_do_not_make_large_groups(spark, monkeypatch, bucket_bytes):
+    monkeypatch.setattr(S, "BUCKET_BYTES", bucket_bytes)
+    docs = common_passages(np.random.default_rng(3), 240)
+    rows = S.row_keys(spark.createDataFrame(docs, "doc_id long, text string").repartition(6), "doc_id", "text")
+
+    def largest(table):
+        segments, _ = received(table)
+        size = np.bincount(np.unique(segments.minimiser, return_inverse=True)[1], segments.size)
+        return pa.table({"n": [int(size.max(initial=0))]})
+
+    sizes = [r["n"] for r in suffix.segments_by_bucket(rows, 60, 16).applyInArrow(largest, "n long").collect()]
+    assert max(sizes) <= max(1_000, bucket_bytes // 4)
+    spans = with_spans(rows, suffix.repeated_spans(rows, 60, 16)).select("doc_id", "text", "spans").collect()
+    got = []
+    for d, t, packed in spans:
+        places = [*zip(*(x.tolist() for x in S.unpack_spans(packed)))]
+        kept = "".join(t[a:b] for a, b in zip([0, *(e for _, e in places)], [*(s for s, _ in places), len(t)]))
+        got.append((d, len(t), len(t) - len(kept), len(places), hashlib.sha256(kept.encode()).hexdigest()))
+    assert ordered(got) == plain(docs, 60)
+
+
+@pytest.mark.parametrize("chunk", [300, 5_000])
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_divided_groups_find_the_same_repeats(monkeypatch, chunk, depth):
+    monkeypatch.setattr(S, "CHUNK_BYTES", chunk)
+    docs = [*common_passages(np.random.default_rng(4), 60), (60, "ab" * 200), (61, "ab" * 90 + "q" * 130)]
+    cold, every = np.zeros(2**S.SLOT_BITS, bool), []
+    for _ in range(depth):  # all keys are too large
+        every.append(np.unique(np.concatenate([f.minimiser for f, _ in suffix.segments_of(iter([batch([(d, 2 * d, t) for d, t in docs])]), 60, 16, cold, every)])))
+    sent = pa.Table.from_batches([*suffix.segment_task(60, 16, cold, 1, every)(iter([batch([(d, 2 * d, t) for d, t in docs])]))])
+    segments, through = received(sent)
+    _, member, left, right = suffix.maximal_repeats(segments, 60)
+    anchor = segments.start[member] + segments.anchor[member]
+    found = {}
+    for r, _, s in [*through, *S.merged(segments.row[member], segments.mark[member], anchor - left, anchor + right)]:
+        found.setdefault(r, []).append(s)
+    gone = {d: sum(e - s for s, e in zip(*(x.tolist() for x in S.unpack_spans(found.get(d))))) for d, _ in docs}
+    assert [(d, gone[d]) for d, _ in docs] == sorted((d, n) for d, _, n, _, _ in plain(docs, 60))

@@ -11,6 +11,10 @@ diverse to the right.  Within a node, the texts to the left of the anchors are s
 node of that scan is diverse to the left.  A pair of nodes whose common left and right parts make at least ``LENGTH`` bytes is a
 maximal repeat, and the group holds all its occurrences, not only neighbours in the array.
 
+A passage shorter than ``LENGTH`` that very many documents hold gives all of them the same minimiser, with other bytes around it.  The bytes
+that travel are therefore summed by minimiser first, and too large groups are divided by further bytes at fixed places around
+the anchor (``divided``), again and again down to whole windows, before anything is sent.
+
 Null texts count as empty.  Rows may repeat an ID or lack one: each is judged by itself, and equal texts in different rows do
 repeat each other.  Matches never cross documents.
 """
@@ -23,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from txnrisk.llm import superkmers as S
 from txnrisk.llm.substring import answer, received, send, with_spans
@@ -30,6 +35,7 @@ from txnrisk.llm.substring import answer, received, send, with_spans
 LENGTH = 400
 GRAM = 32
 MAX_BUCKETS = 1 << 20
+LARGE_SHARE = 0.25  # share of a bucket above which the segments of one key are divided
 BLOCK = 8_000  # rows of context compared at a time
 
 
@@ -58,26 +64,96 @@ def grams_of(held: list[S.Piece], gram: int) -> tuple[np.ndarray, np.ndarray]:
     return data, S.mix(grams)
 
 
-def segment_task(length: int, gram: int, hot: np.ndarray, buckets: int):
+def grids(length: int) -> list[int]:
+    """Steps of the grids by which too large groups are divided, one finer than the other; the last one divides by whole windows."""
+    return sorted({max(1, length // 8), max(1, length // 50), 1}, reverse=True)
+
+
+def divided(found: S.Segments, length: int, grid: int, ranges: S.RangeHash) -> S.Segments:
+    """Each segment as one or more that together hold its windows, with keys in place of the minimiser that tell more texts apart.
+
+    The anchor stands on a grid.  Windows that start within the same step before it hold the same ``length - grid + 1`` bytes from a grid point
+    on; that point and the hash of these bytes are added to the key.  Equal windows hold the anchor at the same offset, so they still meet.
+    """
+    windows = found.size - length + 1
+    low = (found.anchor - windows + 1) // grid
+    steps = found.anchor // grid - low + 1
+    owner = np.repeat(np.arange(len(steps)), steps)
+    step = S.expand(low, steps)
+    anchor = found.anchor[owner].astype(np.int64)
+    most = np.minimum(step * grid + grid - 1, anchor)  # offsets of the anchor in the windows
+    least = np.maximum(step * grid, anchor - windows[owner] + 1)
+    size, first = most - least + length, anchor - most
+    block = found.at[owner] + anchor - step * grid
+    key = S.join_hashes(S.join_hashes(found.minimiser[owner], step.astype(np.uint64)), ranges(block, block + length - grid + 1))
+    return S.Segments(found.row[owner], found.mark[owner], found.start[owner] + first, size, most, key, found.at[owner] + first, size, found.data)
+
+
+def segments_of(batches: Iterator[pa.RecordBatch], length: int, gram: int, hot: np.ndarray, too_large: list[np.ndarray]) -> Iterator[tuple[S.Segments, np.ndarray]]:
+    """Segments of each chunk and the hashes of their texts.  Those of the keys in ``too_large``, one list per grid, are divided."""
+    for held in S.chunks(pieces(batches, length)):
+        data, grams = grams_of(held, gram)
+        ends = np.cumsum([p.units for p in held])
+        valid = np.ones(len(data), bool)
+        for e in ends.tolist():
+            valid[max(0, e - length + 1):e] = False
+        first, last, where = S.runs(grams, hot, length - gram + 1, valid)
+        whose = np.searchsorted(ends, first, side="right")
+        row, mark, base = (np.array([getattr(p, f) for p in held])[whose] for f in ("row", "mark", "base"))
+        size = last + length - first
+        origin = np.concatenate([[0], ends[:-1]])[whose]
+        found = S.Segments(
+            row.astype(np.int64), mark.astype(np.int32), first - origin + base, size, where - first, grams[where], first, size, data,
+        )
+        ranges = S.RangeHash(data)
+        for grid, keys in zip(grids(length), too_large):
+            large = np.isin(found.minimiser, keys)
+            if large.any():
+                found = found.take(np.flatnonzero(~large)).joined(divided(found.take(np.flatnonzero(large)), length, grid, ranges))
+        yield found, ranges(found.at, found.at + found.size)
+
+
+def segment_task(length: int, gram: int, hot: np.ndarray, buckets: int, too_large: list[np.ndarray] = []):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in S.chunks(pieces(batches, length)):
-            data, grams = grams_of(held, gram)
-            ends = np.cumsum([p.units for p in held])
-            valid = np.ones(len(data), bool)
-            for e in ends.tolist():
-                valid[max(0, e - length + 1):e] = False
-            first, last, where = S.runs(grams, hot, length - gram + 1, valid)
-            whose = np.searchsorted(ends, first, side="right")
-            row, mark, base = (np.array([getattr(p, f) for p in held])[whose] for f in ("row", "mark", "base"))
-            size = last + length - first
-            origin = np.concatenate([[0], ends[:-1]])[whose]
-            found = S.Segments(
-                row.astype(np.int64), mark.astype(np.int32), first - origin + base, size, where - first, grams[where], first, size, data,
-            )
-            yield from send(found, S.RangeHash(data)(first, first + size), buckets, keep_smallest=False)
+        for found, hashes in segments_of(batches, length, gram, hot, too_large):
+            yield from send(found, hashes, buckets, keep_smallest=False)
     return run
 
 
+def large_keys(rows: DataFrame, length: int, gram: int, hot: np.ndarray) -> tuple[list[np.ndarray], int]:
+    """Per grid, the keys whose segments would bring more than ``LARGE_SHARE`` of a bucket, and the bytes that dividing adds.
+
+    The bytes that travel are summed by key, exactly.  A key in a finer grid is counted only below one that is too large; what
+    is left after the last one are equal windows, of which a chunk sends one.
+    """
+    too_large, added = [], 0
+    limit = int(LARGE_SHARE * S.BUCKET_BYTES)
+    for _ in grids(length):
+        above = too_large[-1] if too_large else None
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for found, hashes in segments_of(batches, length, gram, hot, too_large[:-1]):
+                if above is not None:
+                    some = np.flatnonzero(np.isin(found.minimiser, above))
+                    found = divided(found.take(some), length, grids(length)[len(too_large) - 1], ranges := S.RangeHash(found.data))
+                    hashes = ranges(found.at, found.at + found.size)
+                if not len(found.row):
+                    continue
+                order, group = S.local_groups(found, hashes)
+                travels = order[np.concatenate([[True], np.diff(group) != 0])]
+                keys, where = np.unique(found.minimiser[travels], return_inverse=True)
+                size = np.bincount(where, found.size[travels]).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "n": size})
+
+        counted = rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > limit).collect()
+        if not counted:
+            break
+        too_large.append(np.sort(np.array([r["key"] for r in counted], np.int64).view(np.uint64)))
+        step, finer = [length, *grids(length)][len(too_large) - 1:][:2]
+        added += math.ceil(step / finer) * sum(r["n"] for r in counted)
+    return too_large, added
+
+
 # ------------------------------------------------------------- the enhanced suffix array of a bucket
 
 def contexts(segments: S.Segments, group: np.ndarray, left: bool, length: int) -> np.ndarray:
@@ -177,8 +253,9 @@ def segments_by_bucket(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
     rows = rows.select("row_id", "mark", "text")
     hot, size = S.hot_slots(rows, grams)
-    buckets = min(MAX_BUCKETS, max(1, math.ceil(3.2 * size / S.BUCKET_BYTES)))
-    return rows.mapInArrow(segment_task(length, gram, hot, buckets), S.SENT_DDL).groupBy("bucket")
+    too_large, added = large_keys(rows, length, gram, hot)
+    buckets = min(MAX_BUCKETS, max(1, math.ceil((3.2 * size + added) / S.BUCKET_BYTES)))
+    return rows.mapInArrow(segment_task(length, gram, hot, buckets, too_large), S.SENT_DDL).groupBy("bucket")
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

@@ -5,8 +5,8 @@ order, leftmost on ties: a function of the window's content alone, so equal wind
 minimiser's hash names.  Consecutive windows with the same minimiser form a *segment*, whose text is sent once.
 
 Skew.  Grams that hold more than ``HOT_SHARE`` of all grams are ordered last, so a window uses one only if all its
-grams are hot, that is, if it lies inside a passage that very many documents share.  Such segments are equal texts, and a
-task sends each distinct text once per chunk (``local_groups``), so a bucket gets at most one row per chunk for it.
+grams are hot.  Equal segments are sent once per chunk (``local_groups``), so a bucket gets at most one row per chunk for a
+text.  Grams below that share may still be the minimiser of many different segments; ``suffix`` divides those groups.
 
 Nothing here touches Spark but ``hot_slots`` and ``row_keys``.
 """
@@ -110,6 +110,10 @@ class Segments:
     def take(self, which: np.ndarray) -> Segments:
         return Segments(*(getattr(self, f)[which] for f in self.FIELDS[:-1]), self.at[which], self.size[which], self.data)
 
+    def joined(self, other: Segments) -> Segments:
+        """These segments and ``other`` ones of the same chunk."""
+        return Segments(*(np.concatenate([getattr(self, f), getattr(other, f)]) for f in self.FIELDS[:-1]), np.concatenate([self.at, other.at]), np.concatenate([self.size, other.size]), self.data)
+
     def compact(self, which: np.ndarray) -> Segments:
         """Some segments with a copy of just their texts, back to back."""
         size = self.size[which]
