@@ -89,3 +89,15 @@ def test_quality_edge_cases(spark):
     none = quality.train(empty_frame(spark), labels)
     assert none.score(np.zeros((1, len(quality.NAMES))))[0] == 0.5
     assert quality.features(b"") == [0.0] * len(quality.NAMES) and len(quality.features("ü ! | a".encode())) == len(quality.NAMES)
+
+
+def test_quality_fit_takes_one_text_of_every_drawn_id(spark, monkeypatch):
+    docs = [(1, f"copy {i} " * (i % 9 + 1)) for i in range(400)] + [(i, f"document {i} " * i) for i in range(2, 11)] + [(11, None)]
+    labels = [(i, i % 2) for i in range(1, 12)] + [(1, 1)] * 50 + [(None, 1)]
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append((x.tolist(), y.tolist())))
+    df, known = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    for parts in (1, 7):
+        quality.train(df.repartition(parts), known.repartition(parts), max_rows=11)
+    assert seen[0] == seen[1]
+    assert seen[0][1] == [i % 2 for i in range(1, 12)]

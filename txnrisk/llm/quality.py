@@ -193,14 +193,16 @@ def feature_column(text: Column) -> Column:
 
 
 def train(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_TRAIN_ROWS) -> AdditiveModel:
-    """Model from at most ``max_rows`` labelled rows, drawn by a hash of the ID over all of ``labels``.
+    """Model from at most ``max_rows`` distinct pairs of ID and label, drawn by a hash of the ID over all of ``labels``.
 
-    Only the drawn IDs (bounded, so they are broadcast) and the features of their texts leave the tables.
+    Where an ID is repeated, the text with the smallest hash counts, once for each of its labels.  Only the drawn pairs (bounded, so
+    they are broadcast) and the features of their texts leave the tables.
     """
-    known = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)")
+    known = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)").distinct()
     drawn = known.orderBy(F.xxhash64("id"), "id", "y").limit(max_rows)
     texts = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
-    found = texts.join(F.broadcast(drawn), "id").select("id", "y", feature_column(F.col("t")).alias("x")).limit(2 * max_rows).collect()
+    one = texts.join(F.broadcast(drawn), "id").groupBy("id", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    found = one.select("id", "y", feature_column(F.col("t")).alias("x")).collect()
     found.sort(key=lambda r: (r["id"], r["y"], r["x"]))  # the fit must not depend on the order of tasks
     x = np.array([r["x"] for r in found]).reshape(len(found), len(NAMES))
     return fit(x, np.array([r["y"] for r in found], float))
