@@ -59,6 +59,21 @@ def test_further_kinds_need_their_checks_and_context():
     assert near > far
 
 
+def test_ibans_of_the_whole_registry():
+    ibans = """HR1210010051863000160 SI56263300012039086 BG80BNBG96611020345678 LT121000011101001000 LV80BANK0000435195001 EE382200221020145685
+        CY17002001280000001200527600 MT84MALT011000012345MTLCAST001S IS140159260076545510730339 LI21088100002324013AA
+        MC5811222000010123456789030 SA0380000000608010167519 AE070331234567890123456 IL620108000000099999999"""
+    for iban in ibans.split():
+        assert [(s["kind"], s["start"], s["end"]) for s in pii.find_spans(f"account {iban}.") if s["kind"] == "iban"] == [("iban", 8, 8 + len(iban))]
+
+
+def test_long_secrets_are_found_whole(spark):
+    for n in (16, 512, 513, 5_000):
+        text = f'token = "{"a7" * n}" and more'
+        assert [s["end"] - s["start"] for s in pii.find_spans(text) if s["kind"] == "secret"] == [2 * n]
+        assert spark.createDataFrame([(text,)], "t string").select(pii.redacted(F.col("t")).alias("t")).first()["t"] == 'token = "[SECRET]" and more'
+
+
 def test_query_equals_plain_version(spark, sf):
     rows = {r["doc_id"]: r for r in queries.op1_pii(spark, sf).collect()}
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
