@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from txnrisk.llm import bpe, decontaminate, language, pii, quality, sharding, simhash, spotsigs, substring, suffix
-from txnrisk.llm.common import documents, remainder
+from txnrisk.llm import bpe, ctw, decontaminate, language, periodic, pii, quality, repair, sharding, simhash, spotsigs, substring, suffix
+from txnrisk.llm.common import documents, encoded, remainder
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,12 +94,72 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree log probability and smoothed word-frequency score of every whole text, learned outside fold 2 of 7."""
+    held = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
+    return ctw.score(documents(spark, sf_dir), ~held)
+
+
+def with_period(doc_id: Column, text: Column) -> Column:
+    """The words of a text, joined by one blank; those of one document in ten are made periodic from some word on (none without an ID)."""
+    @F.arrow_udf("string")
+    def run(hashes: pa.Array, texts: pa.Array) -> pa.Array:
+        out = []
+        for h, words in zip(hashes.to_pylist(), (t.split() for t in encoded(texts))):
+            n = len(words)
+            if h is not None and h % 10 == 0 and n:
+                g = h // 10
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                block = words[a:a + p]
+                words = words[:a] + (block * (-(-(n - a) // p)))[:n - a]
+            out.append(b" ".join(words).decode())
+        return pa.array(out, pa.string())
+
+    return run(F.crc32(doc_id.cast("string").cast("binary")), text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every whole text, some made periodic first: number, most repetitive run, digests of runs and collapsed text."""
+    docs = documents(spark, sf_dir).select("doc_id", with_period(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.detect(docs).select("doc_id", "periodic.*")
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    more = lambda best, r: r["length"] * best["period"] > best["length"] * r["period"]
+    best = F.aggregate("runs", none, lambda best, r: F.when(best.isNull() | more(best, r), r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations damaged by a hash of conversation and turn, and their cheapest repairs."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *shown).cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    damaged = rows.withColumn("fault", fault).where("fault != 0").select(
+        "conv_id", "turn", F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+    found = repair.report(damaged).alias("r")
+    every = rows.select("conv_id").distinct().alias("l")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, F.expr("l.conv_id <=> r.conv_id"), "left").select(
+        "l.conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's last stage over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_suffix_array_dedup, op4_simhash_near_dedup, op5_benchmark_decontamination, op6_sharding, op7_document_fingerprints, op8_language_id, op9_quality_classifier, op10_bpe, pipeline)}
+QUERIES = {f.__name__: f for f in (
+    op1_pii, op2_substring_dedup, op3_suffix_array_dedup, op4_simhash_near_dedup, op5_benchmark_decontamination, op6_sharding, op7_document_fingerprints,
+    op8_language_id, op9_quality_classifier, op10_bpe, op11_context_tree_lm, op12_periodic_runs, op13_conversation_repair, pipeline,
+)}
 _SUBSTRING_SQL = r"""with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
 win as (select doc_id, i, array_to_string(ws[i:i + 12], ' ') as k from w, lateral (select unnest(range(1, len(ws) - 11)) as i)),
 least_id as (select k, min(doc_id) as m from win group by k),
