@@ -10,12 +10,12 @@ fixes how much every depth counts in a prediction.  Counts come from the trainin
 
 Work.  Nothing holds the whole model.
 1. Texts are stored in pieces (cut at blanks) and dealt to chunks of ``CHUNK_BYTES``.
-2. A chunk reports each distinct gram (context and byte) and word once, with its number in training rows: no gram or word has more rows than
-   there are chunks.  Sums over all chunks are the counts.
+2. A chunk reports each distinct gram (context and byte) and word once, with its number in training rows, packed by hash buckets: none is reported more often
+   than there are chunks.  A bucket's sums are the counts.
 3. Trees are weighted bottom-up, two bytes of context at a time: contexts that agree in their latest three bytes meet in a bucket, then those
    that agree in the latest one, and the last step is at most 256 x 255 nodes.  So no node gathers more than 65,536 contexts, however large the corpus is.
-4. The mixture comes down the same steps as two numbers per outcome, until every gram has its logarithm.
-5. Grams and words return to the chunks that reported them (words only where the count differs from the chunk's own), and chunks score their pieces.
+4. The mixture comes down the same steps as three numbers per node, until every gram has its logarithm (kept to 32 bits).
+5. Logarithms return to the chunks that reported their grams, counts of words only where they differ from the chunk's own, and chunks score their pieces.
 
 Null and empty texts are one end.  Rows may lack or repeat an ID: each is scored by itself.  An empty table gives an empty result; without training
 rows every bit has probability 1/2 and the base counts no tokens.
@@ -24,6 +24,8 @@ rows every bit has probability 1/2 and the base counts no tokens.
 from __future__ import annotations
 
 import math
+import struct
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.llm.common import discard, encoded, small_batches
+from txnrisk.llm.superkmers import mix
 from txnrisk.session import working_path
 
 DEPTH = 5                   # bytes of context; grams are these and the byte that follows
@@ -42,9 +45,10 @@ TIERS = (DEPTH, 3, 1)       # context lengths at which nodes meet; the last tier
 CHUNK_BYTES = 32 << 20      # text whose grams are reported and scored together
 PIECE_BYTES = 1 << 20
 BLOCK = 1 << 20             # positions worked on at a time
-BUCKET_ROWS = 200_000       # grams or nodes in a bucket
+BUCKET_BYTES = 8 << 20      # text whose grams, if all differ, fill a bucket
+BUCKET_ROWS = 200_000       # nodes in a bucket
 END = b"\xff"
-END_WORD = b"\n"            # the end as a token: no word holds white space
+END_WORD = b" "             # the end as a token: no word holds white space
 TABLE = 1 << 16             # counts whose log factorials are tabled
 
 _tables: dict[float, np.ndarray] = {}
@@ -159,14 +163,14 @@ def cut(text: bytes, depth: int) -> Iterator[bytes]:
     yield whole[at - depth:]
 
 
-PIECES = pa.schema([("chunk", pa.int64()), ("row_id", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("data", pa.binary())])
-PIECES_DDL = "chunk long, row_id long, doc_id long, train boolean, data binary"
+PIECES = pa.schema([("chunk", pa.int64()), ("row_id", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("size", pa.int64()), ("data", pa.binary())])
+PIECES_DDL = "chunk long, row_id long, doc_id long, train boolean, size long, data binary"
 
 
 def piece_task(depth: int, chunk_bytes: int):
     """Task that turns rows into compressed pieces, numbered by chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3).compress
+        deflate = zstandard.ZstdCompressor(level=3).compress
         chunk, held = TaskContext.get().partitionId() << 32, 0
         for b in batches:
             out = []
@@ -175,7 +179,7 @@ def piece_task(depth: int, chunk_bytes: int):
                     if held >= chunk_bytes:
                         chunk, held = chunk + 1, 0
                     held += len(piece)
-                    out.append((chunk, row, doc, train, pack(piece)))
+                    out.append((chunk, row, doc, train, len(piece), deflate(piece)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PIECES)], schema=PIECES)
     return run
@@ -212,12 +216,42 @@ def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     key, n = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(key, kind="stable")
     key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+    if not len(key):
+        return key, n
     return key[first], np.add.reduceat(n[order], first)
 
 
-COUNTS = pa.schema([("chunk", pa.int64()), ("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
-COUNTS_DDL = "chunk long, gram long, word binary, n long"
+COUNTS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("grams", pa.binary()), ("words", pa.binary())])
+COUNTS_DDL = "chunk long, bucket int, grams binary, words binary"
+COUNTED, VALUED = ("<u8", "<i8"), ("<u8", "<f4")  # arrays of packed counts, and of packed logarithms
+
+
+def pack(arrays: list[np.ndarray], words: list[bytes] = []) -> bytes:  # noqa: B006 (never changed)
+    """Compressed bytes of arrays and of words in order.  The first array ascends and is stored by differences."""
+    parts = [np.diff(arrays[0], prepend=arrays[0].dtype.type(0)), *arrays[1:]]
+    heads = [struct.pack("<q", len(words)), b"\n".join(words), b"\n" if words else b""]
+    body = [x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in parts]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([struct.pack("<q", len(arrays[0])), *body, *heads]))
+
+
+def unpack(blob: bytes, kinds: tuple[str, ...]) -> tuple[list[np.ndarray], list[bytes]]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    (n,), at, arrays = struct.unpack_from("<q", raw), 8, []
+    for k in kinds:
+        width = np.dtype(k).itemsize
+        arrays.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T).view(k).ravel())
+        at += n * width
+    arrays[0] = np.cumsum(arrays[0], dtype=arrays[0].dtype)
+    (n,) = struct.unpack_from("<q", raw, at)
+    return arrays, raw[at + 8:].split(b"\n")[:n]
+
+
+def parts_of(key: np.ndarray, count: int) -> list[np.ndarray]:
+    """Places of ascending keys, dealt to ``count`` parts by hash, in order within each."""
+    part = (mix(key) % np.uint64(count)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    return np.split(order, np.searchsorted(part[order], np.arange(1, count)))
 
 
 class ChunkCounts:
@@ -248,36 +282,88 @@ class ChunkCounts:
             self.parts = [summed(self.parts)]
             self.rows = 0  # what is held anew since
 
-    def batches(self, chunk: int) -> Iterator[pa.RecordBatch]:
+    def blobs(self, chunk: int, buckets: int) -> Iterator[pa.RecordBatch]:
+        """One row per bucket: grams and words dealt by their hashes."""
         self.settle()
-        gram, n = summed(self.parts) if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        for a in range(0, len(gram), 100_000):
-            g = pa.array(gram[a:a + 100_000].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(chunk, pa.int64()), len(g)), g, pa.nulls(len(g), pa.binary()), pa.array(n[a:a + 100_000])], schema=COUNTS)
-        words = sorted(self.words)
-        for a in range(0, len(words), 20_000):
-            w = words[a:a + 20_000]
-            yield pa.RecordBatch.from_arrays([
-                pa.repeat(pa.scalar(chunk, pa.int64()), len(w)), pa.nulls(len(w), pa.int64()), pa.array(w, pa.binary()), pa.array([self.words[x] for x in w], pa.int64())], schema=COUNTS)
-
-
-def count_task(depth: int):
+        if not self.words:
+            return
+        gram, n = summed(self.parts)
+        words: list[list[bytes]] = [[] for _ in range(buckets)]
+        for w in self.words:
+            words[zlib.crc32(w) % buckets].append(w)
+        out = []
+        for bucket, (which, mine) in enumerate(zip(parts_of(gram, buckets), words)):
+            if len(which) or mine:
+                mine.sort()
+                counts = np.array([self.words[w] for w in mine], "<i8")
+                out.append((chunk, bucket, pack([gram[which], n[which]]), pack([np.arange(len(mine)), counts], mine)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), COUNTS)], schema=COUNTS)
+
+
+def count_task(depth: int, buckets: int):
     """Task over stored pieces: each chunk's distinct grams and words.  A chunk read by two tasks is reported by both, which changes no sum."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
+        inflate = zstandard.ZstdDecompressor().decompress
         chunk, counts = None, ChunkCounts(depth)
         for b in batches:
             for c, train, data in zip(b["chunk"].to_pylist(), b["train"].to_pylist(), b["data"].to_pylist()):
                 if c != chunk:
-                    if chunk is not None:
-                        yield from counts.batches(chunk)
+                    yield from counts.blobs(chunk, buckets)
                     chunk, counts = c, ChunkCounts(depth)
-                counts.add(unpack(data), train)
-        if chunk is not None:
-            yield from counts.batches(chunk)
+                counts.add(inflate(data), train)
+        yield from counts.blobs(chunk, buckets)
     return run
 
 
+def word_totals(packed: list[bytes]) -> tuple[Counter, list[tuple[list[bytes], np.ndarray]]]:
+    """Sums of packed word counts, and the counts by themselves."""
+    total, own = Counter(), []
+    for blob in packed:
+        (_, n), words = unpack(blob, ("<i8", "<i8"))
+        own.append((words, n))
+        total.update(dict(zip(words, n.tolist())))
+    return total, own
+
+
+TOTALS_DDL = "bucket int, grams binary, total long, distinct long"
+TOTALS = pa.schema([("bucket", pa.int32()), ("grams", pa.binary()), ("total", pa.int64()), ("distinct", pa.int64())])
+
+
+def total_task(buckets: int, shift: int):
+    """Task over one bucket of counts: its distinct grams with their sums, dealt by the context's latest bytes, and the numbers of its words."""
+    def run(t: pa.Table) -> pa.Table:
+        key, n = summed([tuple(unpack(x, COUNTED)[0]) for x in t["grams"].to_pylist()])
+        words, _ = word_totals(t["words"].to_pylist())
+        out = [(None, None, sum(words.values()), sum(c > 0 for c in words.values()))]
+        part = (mix(key >> np.uint64(shift)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        for bucket, which in enumerate(np.split(order, np.searchsorted(part[order], np.arange(1, buckets)))):
+            if len(which):
+                out.append((bucket, pack([key[which], n[which]]), 0, 0))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), TOTALS)], schema=TOTALS)
+    return run
+
+
+RETURN = pa.schema([("chunk", pa.int64()), ("grams", pa.binary()), ("words", pa.binary())])
+
+
+def return_task(counts: pa.Table, logs: pa.Table) -> pa.Table:
+    """One bucket's values for the chunks that reported its grams and words: every gram's logarithm, and counts that differ from the chunk's own."""
+    out = []
+    if counts.num_rows:
+        nothing = [np.zeros(0, k) for k in VALUED]  # a bucket may hold words only
+        key, value = (np.concatenate(x) for x in zip(nothing, *(unpack(x, VALUED)[0] for x in logs["grams"].to_pylist())))
+        order = np.argsort(key, kind="stable")
+        key, value = key[order], value[order]
+        total, own = word_totals(counts["words"].to_pylist())
+        for chunk, packed, (words, n) in zip(counts["chunk"].to_pylist(), counts["grams"].to_pylist(), own):
+            mine = unpack(packed, COUNTED)[0][0]
+            differs = [(w, total[w]) for w, c in zip(words, n.tolist()) if total[w] != c]
+            sums = np.array([c for _, c in differs], "<i8")
+            out.append((chunk, pack([mine, value[np.searchsorted(key, mine)]]), pack([np.arange(len(sums)), sums], [w for w, _ in differs])))
+    return pa.Table.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(RETURN)], schema=RETURN)
+
+
 SCORES_DDL = "row_id long, doc_id long, train boolean, n_bytes long, n_tokens long, n_known long, base_score double, score double"
 SCORES = pa.schema([
     ("row_id", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -285,32 +371,32 @@ SCORES = pa.schema([
 ])
 
 
-def score_chunk(pieces: pa.Table, table: pa.Table, depth: int, total: int, distinct: int) -> pa.Table:
+def score_chunk(pieces: pa.Table, returned: pa.Table, depth: int, total: int, distinct: int) -> pa.Table:
     """Scores of one chunk's pieces from the logarithms of its grams and the counts of its words."""
-    grams = table.filter(table["gram"].is_valid())
-    key, value = grams["gram"].to_numpy().view(np.uint64), grams["value"].to_numpy()
+    key, value = (np.concatenate(x) for x in zip(*(unpack(x, VALUED)[0] for x in returned["grams"].to_pylist())))
     order = np.argsort(key, kind="stable")
-    key, value = key[order], value[order]
-    words = table.filter(table["word"].is_valid())
-    counts = dict(zip(words["word"].to_pylist(), words["value"].to_pylist()))
-    unpack = zstandard.ZstdDecompressor().decompress
-    data = [unpack(x) for x in pieces["data"].to_pylist()]
-    tokens = [words_of(x, depth) for x in data]
-    mine = Counter()  # the chunk's own training counts stand where no other chunk adds to them
-    for train, t in zip(pieces["train"].to_pylist(), tokens):
+    key, value = key[order], value[order].astype(np.float64)
+    inflate = zstandard.ZstdDecompressor().decompress
+    data = [inflate(x) for x in pieces["data"].to_pylist()]
+    known: dict[bytes, int] = Counter()  # the chunk's own training counts stand where no other chunk adds to them
+    for train, piece in zip(pieces["train"].to_pylist(), data):
         if train:
-            mine.update(t)
-    mine.update({w: c - mine[w] for w, c in counts.items()})
+            known.update(words_of(piece, depth))
+    for blob in returned["words"].to_pylist():
+        (_, n), words = unpack(blob, ("<i8", "<i8"))
+        dict.update(known, zip(words, n.tolist()))
     out = np.zeros(len(data))
     for block, owner in codes(data, depth):
         out += np.bincount(owner, value[np.searchsorted(key, block)], minlength=len(data))
-    n_known, base = [], []
-    for t in tokens:
-        c = np.fromiter((mine.get(w, 0) for w in t), np.int64, len(t))
+    n_tokens, n_known, base = [], [], []
+    for piece in data:
+        words = words_of(piece, depth)
+        c = np.fromiter((known.get(w, 0) for w in words), np.int64, len(words))
+        n_tokens.append(len(words))
         n_known.append(int((c > 0).sum()))
         base.append(float(np.log10((c + 1) / (total + distinct + 1)).sum()))
     columns = [
-        pieces["row_id"], pieces["doc_id"], pieces["train"], pa.array([len(x) - depth for x in data], pa.int64()), pa.array([len(t) for t in tokens], pa.int64()),
+        pieces["row_id"], pieces["doc_id"], pieces["train"], pa.array([len(x) - depth for x in data], pa.int64()), pa.array(n_tokens, pa.int64()),
         pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(out, pa.float64()),
     ]
     return pa.Table.from_arrays(columns, schema=SCORES)
@@ -318,110 +404,116 @@ def score_chunk(pieces: pa.Table, table: pa.Table, depth: int, total: int, disti
 
 # --------------------------------------------------------------------------- Spark
 
-NODES_DDL = "key long, n0 long, n1 long, below double"
-MIX_DDL = "key long, zero double, one double, rest double"
+NODES_DDL = "home int, key long, n0 long, n1 long, below double"
+MIX_DDL = "home int, key long, zero double, one double, rest double"
+LOGS_DDL = "bucket int, grams binary"
 
 
-def nodes_table(levels: list[Level]) -> pa.Table:
-    columns = ((x.key.view(np.int64), x.n0, x.n1, x.below) for x in levels)
-    return pa.Table.from_arrays([np.concatenate(c) if c else np.zeros(0) for c in zip(*columns)], names=["key", "n0", "n1", "below"])
+def nodes_table(levels: list[Level], home: int = 0) -> pa.Table:
+    """Rows of levels' nodes; ``home``: the bucket of grams they come from."""
+    columns = [np.concatenate(c) for c in zip(*((x.key.view(np.int64), x.n0, x.n1, x.below) for x in levels))]
+    return pa.Table.from_arrays([np.full(len(columns[0]), home, np.int32), *columns], names=["home", "key", "n0", "n1", "below"])
 
 
-def mixture_table(parts: list[tuple[np.ndarray, Mixture]]) -> pa.Table:
-    columns = ((k.view(np.int64), m.zero, m.one, m.rest) for k, m in parts)
-    return pa.Table.from_arrays([np.concatenate(c) for c in zip(*columns)], names=["key", "zero", "one", "rest"])
+def mixture_table(home: np.ndarray, key: np.ndarray, given: Mixture) -> pa.Table:
+    return pa.Table.from_arrays([home, key.view(np.int64), given.zero, given.one, given.rest], names=["home", "key", "zero", "one", "rest"])
 
 
-def level_of(nodes: pa.Table) -> Level:
+def level_of(nodes: pa.Table) -> tuple[Level, np.ndarray]:
+    """Nodes in key order, and their homes."""
     key = nodes["key"].to_numpy().view(np.uint64)
     order = np.argsort(key, kind="stable")
-    return Level(key[order], *(nodes[c].to_numpy()[order] for c in ("n0", "n1", "below")))
+    return Level(key[order], *(nodes[c].to_numpy()[order] for c in ("n0", "n1", "below"))), nodes["home"].to_numpy()[order]
 
 
-def given_at(level: Level, mix: pa.Table) -> Mixture:
+def given_at(level: Level, mixture: pa.Table) -> Mixture:
     """The mixture rows of a level's nodes, in its order."""
-    key = mix["key"].to_numpy().view(np.uint64)
+    key = mixture["key"].to_numpy().view(np.uint64)
     order = np.argsort(key, kind="stable")
     which = order[np.searchsorted(key[order], level.key)]
-    return Mixture(*(mix[c].to_numpy()[which] for c in ("zero", "one", "rest")))
+    return Mixture(*(mixture[c].to_numpy()[which] for c in ("zero", "one", "rest")))
 
 
 def gram_arrays(grams: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    code = grams["gram"].to_numpy().view(np.uint64)
-    return code >> np.uint64(8), code & np.uint64(255), grams["n"].to_numpy()
+    """Context, byte and count of a bucket's grams."""
+    gram, n = (np.concatenate(x) for x in zip(*(unpack(x, COUNTED)[0] for x in grams["grams"].to_pylist())))
+    return gram >> np.uint64(8), gram & np.uint64(255), n
 
 
-def gram_logs(grams: pa.Table, mix: pa.Table, depth: int, top: int) -> pa.Table:
-    """log10 of every gram's byte after its context."""
-    context, symbol, n = gram_arrays(grams)
-    logs = np.zeros(len(n))
-    for place, bit in places(symbol):
-        level, where = deepest(context, place, bit, n, depth)
-        levels, links = climb(level, depth - top)
-        final = descend(levels, links, given_at(levels[-1], mix)).past(level)
-        logs += np.log10(np.where(bit == 1, final.one[where], final.zero[where]))
-    return pa.Table.from_arrays([grams["gram"], pa.array(logs)], names=["gram", "value"])
+def climb_grams_task(depth: int, top: int):
+    def run(key: tuple[pa.Scalar], grams: pa.Table) -> pa.Table:
+        context, symbol, n = gram_arrays(grams)
+        levels = [climb(deepest(context, place, bit, n, depth)[0], depth - top)[0][-1] for place, bit in places(symbol)]
+        return nodes_table(levels, key[0].as_py())
+    return run
 
 
 def climb_task(steps: int):
     def run(nodes: pa.Table) -> pa.Table:
-        return nodes_table([climb(level_of(nodes), steps)[0][-1]])
+        return nodes_table([climb(level_of(nodes)[0], steps)[0][-1]])
     return run
 
 
 def descend_task(steps: int):
-    def run(nodes: pa.Table, mix: pa.Table) -> pa.Table:
+    def run(nodes: pa.Table, mixture: pa.Table) -> pa.Table:
         if not nodes.num_rows:
-            return mixture_table([(np.zeros(0, np.uint64), Mixture(*(np.zeros(0),) * 3))])
-        levels, links = climb(level_of(nodes), steps)
-        return mixture_table([(levels[0].key, descend(levels, links, given_at(levels[-1], mix)))])
+            return mixture_table(np.zeros(0, np.int32), np.zeros(0, np.uint64), Mixture(*(np.zeros(0),) * 3))
+        level, home = level_of(nodes)
+        levels, links = climb(level, steps)
+        return mixture_table(home, level.key, descend(levels, links, given_at(levels[-1], mixture)))
     return run
 
 
-def dealt(keyed: DataFrame, key: Column, rows: int) -> DataFrame:
-    return keyed.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(max(1, -(-rows // BUCKET_ROWS)))))
+def log_task(depth: int, top: int, buckets: int):
+    """Task over one bucket of grams: log10 of every gram's byte after its context, dealt as the chunks dealt their grams."""
+    def run(grams: pa.Table, mixture: pa.Table) -> pa.Table:
+        out = []
+        if grams.num_rows:
+            context, symbol, n = gram_arrays(grams)
+            logs = np.zeros(len(n))
+            for place, bit in places(symbol):
+                level, where = deepest(context, place, bit, n, depth)
+                levels, links = climb(level, depth - top)
+                final = descend(levels, links, given_at(levels[-1], mixture)).past(level)
+                logs += np.log10(np.where(bit == 1, final.one[where], final.zero[where]))
+            gram = (context << np.uint64(8)) | symbol
+            order = np.argsort(gram, kind="stable")
+            gram, logs = gram[order], logs[order].astype("<f4")
+            out = [(bucket, pack([gram[w], logs[w]])) for bucket, w in enumerate(parts_of(gram, buckets)) if len(w)]
+        return pa.Table.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary())], names=["bucket", "grams"])
+    return run
 
 
-def dropped(key: str, shift: int) -> Column:
-    return F.shiftrightunsigned(F.col(key), shift)
+def dealt(nodes: DataFrame, key: Column, rows: int) -> DataFrame:
+    return nodes.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(max(1, -(-rows // BUCKET_ROWS)))))
 
 
-def gram_probabilities(grams: DataFrame, keep, tiers: tuple[int, ...] = TIERS) -> DataFrame:
-    """(gram, value): log10 probability of every row's byte after its context, from (gram, n).  ``keep(df, name)`` stores a table."""
-    depth, first = tiers[0], tiers[1]
-    n_grams = grams.count()
-    by_context = dealt(grams, dropped("gram", 8 * (depth - first + 1)), n_grams)
+def gram_logs(grams: DataFrame, buckets: int, keep, tiers: tuple[int, ...]) -> DataFrame:
+    """(bucket, grams): packed grams with the log10 probability of their last byte, from packed grams with their counts.  ``keep(df, name)`` stores a table."""
+    depth, first, last = tiers[0], tiers[1], tiers[-1]
+    nodes = {first: keep(grams.groupBy("bucket").applyInArrow(climb_grams_task(depth, first), NODES_DDL), "nodes")}
+    sizes = {first: nodes[first].count()}
 
-    def up_grams(t: pa.Table) -> pa.Table:
-        context, symbol, n = gram_arrays(t)
-        return nodes_table([climb(deepest(context, place, bit, n, depth)[0], depth - first)[0][-1] for place, bit in places(symbol)])
+    def meeting(a: int, b: int) -> DataFrame:
+        return dealt(nodes[a], F.shiftrightunsigned(F.col("key"), 8 * (a - b)), sizes[a])
 
-    nodes = {first: keep(by_context.groupBy("bucket").applyInArrow(up_grams, NODES_DDL), "nodes")}
-    sizes = {first: nodes[first].count()}
-    for a, b in zip(tiers[1:], tiers[2:]):
-        part = dealt(nodes[a], dropped("key", 8 * (a - b)), sizes[a])
-        nodes[b] = keep(part.groupBy("bucket").applyInArrow(climb_task(a - b), NODES_DDL), "nodes")
+    steps = list(zip(tiers[1:], tiers[2:]))
+    for a, b in steps:
+        nodes[b] = keep(meeting(a, b).groupBy("bucket").applyInArrow(climb_task(a - b), NODES_DDL), "nodes")
         sizes[b] = nodes[b].count()
 
-    last = tiers[-1]  # one byte of context: at most 256 x 255 nodes
-    spark = grams.sparkSession
-    top = nodes[last].toArrow()
+    top = nodes[last].toArrow()  # one byte of context: at most 256 x 255 nodes
+    mixture = grams.sparkSession.createDataFrame([], MIX_DDL)
     if top.num_rows:
-        levels, links = climb(level_of(top), last)
+        level, home = level_of(top)
+        levels, links = climb(level, last)
         roots = len(levels[-1].key)
         given = descend(levels, links, Mixture(np.zeros(roots), np.zeros(roots), np.ones(roots)))
-        mix = spark.createDataFrame(mixture_table([(levels[0].key, given)]))
-    else:
-        mix = spark.createDataFrame([], MIX_DDL)
-    for a, b in list(zip(tiers[1:], tiers[2:]))[::-1]:
-        part = dealt(nodes[a], dropped("key", 8 * (a - b)), sizes[a])
-        mix = part.groupBy("bucket").cogroup(dealt(mix, F.col("key"), sizes[a]).groupBy("bucket")).applyInArrow(descend_task(a - b), MIX_DDL)
-
-    def logs(t: pa.Table, m: pa.Table) -> pa.Table:
-        return gram_logs(t, m, depth, first) if t.num_rows else pa.table({"gram": pa.array([], pa.int64()), "value": pa.array([], pa.float64())})
-
-    of_context = dealt(mix, F.col("key").bitwiseAND((1 << 8 * first) - 1), n_grams)
-    return by_context.groupBy("bucket").cogroup(of_context.groupBy("bucket")).applyInArrow(logs, "gram long, value double")
+        mixture = grams.sparkSession.createDataFrame(mixture_table(home, level.key, given))
+    for a, b in steps[::-1]:
+        down = meeting(a, b).groupBy("bucket").cogroup(dealt(mixture, F.col("key"), sizes[a]).groupBy("bucket"))
+        mixture = down.applyInArrow(descend_task(a - b), MIX_DDL)
+    return grams.groupBy("bucket").cogroup(mixture.groupBy("home")).applyInArrow(log_task(depth, first, buckets), LOGS_DDL)
 
 
 def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES, tiers: tuple[int, ...] = TIERS) -> DataFrame:
@@ -442,20 +534,15 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
         F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(train, F.lit(False)).alias("train"), F.col(text).cast("string").alias("text"))
     pieces = keep(rows.mapInArrow(piece_task(depth, chunk_bytes), PIECES_DDL), "pieces")
-    counts = keep(pieces.select("chunk", "train", "data").mapInArrow(count_task(depth), COUNTS_DDL), "counts")
-    by_gram, by_word = counts.where("gram is not null"), counts.where("word is not null")
-
-    words = by_word.groupBy("word").agg(F.sum("n").alias("c"))
-    seen = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count_if(F.col("c") > 0).alias("distinct")).first()
-    word_values = by_word.join(words, "word").where("c != n").select("chunk", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double").alias("value"))
-
-    grams = keep(by_gram.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    logs = keep(gram_probabilities(grams, keep, tiers), "logs")
-    gram_values = by_gram.select("chunk", "gram").join(logs, "gram").select("chunk", "gram", F.lit(None).cast("binary").alias("word"), "value")
-
-    total, distinct = seen["total"], seen["distinct"]
-    scored = pieces.groupBy("chunk").cogroup(gram_values.unionByName(word_values).groupBy("chunk")).applyInArrow(
-        lambda p, t: score_chunk(p, t, depth, total, distinct), SCORES_DDL)
+    size = pieces.agg(F.sum("size")).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    counts = keep(pieces.select("chunk", "train", "data").mapInArrow(count_task(depth, buckets), COUNTS_DDL), "counts")
+    totals = keep(counts.groupBy("bucket").applyInArrow(total_task(buckets, 8 * (depth - tiers[1] + 1)), TOTALS_DDL), "totals")
+    total, distinct = totals.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    logs = gram_logs(totals.where("bucket is not null").select("bucket", "grams"), buckets, keep, tiers)
+    returned = counts.groupBy("bucket").cogroup(logs.groupBy("bucket")).applyInArrow(return_task, "chunk long, grams binary, words binary")
+    scored = pieces.drop("size").groupBy("chunk").cogroup(returned.groupBy("chunk")).applyInArrow(
+        lambda p, r: score_chunk(p, r, depth, total, distinct), SCORES_DDL)
     out = keep(
         scored.groupBy("row_id").agg(
             F.first("doc_id").alias("doc_id"), F.first(~F.col("train")).alias("held_out"), *[F.sum(c).alias(c) for c in ("n_bytes", "n_tokens", "n_known", "base_score", "score")]),
