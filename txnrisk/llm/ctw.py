@@ -40,7 +40,7 @@ from txnrisk.llm.common import discard, encoded, small_batches
 from txnrisk.llm.superkmers import mix
 from txnrisk.session import working_path
 
-DEPTH = 5                   # bytes of context; grams are these and the byte that follows
+DEPTH = 5                   # bytes of context, 6 at most; grams are these and the byte that follows
 TIERS = (DEPTH, 3, 1)       # context lengths at which nodes meet; the last tier is folded by the driver
 CHUNK_BYTES = 32 << 20      # text whose grams are reported and scored together
 PIECE_BYTES = 1 << 20
@@ -192,11 +192,14 @@ def words_of(piece: bytes, depth: int) -> list[bytes]:
 
 
 def codes(pieces: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Grams of the pieces' symbols in blocks of about ``BLOCK``, with the number of the piece of each."""
-    at = 0
+    """Grams of the pieces' symbols in blocks of about ``BLOCK``, with the number of the piece of each.
+
+    A block has so few pieces that their numbers, from its first one on, fit into the bits that a gram leaves free.
+    """
+    at, most = 0, 1 << (64 - 8 * (depth + 1))
     while at < len(pieces):
         to, size = at, 0
-        while to < len(pieces) and size < BLOCK:
+        while to < len(pieces) and size < BLOCK and to - at < most:
             size += len(pieces[to])
             to += 1
         data = np.frombuffer(b"\0" * 8 + b"".join(pieces[at:to]), np.uint8)
@@ -387,7 +390,15 @@ def score_chunk(pieces: pa.Table, returned: pa.Table, depth: int, total: int, di
         dict.update(known, zip(words, n.tolist()))
     out = np.zeros(len(data))
     for block, owner in codes(data, depth):
-        out += np.bincount(owner, value[np.searchsorted(key, block)], minlength=len(data))
+        # Gram and piece in one number: sorting these and looking up each distinct gram once is far faster than a search per position.
+        low = np.uint64(64 - 8 * (depth + 1))
+        base = owner[0] if len(owner) else 0
+        both = np.sort((block << low) | (owner - base).astype(np.uint64))
+        gram = both >> low
+        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])[:len(gram)])
+        logs = np.repeat(value[np.searchsorted(key, gram[first])], np.diff(np.append(first, len(gram))))
+        sums = np.bincount((both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64), logs)
+        out[base:base + len(sums)] += sums
     n_tokens, n_known, base = [], [], []
     for piece in data:
         words = words_of(piece, depth)
