@@ -6,12 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnrisk.operators.boosting import HistogramBoosting
 from txnrisk.operators.preprocess import Preprocess
 from txnrisk.session import shared_folder, working_path
 
@@ -43,10 +44,8 @@ def forest(rows: int) -> Estimator:
     )
 
 
-def boosting(rows: int) -> Estimator:
-    return GBTClassifier(
-        maxIter=160, stepSize=0.06, maxDepth=4, minInstancesPerNode=25, maxBins=255, seed=SEED, maxMemoryInMB=512
-    )
+def boosting(rows: int) -> HistogramBoosting:
+    return HistogramBoosting(max_iter=160, step=0.06, max_leaves=15, min_rows=25, l2=2.0)
 
 
 @dataclass(frozen=True)
