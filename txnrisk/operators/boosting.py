@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -296,7 +297,9 @@ class HistogramBoosting:
 
     def fit(self, df: DataFrame) -> GBTClassificationModel:
         bounds, start, trees = self.grow(df)
-        return mllib_model(df.sparkSession, start, [(t, bounds) for t in trees], len(bounds))
+        # MLlib's margin is half the raw score; the constant is a tree of one leaf.
+        halves = [Tree(t.feature, t.cut, t.left, [v / 2 for v in t.value]) for t in [Tree(value=[start]), *trees]]
+        return stored_ensemble(df.sparkSession, "boosting", halves, bounds)
 
     def grow(self, df: DataFrame) -> tuple[list[np.ndarray], float, list[Tree]]:
         """Bin bounds, the constant raw score before the first tree, and the trees."""
@@ -409,32 +412,48 @@ class HistogramBoosting:
         return out
 
 
-def mllib_model(spark: SparkSession, start: float, trees: list[tuple[Tree, list[np.ndarray]]], width: int) -> GBTClassificationModel:
-    """The same model as MLlib's: its margin is half the raw score, and the constant is a tree of one leaf."""
-    jvm, gateway = spark._jvm, spark.sparkContext._gateway
-    ml = jvm.org.apache.spark.ml
-    stats = jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(_doubles(gateway, [0.0, 0.0, 0.0]), 0)
-
-    def node(tree: Tree, bounds: list[np.ndarray], i: int):
-        if not tree.left[i]:
-            return ml.tree.LeafNode(tree.value[i] / 2, 0.0, stats)
-        left, right = (node(tree, bounds, tree.left[i] + k) for k in (0, 1))
-        # MLlib sends values up to the threshold to the left, as bins do.
-        split = ml.tree.ContinuousSplit(tree.feature[i], float(bounds[tree.feature[i]][tree.cut[i]]))
-        return ml.tree.InternalNode(0.0, 0.0, 0.0, left, right, split, stats)
-
-    constant = Tree(value=[start])
-    roots = [node(t, b, 0) for t, b in [(constant, []), *trees]]
-    kind = ml.regression.DecisionTreeRegressionModel
-    array = gateway.new_array(kind, len(roots))
-    for i, root in enumerate(roots):
-        array[i] = kind(f"dtr_{uuid.uuid4().hex[:12]}", root, width)
-    model = ml.classification.GBTClassificationModel(f"gbtc_{uuid.uuid4().hex[:12]}", array, _doubles(gateway, [1.0] * len(roots)), width)
-    return GBTClassificationModel(model)
-
-
-def _doubles(gateway, values: list[float]):
-    array = gateway.new_array(gateway.jvm.double, len(values))
-    for i, v in enumerate(values):
-        array[i] = v
-    return array
+ENSEMBLES = {  # kinds of MLlib models: (class in the JVM, class here)
+    "boosting": ("org.apache.spark.ml.classification.GBTClassificationModel", GBTClassificationModel),
+    "forest": ("org.apache.spark.ml.regression.RandomForestRegressionModel", RandomForestRegressionModel),
+}
+
+
+def stored_ensemble(spark: SparkSession, kind: str, trees: list[Tree], bounds: list[np.ndarray]):
+    """The trees as MLlib's model, by way of the format in which it stores one: a model of as many single leaves is saved, and its nodes are replaced."""
+    jvm, gateway, name, here = spark._jvm, spark.sparkContext._gateway, *ENSEMBLES[kind]
+    ml, one = jvm.org.apache.spark.ml, jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    numbers = gateway.new_array(gateway.jvm.double, 3)
+    leaf = ml.tree.LeafNode(0.0, 0.0, jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(numbers, 0))
+    array, weights = gateway.new_array(one, len(trees)), gateway.new_array(gateway.jvm.double, len(trees))
+    for i in range(len(trees)):
+        array[i], weights[i] = one(f"tree_{uuid.uuid4().hex[:12]}", leaf, len(bounds)), 1.0
+    uid = f"{kind}_{uuid.uuid4().hex[:12]}"
+    model = ml.classification.GBTClassificationModel(uid, array, weights, len(bounds)) if kind == "boosting" else ml.regression.RandomForestRegressionModel(uid, array, len(bounds))
+    if kind == "forest":
+        model.set(model.getParam("numTrees"), len(trees))
+    path = working_path(spark, "model")
+    model.write().save(path)
+
+    parts: dict[str, list] = {c: [] for c in ("tree", "id", "value", "left", "right", "feature", "threshold")}
+    for k, t in enumerate(trees):
+        left = np.array(t.left)
+        inner = left > 0
+        parts["tree"].append(np.full(len(left), k, np.int32))
+        parts["id"].append(np.arange(len(left), dtype=np.int32))
+        parts["value"].append(np.array(t.value, float))
+        parts["left"].append(np.where(inner, left, -1).astype(np.int32))
+        parts["right"].append(np.where(inner, left + 1, -1).astype(np.int32))
+        parts["feature"].append(np.where(inner, t.feature, -1).astype(np.int32))
+        parts["threshold"].append(np.array([float(bounds[f][c]) if i else 0.0 for f, c, i in zip(t.feature, t.cut, inner)]))
+    nodes = spark.createDataFrame(pa.table({c: np.concatenate(v) for c, v in parts.items()}))
+    inner = F.col("left") >= 0
+    split = F.struct(
+        F.col("feature").alias("featureIndex"), F.when(inner, F.array("threshold")).otherwise(F.array().cast("array<double>")).alias("leftCategoriesOrThreshold"),
+        F.lit(-1).alias("numCategories"))
+    data = F.struct(
+        "id", F.col("value").alias("prediction"), F.lit(0.0).alias("impurity"), F.array(*[F.lit(0.0)] * 3).alias("impurityStats"), F.lit(0).cast("long").alias("rawCount"),
+        F.when(inner, 0.0).otherwise(-1.0).alias("gain"), F.col("left").alias("leftChild"), F.col("right").alias("rightChild"), split.alias("split"))
+    nodes.select(F.col("tree").alias("treeID"), data.alias("nodeData")).write.mode("overwrite").parquet(f"{path}/data")
+    loaded = here.load(path)
+    discard(spark, path)
+    return loaded

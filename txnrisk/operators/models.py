@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.operators.boosting import HistogramBoosting
+from txnrisk.operators.forest import KEY, HistogramForest, row_key
 from txnrisk.operators.preprocess import Preprocess
 from txnrisk.session import shared_folder, working_path
 
@@ -37,11 +38,8 @@ def tree(rows: int) -> Estimator:
     return DecisionTreeRegressor(maxDepth=5, minInstancesPerNode=25, maxBins=255, impurity="variance", seed=SEED)
 
 
-def forest(rows: int) -> Estimator:
-    return RandomForestRegressor(
-        numTrees=250, maxDepth=10, minInstancesPerNode=8, featureSubsetStrategy="sqrt", maxBins=255, seed=SEED,
-        maxMemoryInMB=1024,
-    )
+def forest(rows: int) -> HistogramForest:
+    return HistogramForest(trees=250, depth=10, min_rows=8, seed=SEED)
 
 
 def boosting(rows: int) -> HistogramBoosting:
@@ -91,8 +89,8 @@ def weight_column(train: DataFrame, label: str = "label") -> Column:
 
 
 def feature_table(train: DataFrame, ready: PipelineModel, label: str = "label") -> DataFrame:
-    """Feature vectors and labels, as the estimators take them."""
-    return ready.transform(train).select("features", F.col(label).cast("double").alias("label"))
+    """Feature vectors, labels and row keys, as the estimators take them."""
+    return ready.transform(train).select("features", F.col(label).cast("double").alias("label"), row_key(train).alias(KEY))
 
 
 def fit_on(
@@ -103,7 +101,9 @@ def fit_on(
     _use_checkpoints(spark)
     estimator = (family if isinstance(family, Estimator) else family(rows)).copy()
     estimator.setFeaturesCol("features").setLabelCol("label")
-    if weight is not None:
+    if weight is not None and isinstance(estimator, HistogramForest):
+        estimator.balanced = True  # within each tree's sample
+    elif weight is not None:
         table = table.withColumn(WEIGHT, weight)
         estimator.setWeightCol(WEIGHT)
     return PipelineModel([*ready.stages, _without_summary(estimator.fit(table.repartition(_partitions(rows))), spark)])

@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnrisk.operators import forest as RF
 from txnrisk.operators.boosting import HistogramBoosting
 from txnrisk.plans import oracles as O
 from txnrisk.plans.registry import query, split_txn
@@ -100,3 +101,26 @@ def boosting_stumps(spark, sf_dir):
 def boosting_three_leaves(spark, sf_dir):
     """One leaf-wise tree of three leaves."""
     return boosted_nodes(spark, sf_dir, trees=1, leaves=3)
+
+
+# -------------------------------------------------------------------------- forest
+
+_TREES = 250
+_HEX = "cast('0x' || substr(md5({}), 1, 15) as bigint)"
+_DRAWN = ("with " + O.SPLIT + ", k as (select txn_id, label, " + _HEX.format("'row-' || txn_id") + " as key from sp where split = 'train'), "
+          + "f as (select t as tree, " + _HEX.format("'tree-' || t || '-42'") + f" as h from range({_TREES}) r(t)), "
+          + "u as (select txn_id, label, tree, (cast(key as hugeint) * cast(h + 1 - h % 2 as hugeint)) % 18446744073709551616 // 4294967296 as top from k, f), "
+          + "d as (select txn_id, label, tree, " + " + ".join(f"cast(top >= {x} as bigint)" for x in RF.DRAWS) + " as draws from u)")
+
+
+@query("forest_bootstrap_weights", _DRAWN + """, c as (select tree, label, sum(draws) as n from d group by tree, label),
+w as (select tree, label, sum(n) over (partition by tree) / (2.0 * n) as cw from c)
+select cast(d.tree as int) as tree, d.label, count(*) filter (draws > 0) as rows_drawn, cast(sum(draws) as bigint) as draws, round(sum(draws * cw), 6) as weight,
+  cast(sum(draws * (txn_id % 1009)) as bigint) as id_sum from d join w using (tree, label) group by d.tree, d.label""")
+def forest_bootstrap_weights(spark, sf_dir):
+    """Per tree and class of the balanced forest: rows in the sample, draws, weight, and a sum over IDs that fixes which rows were drawn."""
+    txn, cuts = split_txn(spark, sf_dir)
+    rows = RF.bootstrap_weights(txn.where(cuts.condition("train")), _TREES)
+    return rows.groupBy("tree", "label").agg(
+        F.count(F.lit(1)).alias("rows_drawn"), F.sum("draws").alias("draws"), F.round(F.sum("weight"), ROUNDED).alias("weight"),
+        F.sum(F.col("draws") * (F.col("txn_id") % 1009)).alias("id_sum"))
