@@ -229,7 +229,7 @@ def test_bootstrap_equals_plain_resampling_of_the_same_draws(parts):
     weights = D.draw_weights(test.select("customer_id").distinct(), 20, 42).toPandas()
     pdf = test.toPandas()
     total = pdf.customer_id.nunique()
-    per = [{r["customer_id"]: d["times"] for _, r in weights.iterrows() for d in r["drawn"] if d["repeat"] == b} for b in range(20)]
+    per = [{r["customer_id"]: list(r["drawn"]).count(b) for _, r in weights.iterrows()} for b in range(20)]
     assert all(sum(p.values()) == total for p in per)
     got = D.repeat_metrics(test, 0.5, 20, 42, rows_per_bucket=100).toPandas().set_index("repeat")
     from test_metrics import brute
@@ -247,12 +247,26 @@ def test_bootstrap_equals_plain_resampling_of_the_same_draws(parts):
 
 def test_hot_customer_draws_are_the_same(parts):
     test = parts["test"].select(F.when(F.col("txn_id") % 3 == 0, -1).otherwise(F.col("customer_id")).alias("customer_id"), "label", F.col("pseudo_score").alias("score"))
-    got = D.resampled(test, 5, 1).groupBy("repeat").agg(F.sum("alerts").alias("n"), F.sum("pos").alias("p")).orderBy("repeat").collect()
-    drawn = D.draw_weights(test.select("customer_id").distinct(), 5, 1).select("customer_id", F.explode("drawn").alias("d"))
-    plain = test.join(drawn, "customer_id").groupBy("d.repeat").agg(F.sum("d.times").alias("n"), F.sum(F.col("label") * F.col("d.times")).alias("p"))
+    rows = D.resampled(test, 5, 1).select("pos", "alerts", F.explode("drawn").alias("repeat"))
+    got = rows.groupBy("repeat").agg(F.sum("alerts").alias("n"), F.sum("pos").alias("p")).orderBy("repeat").collect()
+    drawn = D.draw_weights(test.select("customer_id").distinct(), 5, 1).select("customer_id", F.explode("drawn").alias("repeat"))
+    plain = test.join(drawn, "customer_id").groupBy("repeat").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
     assert got == plain.orderBy("repeat").collect()
 
 
+def test_bootstrap_with_ties_and_small_batches(spark, parts):
+    test = parts["test"].select("customer_id", "label", F.round("pseudo_score", 1).alias("score"))
+    whole = D.repeat_metrics(test, 0.5, 10, 3).orderBy("repeat").collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        again = D.repeat_metrics(test, 0.5, 10, 3, rows_per_bucket=50).orderBy("repeat").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(whole) == 10 and [r["n"] for r in whole] == [r["n"] for r in again]
+    for a, b in zip(whole, again):
+        assert tuple(a) == pytest.approx(tuple(b))
+
+
 def test_permutation_moves_one_column_only(parts):
     val = parts["validation"].cache()
     moved = D.permuted(val, SCORING_INPUTS, 2, 42, rows_per_bucket=30).toPandas()

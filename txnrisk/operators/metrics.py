@@ -65,6 +65,11 @@ def metrics(ranked: DataFrame, threshold: Column, score: str = "score", groups:
         F.sum(F.col("pos") * _precision()).alias("_ap"),
         F.sum(F.col("pos") * (_precision() + prev_precision) / F.lit(2.0)).alias("_area"),
     )
+    return record(sums, groups)
+
+
+def record(sums: DataFrame, groups: list[str]) -> DataFrame:
+    """The metric record from each group's totals and sums over its curve."""
     n, p, tp, alerts = (F.col(c) for c in ("n", "positives", "tp", "alert_count"))
     both = (p > 0) & (p < n)
     counts = sums.select(

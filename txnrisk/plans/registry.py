@@ -969,11 +969,11 @@ _INPUTS = ["txn_ts", "amount", "is_intl", *_CATS]
 _SIGN = "case when h >= 576460752303423488 then 0 else 1 end, h, txn_id"
 _PERMUTE = ("with " + O.SPLIT + ", val as (select * from sp where split = 'validation'), vb as (select *, row_number() over (order by " + _SIGN
             + ") - 1 as pos from (select *, " + _HASH.format("'base-' || txn_id || '-42'") + " as h from val)), "
-            + "vars as (select f, r from (values " + ", ".join(f"('{c}')" for c in _INPUTS) + ") t(f), range(5) a(r)), "
-            + "gv as (select *, row_number() over (partition by f, r order by " + _SIGN + ") - 1 as pos from (select val.*, f, r, "
-            + _HASH.format("'give-' || txn_id || '-' || f || '-' || r || '-42'") + " as h from val, vars)), "
-            + "pm as (select vb.txn_id, vb.label, gv.f, gv.r, vb.split, vb.previous_txns, vb.average_spend, vb.account_age_days, "
-            + ", ".join(f"case when gv.f = '{c}' then gv.{c} else vb.{c} end as {c}" for c in _INPUTS) + " from vb join gv using (pos) "
+            + "vars as (select unnest([" + ", ".join(f"'{c}'" for c in _INPUTS) + "]) as f), "
+            + "gv as (select *, row_number() over (partition by r order by " + _SIGN + ") - 1 as pos from (select val.*, r, "
+            + _HASH.format("'give-' || txn_id || '-' || r || '-42'") + " as h from val, range(5) a(r))), "
+            + "pm as (select vb.txn_id, vb.label, vars.f, gv.r, vb.split, vb.previous_txns, vb.average_spend, vb.account_age_days, "
+            + ", ".join(f"case when vars.f = '{c}' then gv.{c} else vb.{c} end as {c}" for c in _INPUTS) + " from vb join gv using (pos), vars "
             + "union all select txn_id, label, 'none', 0, split, previous_txns, average_spend, account_age_days, " + ", ".join(_INPUTS) + " from val), "
             + "ft as (" + _FEATURES_SQL + ", f, r from pm), src as (select f, r, label, 1 / (1 + exp(-(-5.0 + "
             + " + ".join(f"{w} * coalesce({c}, 0)" for c, w in _COEF.items()) + " + " + _METHOD_SQL + "))) as score from ft), "
