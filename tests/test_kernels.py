@@ -95,11 +95,12 @@ def test_dense_index_is_a_numbering(spark, per_bucket):
     assert (merged.idx_x == merged.idx_y).all()
 
 
-@pytest.mark.parametrize("salts", [1, 16])
-def test_lookup_spreads_every_key(spark, salts):
+@pytest.mark.parametrize("how", [{}, {"heavy_rows": 15}, {"heavy_rows": 0}, {"rows": 30}])
+def test_lookup_treats_heavy_keys_apart(spark, how):
     left = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"))
     right = spark.range(0, 30).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    got = K.lookup(left, right, "k", ["v"], spread=["id"], salts=salts).toPandas().set_index("id")["v"].sort_index()
+    assert K.heavy_keys(left, "k", 15)[0] == 0 and None not in K.heavy_keys(left, "k", 0)
+    got = K.lookup(left, right, "k", ["v"], **how).toPandas().set_index("id")["v"].sort_index()
     want = left.join(right, "k", "left").toPandas().set_index("id")["v"].sort_index()
     pd.testing.assert_series_equal(got, want, check_dtype=False)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from txnrisk.functions.coerce import safe_ratio
 from txnrisk.operators import kernels as K
 from txnrisk.operators.split import label_text
+from txnrisk.session import stage
 
 DIMENSIONS = ["category", "location", "device", "method", "is_intl"]
 WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]  # fixed values, Monday is 0
@@ -205,8 +206,8 @@ def box_summary(df: DataFrame, value: str = "amount", by: str = "label", levels:
 
 
 def box_outliers(df: DataFrame, summary: DataFrame, value: str = "amount", by: str = "label") -> DataFrame:
-    """Rows beyond the whiskers; the summary has one row per group."""
-    return K.lookup(df, summary, by, ["whisker_low", "whisker_high"], spread=["txn_id"]).where(
+    """Rows beyond the whiskers; the summary has one row per group, ``MAX_LEVELS`` at most."""
+    return K.lookup(df, summary, by, ["whisker_low", "whisker_high"], rows=MAX_LEVELS).where(
         (F.col(value) < F.col("whisker_low")) | (F.col(value) > F.col("whisker_high"))
     ).select("txn_id", by, value)
 
@@ -230,16 +231,16 @@ def spearman(df: DataFrame, cols: list[str], rows_per_bucket: int = K.ROWS_PER_B
     ranks belong to distinct values.
     """
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    combos = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w"))
-    n = rows.count()
+    combos = stage(rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w")), "combinations")  # read several times per column
+    n = combos.count()
     joined = combos
     for c in cols:
-        bounds = K.value_bounds(rows, c, rows_per_bucket=rows_per_bucket, rows=n)
+        bounds = K.value_bounds(combos, c, rows_per_bucket=rows_per_bucket, rows=n)
         placed = K.cumulate(combos, c, {"w": F.col("_w")}, bounds=bounds, descending=False)
         # Centred average rank: rows before + half of the ties - half of all rows.
         mid = F.col("cum_w") - F.col("w") / F.lit(2.0) - F.col("all_w") / F.lit(2.0)
-        # A value may be shared by very many combinations, so they are spread.
-        joined = K.lookup(joined, placed.select(c, mid.alias(f"_r_{c}")), c, [f"_r_{c}"], spread=[x for x in cols if x != c] or [c])
+        # A value may be shared by very many combinations; which those are is counted before ranks are joined.
+        joined = K.lookup(joined, placed.select(c, mid.alias(f"_r_{c}")), c, [f"_r_{c}"], counted=combos)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     sums = joined.agg(*[F.sum(F.col("_w") * F.col(f"_r_{a}") * F.col(f"_r_{b}")).alias(f"{a}__{b}") for a, b in pairs])
 

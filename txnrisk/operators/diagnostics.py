@@ -50,7 +50,7 @@ def resampled(test: DataFrame, repeats: int = 400, seed: int = 42) -> DataFrame:
         F.sum("label").cast("bigint").alias("pos"), F.count(F.lit(1)).alias("alerts")
     )
     weights = draw_weights(test.select("customer_id").distinct(), repeats, seed)
-    return K.lookup(folded, weights, "customer_id", ["drawn"], spread=["score"]).where("drawn is not null").drop("customer_id")
+    return K.lookup(folded, weights, "customer_id", ["drawn"]).where("drawn is not null").drop("customer_id")
 
 
 def _times(drawn: pa.Array, repeats: int) -> np.ndarray:

@@ -354,15 +354,35 @@ def dense_index(
 
 # -------------------------------------------------------------------- skewed lookup
 
-SALTS = 16
+HEAVY_ROWS = 1_000_000  # rows of one key that are worth a way of their own
+HEAVY_KEYS = 1024       # any other key has less than this part of all rows
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, cols: list[str], spread: list[str], salts: int = SALTS) -> DataFrame:
+def heavy_keys(df: DataFrame, key: str, heavy_rows: int | None = None) -> list:
+    """The values of ``key`` with the most rows, if these are many: at most ``HEAVY_KEYS``, counted exactly."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return [r[key] for r in counts.where(F.col("_n") > (HEAVY_ROWS if heavy_rows is None else heavy_rows)).orderBy(F.col("_n").desc(), key).limit(HEAVY_KEYS).collect()]
+
+
+def lookup(
+    left: DataFrame, right: DataFrame, key: str, cols: list[str], rows: int | None = None, heavy_rows: int | None = None, counted: DataFrame | None = None,
+) -> DataFrame:
     """Left join to a table with unique ``key`` without gathering a hot key in one task.
 
-    Every key is dealt over ``salts`` parts by a hash of the ``spread`` columns, null keys too, and each part has
-    its own copy of the key's columns: one plan, whichever keys are hot and however large the tables are.
+    Keys are counted first.  Rows of heavy keys meet those few keys' columns by broadcast and are never shuffled, rows without a key need no partner,
+    and all others are joined by key, whose groups are then bounded.  ``rows``: a proven bound on the size of ``right``; a small table is broadcast as it is.
+    ``counted``: a table with the same keys as often, if counting them there is cheaper.
     """
-    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
-    copies = right.select(key, *cols, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"))
-    return dealt.join(copies, [key, "_salt"], "left").select(*left.columns, *cols)
+    found = right.select(key, *cols)
+    out = [*left.columns, *cols]
+    if rows is not None and rows <= BROADCAST_ROWS:
+        return left.join(F.broadcast(found), key, "left").select(*out)
+    heavy = heavy_keys(left if counted is None else counted, key, heavy_rows)
+    if not heavy:
+        return left.join(found, key, "left").select(*out)
+    is_heavy = F.col(key).isin(heavy)
+    hot = left.where(is_heavy).join(F.broadcast(found.where(is_heavy)), key, "left").select(*out)
+    light = left.where(~is_heavy).join(found.where(~is_heavy), key, "left").select(*out)
+    kinds = dict(found.dtypes)
+    without = left.where(F.col(key).isNull()).select(*left.columns, *[F.lit(None).cast(kinds[c]).alias(c) for c in cols])
+    return hot.unionByName(light).unionByName(without)

@@ -106,7 +106,7 @@ def seen_flag(df: DataFrame, cuts: Cuts, split: str = "test") -> DataFrame:
 def flag_seen(rows: DataFrame, train: DataFrame) -> DataFrame:
     """``rows`` (with txn_id, customer_id) and ``seen``: whether ``train`` has the customer."""
     known = train.select("customer_id").distinct().withColumn("seen", F.lit(True))
-    out = K.lookup(rows, known, "customer_id", ["seen"], spread=["txn_id"])
+    out = K.lookup(rows, known, "customer_id", ["seen"])
     return out.withColumn("seen", F.coalesce("seen", F.lit(False)))
 
 
