@@ -7,6 +7,7 @@ they may travel to every executor.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
@@ -69,16 +70,21 @@ def tree_samples(df: DataFrame, key: str, trees: int, sample_size: int, seed: in
     return tried.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample_size).drop("_rank")
 
 
-def grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Node rows of one tree: random non-constant feature, uniform split point."""
+def draw(purpose: str, tree: int, place: int, seed: int) -> int:
+    """60-bit number of a node, which other engines can compute: ``place`` is 1 for the root, 2p and 2p + 1 for the children of p."""
+    return int(hashlib.md5(f"{purpose}-{tree}-{place}-{seed}".encode()).hexdigest()[:15], 16)
+
+
+def grow(x: np.ndarray, tree: int, seed: int, max_depth: int) -> list[tuple]:
+    """Node rows of one tree: at every node a random non-constant feature and a uniform split point, both hashes of the node's place."""
     nodes: list[list] = []
-    todo = [(np.arange(len(x)), 0, None, 0)]
+    todo = [(np.arange(len(x)), 0, None, 0, 1)]
     while todo:
-        rows, depth, parent, side = todo.pop()
+        rows, depth, parent, side, place = todo.pop()
         me = len(nodes)
         if parent is not None:
             nodes[parent][4 if side == 0 else 5] = me
-        nodes.append([0, me, -1, 0.0, me, me, len(rows), depth])
+        nodes.append([tree, me, -1, 0.0, me, me, len(rows), depth])
         if depth >= max_depth or len(rows) <= 1:
             continue
         part = x[rows]
@@ -86,14 +92,14 @@ def grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]
         open_features = np.flatnonzero(hi > lo)
         if not len(open_features):
             continue
-        f = int(rng.choice(open_features))
-        split = float(rng.uniform(lo[f], hi[f]))
+        f = int(open_features[draw("feature", tree, place, seed) % len(open_features)])
+        split = float(lo[f] + (hi[f] - lo[f]) * (draw("split", tree, place, seed) / 2**60))
         if split >= hi[f]:
             split = float(lo[f])
         nodes[me][2], nodes[me][3] = f, split
         goes_left = part[:, f] <= split
-        todo.append((rows[~goes_left], depth + 1, me, 1))
-        todo.append((rows[goes_left], depth + 1, me, 0))
+        todo.append((rows[~goes_left], depth + 1, me, 1, 2 * place + 1))
+        todo.append((rows[goes_left], depth + 1, me, 0, 2 * place))
     return [tuple(n) for n in nodes]
 
 
@@ -124,11 +130,10 @@ class IsolationForest:
         def build(pdf: pd.DataFrame) -> pd.DataFrame:
             tree = int(pdf["tree"].iloc[0])
             pdf = pdf.sort_values(["_h", key])
-            out = pd.DataFrame(
-                grow(np.vstack(pdf["x"].to_numpy()), np.random.default_rng([seed, tree]), depth),
+            return pd.DataFrame(
+                grow(np.vstack(pdf["x"].to_numpy()), tree, seed, depth),
                 columns=["tree", "node", "feature", "split", "left", "right", "size", "depth"],
             )
-            return out.assign(tree=tree)
 
         nodes = samples.groupBy("tree").applyInPandas(build, NODE_SCHEMA)
         # Bounded fetch: at most trees * (2 * sample_size - 1) rows of eight numbers.

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.operators import forest as RF
+from txnrisk.operators import models as MD
 from txnrisk.operators.boosting import HistogramBoosting
 from txnrisk.plans import oracles as O
-from txnrisk.plans.registry import query, split_txn
+from txnrisk.operators.iforest import EULER, IsolationForest
+from txnrisk.plans.registry import isolation_samples_sql, query, split_txn
 
 # The inputs of the small fits, in Spark's and in the statements' words.
 BINNED = {"hour(txn_ts)": "hour(txn_ts)", "is_intl": "is_intl", "floor(amount / 25000)": "floor(amount / 25000)", "previous_txns": "previous_txns"}
@@ -51,12 +55,12 @@ _LONG = ("with " + O.SPLIT + ", src as (select * from sp where split = 'train'),
          + "), steps as (select f, x, (x + lead(x) over (partition by f order by x)) / 2 as cut from (select distinct f, x from long))")
 
 
-def _splits(name: str, source: str) -> str:
+def _splits(name: str, source: str, l2: int = 2) -> str:
     """CTEs that end in ``name``: the best split (f, x, gain) of every node of ``source`` (txn_id, node, g, h)."""
     return f""", {name}_c as (select node, f, x, sum(g) as g, sum(h) as h, count(*) as n from {source} join long using (txn_id) group by node, f, x),
 {name}_b as (select node, f, x, sum(g) over w as gl, sum(h) over w as hl, sum(n) over w as nl, sum(g) over v as gt, sum(h) over v as ht, sum(n) over v as nt
   from {name}_c window w as (partition by node, f order by x), v as (partition by node, f)),
-{name}_g as (select *, gl * gl / (hl + 2) + (gt - gl) * (gt - gl) / (ht - hl + 2) - gt * gt / (ht + 2) as gain from {name}_b
+{name}_g as (select *, gl * gl / (hl + {l2}) + (gt - gl) * (gt - gl) / (ht - hl + {l2}) - gt * gt / (ht + {l2}) as gain from {name}_b
   where nl >= 25 and nt - nl >= 25 and hl >= 0.001 and ht - hl >= 0.001),
 {name} as (select node, f, x, gain from (select *, row_number() over (partition by node order by gain desc, f, x) as rn from {name}_g) where rn = 1 and gain > 0)"""
 
@@ -124,3 +128,98 @@ def forest_bootstrap_weights(spark, sf_dir):
     return rows.groupBy("tree", "label").agg(
         F.count(F.lit(1)).alias("rows_drawn"), F.sum("draws").alias("draws"), F.round(F.sum("weight"), ROUNDED).alias("weight"),
         F.sum(F.col("draws") * (F.col("txn_id") % 1009)).alias("id_sum"))
+
+
+# ---------------------------------------------------------------- isolation forest
+
+_ISOLATION_TREES, _ISOLATION_SAMPLE, _ISOLATION_DEPTH = 20, 64, 6
+
+
+def _isolation_sql() -> str:
+    """Trees are grown level by level from the sampled rows, and test rows walk down the same splits."""
+    draw = lambda purpose: _HEX.format(f"'{purpose}-' || tree || '-' || place || '-42'")
+    unit = "cast(1152921504606846976 as double)"
+    text = isolation_samples_sql(_ISOLATION_TREES, _ISOLATION_SAMPLE) + ", long as (" + " union all ".join(
+        f"select txn_id, {j} as f, cast({e} as double) as x from sp" for j, e in enumerate(BINNED.values())) + f""")
+, g0 as (select tree, txn_id, 1 as place from k where rn <= {_ISOLATION_SAMPLE})
+, t0 as (select txn_id, tree, 1 as place from sp, range({_ISOLATION_TREES}) r(tree) where split = 'test')"""
+    for d in range(_ISOLATION_DEPTH):
+        text += f"""
+, a{d} as (select tree, place, f, min(x) as lo, max(x) as hi from g{d} join long using (txn_id) group by tree, place, f having max(x) > min(x))
+, b{d} as (select *, row_number() over (partition by tree, place order by f) - 1 as i, count(*) over (partition by tree, place) as n from a{d})
+, c{d} as (select tree, place, f, lo, hi, lo + (hi - lo) * ({draw('split')} / {unit}) as s from b{d} where i = {draw('feature')} % n)
+, s{d} as (select tree, place, f, case when s >= hi then lo else s end as s from c{d})
+, g{d + 1} as (select g.tree, g.txn_id, 2 * g.place + cast(x > s as int) as place from g{d} g join s{d} using (tree, place) join long l on l.txn_id = g.txn_id and l.f = s{d}.f)
+, t{d + 1} as (select t.txn_id, t.tree, case when s is null then t.place else 2 * t.place + cast(x > s as int) end as place
+  from t{d} t left join s{d} using (tree, place) left join long l on l.txn_id = t.txn_id and l.f = s{d}.f)"""
+    sizes = " union all ".join(f"select tree, place, count(*) as n from g{d} group by tree, place" for d in range(_ISOLATION_DEPTH + 1))
+    path = f"case when {{0}} <= 1 then 0 when {{0}} = 2 then 1 else 2 * (ln({{0}} - 1) + {EULER}) - 2 * ({{0}} - 1) / cast({{0}} as double) end"
+    whole = path.format(f"least({_ISOLATION_SAMPLE}, (select count(*) from tr))")
+    return text + f""", z as ({sizes}),
+h as (select t.txn_id, avg(floor(log2(t.place)) + {path.format('n')}) as h from t{_ISOLATION_DEPTH} t join z using (tree, place) group by t.txn_id)
+select txn_id, round(pow(2, -h / ({whole})), {ROUNDED}) as anomaly_score from h"""
+
+
+@query("iforest_fixed_score", _isolation_sql())
+def iforest_fixed_score(spark, sf_dir):
+    """A small isolation forest on binned inputs: sampled, grown and walked."""
+    txn, cuts = split_txn(spark, sf_dir)
+    names = [f"b{j}" for j in range(len(BINNED))]
+    binned = SQLTransformer(statement="select *, " + ", ".join(f"cast({e} as double) as {n}" for e, n in zip(BINNED, names)) + " from __THIS__")
+    ready = PipelineModel([binned, VectorAssembler(inputCols=names, outputCol="features")])
+    forest = IsolationForest.fit(txn.where(cuts.condition("train")), trees=_ISOLATION_TREES, sample_size=_ISOLATION_SAMPLE, preprocess=ready)
+    return forest.score(txn.where(cuts.condition("test"))).select("txn_id", F.round("anomaly_score", ROUNDED).alias("anomaly_score"))
+
+
+# -------------------------------------------------------------- trees and regression
+
+_GINI = (_LONG + ", y0 as (select txn_id, '' as node, cast(label as double) as g, cast(1 as double) as h from src)"
+         + _splits("q0", "y0", 0) + _sides("y1", "y0", "q0") + _splits("q1", "y1", 0) + _sides("y2", "y1", "q1")
+         + " select node as path, f as feature, round(cut, 6) as threshold, cast(null as double) as share from q0 join steps using (f, x)"
+         + " union all select node, f, round(cut, 6), null from q1 join steps using (f, x) union all select node, -1, null, round(avg(g), 6) from y2 group by node")
+
+
+@query("tree_small", _GINI)
+def tree_small(spark, sf_dir):
+    """A decision tree of depth two with the production leaf size: every node with its split or, at leaves, the share of frauds."""
+    rows = binned_train(spark, sf_dir).select(array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"))
+    estimator = MD.tree(0).setMaxDepth(2)
+    root = estimator.fit(rows)._java_obj.rootNode()
+    out = []
+
+    def walk(node, path):
+        if node.subtreeDepth() == 0:
+            out.append((path, -1, None, node.prediction()))
+            return
+        out.append((path, node.split().featureIndex(), node.split().threshold(), None))
+        walk(node.leftChild(), path + "L")
+        walk(node.rightChild(), path + "R")
+
+    walk(root, "")
+    nodes = spark.createDataFrame(out, "path string, feature int, threshold double, share double")  # seven nodes at most
+    return nodes.select("path", "feature", F.round("threshold", ROUNDED).alias("threshold"), F.round("share", ROUNDED).alias("share"))
+
+
+_STEPS = 12  # of Newton's method; the differences halve their digits at each
+
+
+def _newton_sql() -> str:
+    text = "with " + O.SPLIT + """, fold as (select floor(amount / 25000) / 10 as x, count(*) as n, sum(label) as pos from sp where split = 'train' group by 1),
+s0 as (select ln(sum(pos) / (sum(n) - sum(pos))) as b0, cast(0 as double) as b1 from fold)"""
+    for k in range(_STEPS):
+        text += f""", p{k} as (select b0, b1, x, n, pos, 1 / (1 + exp(-(b0 + b1 * x))) as p from fold, s{k}),
+d{k} as (select b0, b1, sum(n * p * (1 - p)) as h00, sum(n * p * (1 - p) * x) as h01, sum(n * p * (1 - p) * x * x) + 1 as h11,
+  sum(n * p - pos) as g0, sum((n * p - pos) * x) + b1 as g1 from p{k} group by b0, b1),
+s{k + 1} as (select b0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) as b0, b1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) as b1 from d{k})"""
+    return text + f" select round(b0, {ROUNDED}) as intercept, round(b1, {ROUNDED}) as coefficient from s{_STEPS}"
+
+
+@query("lr_small", _newton_sql())
+def lr_small(spark, sf_dir):
+    """The production logistic regression on one binned input."""
+    txn, cuts = split_txn(spark, sf_dir)
+    x = F.expr("array(cast(floor(amount / 25000) as double) / 10)")
+    rows = txn.where(cuts.condition("train")).select(array_to_vector(x).alias("features"), F.col("label").cast("double").alias("label"))
+    model = MD.logistic(rows.count()).fit(rows)
+    numbers = spark.createDataFrame([(model.intercept, float(model.coefficients[0]))], "intercept double, coefficient double")
+    return numbers.select(*[F.round(c, ROUNDED).alias(c) for c in numbers.columns])

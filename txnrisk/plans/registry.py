@@ -1009,18 +1009,22 @@ def candidate_comparison(spark, sf_dir):
 _TREES, _SAMPLE = 250, 256
 
 
-@query("iforest_samples", "with " + O.SPLIT + f""", tr as (select txn_id from sp where split = 'train'),
-p as (select least(1.0, 3.0 * {_SAMPLE} / count(*)) as p from tr),
-ks as (select unnest(range({_TREES + 1})) as k),
-cdf as (select k, sum(exp(lgamma({_TREES + 1}) - lgamma(k + 1) - lgamma({_TREES + 1} - k) + k * ln(p) + ({_TREES} - k) * ln(1 - p))) over (order by k) as c
+def isolation_samples_sql(trees: int, sample: int) -> str:
+    """CTEs that end in ``k``: rows tried by each tree with their rank; a tree keeps the first ``sample``."""
+    return "with " + O.SPLIT + f""", tr as (select txn_id from sp where split = 'train'),
+p as (select least(1.0, 3.0 * {sample} / count(*)) as p from tr),
+ks as (select unnest(range({trees + 1})) as k),
+cdf as (select k, sum(exp(lgamma({trees + 1}) - lgamma(k + 1) - lgamma({trees + 1} - k) + k * ln(p) + ({trees} - k) * ln(1 - p))) over (order by k) as c
   from ks, p where p < 1),
-wd as (select w, row_number() over (order by w) - 1 as i from (select unnest(range(1, {_TREES + 1})) as w) where gcd(w, {_TREES}) = 1),
+wd as (select w, row_number() over (order by w) - 1 as i from (select unnest(range(1, {trees + 1})) as w) where gcd(w, {trees}) = 1),
 r as (select txn_id, {_HASH.format("'tickets-' || txn_id || '-42'")} / cast(1152921504606846976 as double) as u,
-  {_HASH.format("'start-' || txn_id || '-42'")} % {_TREES} as a, {_HASH.format("'width-' || txn_id || '-42'")} % (select count(*) from wd) as i from tr),
-n as (select r.txn_id, r.a, wd.w, case when (select p from p) < 1 then (select count(*) from cdf where c <= r.u) else {_TREES} end as n from r join wd using (i)),
-t as (select txn_id, (a + j * w) % {_TREES} as tree from n, lateral (select unnest(range(least(n, {_TREES}))) as j)),
-k as (select txn_id, tree, row_number() over (partition by tree order by {_HASH.format("'rank-' || txn_id || '-' || tree || '-42'")}, txn_id) as rn from t)
-select txn_id, cast(tree as int) as tree from k where rn <= {_SAMPLE}""")
+  {_HASH.format("'start-' || txn_id || '-42'")} % {trees} as a, {_HASH.format("'width-' || txn_id || '-42'")} % (select count(*) from wd) as i from tr),
+n as (select r.txn_id, r.a, wd.w, case when (select p from p) < 1 then (select count(*) from cdf where c <= r.u) else {trees} end as n from r join wd using (i)),
+t as (select txn_id, (a + j * w) % {trees} as tree from n, lateral (select unnest(range(least(n, {trees}))) as j)),
+k as (select txn_id, tree, row_number() over (partition by tree order by {_HASH.format("'rank-' || txn_id || '-' || tree || '-42'")}, txn_id) as rn from t)"""
+
+
+@query("iforest_samples", isolation_samples_sql(_TREES, _SAMPLE) + f" select txn_id, cast(tree as int) as tree from k where rn <= {_SAMPLE}")
 def iforest_samples(spark, sf_dir):
     """Which rows every isolation tree grows from."""
     from txnrisk.operators.iforest import tree_samples
