@@ -1,8 +1,8 @@
 """Learned preprocessing: imputation, scaling and one-hot encoding fitted on the training part.
 
-Fitting yields a ``PipelineModel`` made only of built-in JVM stages.  Learned numbers
-are literals in SQL text, so a saved model needs no Python code to be loaded and every
-transform is a plain projection.
+Fitting yields a ``PipelineModel`` made only of built-in JVM stages, unless a category column has more values than
+a stage should list (see ``categories``).  Learned numbers are literals in SQL text, so a saved model needs no Python
+code to be loaded and every transform is a plain projection.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from txnrisk.functions import features as FT
 from txnrisk.operators import kernels as K
+from txnrisk.operators.categories import CategoryIndex, many_valued
 from txnrisk.sources.schema import check_inputs
 
 UNKNOWN = "Unknown"  # fixed value: stands for a missing category
@@ -75,16 +76,24 @@ class Preprocess(Estimator):
         features = self._features()
         filled = SQLTransformer(statement=f"SELECT *, {', '.join(select)} FROM __THIS__")
         ready = filled.transform(features.transform(df.select(*self.inputs())))
-        index = StringIndexer(
-            inputCols=[f"c_{c}" for c in cats], outputCols=[f"i_{c}" for c in cats],
-            handleInvalid="keep", stringOrderType="alphabetAsc",
-        ).fit(ready)
-        # The extra "unseen" index is the one dropped, so an unseen category is all zeros.
-        hot = OneHotEncoder(
-            inputCols=[f"i_{c}" for c in cats], outputCols=[f"o_{c}" for c in cats], dropLast=True
-        ).fit(index.transform(ready))
+        # Columns with very many values are numbered by a stored dictionary instead of a list in the stage.
+        many = many_valued(ready, [f"c_{c}" for c in cats])
+        listed = [c for c in cats if f"c_{c}" not in many]
+        stages = [features, filled]
+        if listed:
+            # The extra "unseen" index is the one dropped, so an unseen category is all zeros.
+            index = StringIndexer(
+                inputCols=[f"c_{c}" for c in listed], outputCols=[f"i_{c}" for c in listed],
+                handleInvalid="keep", stringOrderType="alphabetAsc",
+            ).fit(ready)
+            hot = OneHotEncoder(inputCols=[f"i_{c}" for c in listed], outputCols=[f"o_{c}" for c in listed], dropLast=True).fit(index.transform(ready))
+            stages += [index, hot]
+        if many:
+            index = CategoryIndex.fit(ready, {c: f"i_{c[2:]}" for c in many})
+            hot = OneHotEncoder(inputCols=[f"i_{c[2:]}" for c in many], outputCols=[f"o_{c[2:]}" for c in many], dropLast=True, handleInvalid="keep").fit(index.transform(ready))
+            stages += [index, hot]
         join = VectorAssembler(inputCols=vector + [f"o_{c}" for c in cats], outputCol=self.output)
-        return PipelineModel([features, filled, index, hot, join])
+        return PipelineModel([*stages, join])
 
     def _scaled(self, value: str, mean: float, std: float) -> str:
         if not self.scale:

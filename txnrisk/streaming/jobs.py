@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -45,6 +47,27 @@ def rejected(stream: DataFrame) -> DataFrame:
     return S.quarantine(stream)[1]
 
 
+def write_scored_and_rejected(
+    stream: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = True,
+) -> StreamingQuery:
+    """One stream, two sinks: rows that pass the input checks are scored, the others are kept with their reasons.
+
+    Every micro-batch is read and checked once and written to ``scored/batch=n`` and ``rejected/batch=n``.  A replayed one
+    overwrites both of its folders, so a row is in exactly one sink, once, whatever failed in between.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        checked = S.validate(batch).persist()  # read by both sinks; lost blocks are computed again from the batch
+        try:
+            good = checked.where(F.size("reasons") == 0).drop("reasons")
+            score(S.conform(good)).write.mode("overwrite").parquet(f"{path}/scored/batch={batch_id}")
+            checked.where(F.size("reasons") > 0).write.mode("overwrite").parquet(f"{path}/rejected/batch={batch_id}")
+        finally:
+            checked.unpersist()
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def write_alert_stream(scored: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Alert records of every flagged row as JSON lines, one folder per micro-batch.
 
