@@ -220,3 +220,16 @@ def test_scored_output_is_read_back_whatever_its_folder_is_called(spark, tmp_pat
     W.write_table(df, str(tmp_path / "table"))
     a, b = (R.read_scored(spark, str(tmp_path / x)).select(*df.columns).collect() for x in ("scored", "table"))
     assert a == b
+
+
+def test_a_part_delivered_again_replaces_its_own(spark, sf, tmp_path):
+    feed = T.raw_feed(spark, sf).withColumn("part", F.substring("Payment_Method", 1, 1))
+    path = str(tmp_path / "audit")
+    CL.audit_parts(feed.where("part < '3'"), "part", path)
+    half = CL.merged_audit(spark, path).first()
+    CL.audit_parts(feed.where("part >= '2'"), "part", path)  # part 2 again, whole, with the rest
+    whole, want = CL.merged_audit(spark, path).first().asDict(), CL.audit_summary(feed.drop("part")).first().asDict()
+    assert half["rows_raw"] < whole["rows_raw"]
+    assert set(whole) == set(want)
+    for c, x in want.items():
+        assert whole[c] == (pytest.approx(x) if isinstance(x, float) else x), c

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnrisk.functions import coerce as C
 from txnrisk.operators import kernels as K
+from txnrisk.session import stage
 from txnrisk.sources import schema as S
 
 # Fixed value: note stored with the history audit.
@@ -24,15 +25,16 @@ def _same_value(df: DataFrame, name: str) -> Column:
     return col
 
 
-def distinct_rows(feed: DataFrame) -> DataFrame:
-    """Exact duplicates folded into one row with ``copies``.
+def distinct_rows(feed: DataFrame, part: str | None = None) -> DataFrame:
+    """Exact duplicates (within a ``part`` column, if one is named) folded into one row with ``copies``.
 
     Grouping (rather than ``dropDuplicates``) keeps the raw counts in the same pass,
     and partial aggregation folds large groups of copies before the shuffle.
     """
     df = S.to_engine_names(feed)
     cols = list(S.FEED_TO_ENGINE.values())
-    return df.select(*[_same_value(df, c).alias(c) for c in cols]).groupBy(*cols).agg(
+    parts = [part] if part else []
+    return df.select(*parts, *[_same_value(df, c).alias(c) for c in cols]).groupBy(*parts, *cols).agg(
         F.count(F.lit(1)).alias("copies")
     )
 
@@ -82,45 +84,79 @@ def audit_summary(feed: DataFrame) -> DataFrame:
     return summarize(typed(distinct_rows(feed)))
 
 
-def summarize(t: DataFrame) -> DataFrame:
-    """The audit counters of a ``typed`` table."""
-    ok, n = F.col("valid"), F.col("copies")
-    cols = list(S.FEED_TO_ENGINE.values())
-
-    def when_ok(c: Column) -> Column:
-        return F.when(ok, c)
-
+def _when_ok(c: Column) -> Column:
+    return F.when(F.col("valid"), c)
+
+
+def _counters() -> dict[str, Column]:
+    """Counters of a ``typed`` table that add up over its parts (dates: by minimum and maximum)."""
+    ok, n, cols = F.col("valid"), F.col("copies"), list(S.FEED_TO_ENGINE.values())
+    return {
+        "rows_raw": F.sum(n),
+        "exact_duplicates_removed": F.sum(n - 1),
+        "invalid_key_date_or_label_rows_removed": F.count_if(~ok),
+        "rows_clean": F.count_if(ok),
+        "positives": F.sum(_when_ok(F.col("label"))),
+        "total_amount": F.sum(_when_ok(F.col("amount"))),
+        "positive_amount": F.sum(F.when(ok & (F.col("label") == 1), F.col("amount"))),
+        "zero_amount_count": F.count_if(ok & (F.col("amount") == 0)),
+        "min_date": F.min(_when_ok(F.col("txn_ts"))),
+        "max_date": F.max(_when_ok(F.col("txn_ts"))),
+        **{f"_raw_{c}": F.sum(F.when(F.col(f"raw_{c}").isNull(), n).otherwise(0)) for c in cols},
+        **{f"_clean_{c}": F.count_if(ok & F.col(c).isNull()) for c in cols},
+        **{f"_bad_{c}": F.count_if(F.col(f"raw_{c}").isNotNull() & F.col(c).isNull()) for c in S.NUMERIC},
+    }
+
+
+def _report(sums: DataFrame) -> DataFrame:
+    """The audit's row: plain counters and, per column, the counts of missing and invalid cells."""
     def per_column(prefix: str, names: list[str]) -> Column:
         return F.map_from_arrays(
             F.array(*[F.lit(S.ENGINE_TO_FEED[c]) for c in names]), F.array(*[F.col(f"{prefix}{c}") for c in names])
         )
 
-    sums = t.agg(
-        F.sum(n).alias("rows_raw"),
-        F.sum(n - 1).alias("exact_duplicates_removed"),
-        F.count_if(~ok).alias("invalid_key_date_or_label_rows_removed"),
-        F.count_if(ok).alias("rows_clean"),
-        F.sum(when_ok(F.col("label"))).alias("positives"),
-        F.avg(when_ok(F.col("label"))).alias("rate"),
-        F.sum(when_ok(F.col("amount"))).alias("total_amount"),
-        F.sum(F.when(ok & (F.col("label") == 1), F.col("amount"))).alias("positive_amount"),
-        F.count_if(ok & (F.col("amount") == 0)).alias("zero_amount_count"),
-        F.min(when_ok(F.col("txn_ts"))).alias("min_date"),
-        F.max(when_ok(F.col("txn_ts"))).alias("max_date"),
-        F.countDistinct(when_ok(F.col("customer_id"))).alias("unique_customers"),
-        *[F.sum(F.when(F.col(f"raw_{c}").isNull(), n).otherwise(0)).alias(f"_raw_{c}") for c in cols],
-        *[F.count_if(ok & F.col(c).isNull()).alias(f"_clean_{c}") for c in cols],
-        *[F.count_if(F.col(f"raw_{c}").isNotNull() & F.col(c).isNull()).alias(f"_bad_{c}") for c in S.NUMERIC],
-    )
-    plain = [c for c in sums.columns if not c.startswith("_")]
+    cols = list(S.FEED_TO_ENGINE.values())
     return sums.select(
-        *plain,
+        *[c for c in sums.columns if not c.startswith("_")],
         per_column("_raw_", cols).alias("missing_raw"),
         per_column("_clean_", cols).alias("missing_clean"),
         per_column("_bad_", S.NUMERIC).alias("invalid_numeric_cells"),
     )
 
 
+def summarize(t: DataFrame) -> DataFrame:
+    """The audit counters of a ``typed`` table."""
+    return _report(t.agg(
+        *[c.alias(n) for n, c in _counters().items()],
+        F.avg(_when_ok(F.col("label"))).alias("rate"),
+        F.countDistinct(_when_ok(F.col("customer_id"))).alias("unique_customers"),
+    ))
+
+
+def audit_parts(feed: DataFrame, part: str, path: str) -> None:
+    """Audit the parts of a feed (months, say, named in the column ``part``) and keep, per part, its counters and its distinct customers under ``path``.
+
+    A part is delivered whole; delivering it again replaces what was kept of it and touches no other.  Copies of a row
+    must be in its part, as they are where the part follows from the row.
+    """
+    t = stage(typed(distinct_rows(feed, part)), "audit-part")
+    kept = {
+        "counters": t.groupBy(part).agg(*[c.alias(n) for n, c in _counters().items()]),
+        "customers": t.where("valid").select(part, "customer_id").distinct(),
+    }
+    for name, rows in kept.items():
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(f"{path}/{name}")
+
+
+def merged_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The audit of all parts kept under ``path``, equal to ``audit_summary`` of their rows, without reading any feed."""
+    how = {"min_date": F.min, "max_date": F.max}
+    sums = spark.read.parquet(f"{path}/counters").agg(*[how.get(n, F.sum)(n).alias(n) for n in _counters()])
+    customers = spark.read.parquet(f"{path}/customers").select("customer_id").distinct().agg(F.count(F.lit(1)).alias("unique_customers"))
+    both = sums.crossJoin(customers)  # one row each
+    return _report(both.withColumn("rate", C.safe_ratio(F.col("positives"), F.col("rows_clean"))))
+
+
 def history_decreases(df: DataFrame, rows_per_bucket: int = K.ROWS_PER_BUCKET) -> DataFrame:
     """Rows whose account age or previous-transaction count is below the customer's prior row.
 
