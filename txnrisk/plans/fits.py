@@ -8,10 +8,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnrisk.functions.features import feature_select
 from txnrisk.operators import forest as RF
 from txnrisk.operators import models as MD
 from txnrisk.operators.boosting import HistogramBoosting
 from txnrisk.plans import oracles as O
+from txnrisk.plans import registry as R
 from txnrisk.operators.iforest import EULER, IsolationForest
 from txnrisk.plans.registry import isolation_samples_sql, query, split_txn
 
@@ -160,17 +162,79 @@ h as (select t.txn_id, avg(floor(log2(t.place)) + {path.format('n')}) as h from
 select txn_id, round(pow(2, -h / ({whole})), {ROUNDED}) as anomaly_score from h"""
 
 
+def small_isolation_forest(train: DataFrame) -> IsolationForest:
+    names = [f"b{j}" for j in range(len(BINNED))]
+    binned = SQLTransformer(statement="select *, " + ", ".join(f"cast({e} as double) as {n}" for e, n in zip(BINNED, names)) + " from __THIS__")
+    ready = PipelineModel([binned, VectorAssembler(inputCols=names, outputCol="features")])
+    return IsolationForest.fit(train, trees=_ISOLATION_TREES, sample_size=_ISOLATION_SAMPLE, preprocess=ready)
+
+
 @query("iforest_fixed_score", _isolation_sql())
 def iforest_fixed_score(spark, sf_dir):
     """A small isolation forest on binned inputs: sampled, grown and walked."""
     txn, cuts = split_txn(spark, sf_dir)
-    names = [f"b{j}" for j in range(len(BINNED))]
-    binned = SQLTransformer(statement="select *, " + ", ".join(f"cast({e} as double) as {n}" for e, n in zip(BINNED, names)) + " from __THIS__")
-    ready = PipelineModel([binned, VectorAssembler(inputCols=names, outputCol="features")])
-    forest = IsolationForest.fit(txn.where(cuts.condition("train")), trees=_ISOLATION_TREES, sample_size=_ISOLATION_SAMPLE, preprocess=ready)
+    forest = small_isolation_forest(txn.where(cuts.condition("train")))
     return forest.score(txn.where(cuts.condition("test"))).select("txn_id", F.round("anomaly_score", ROUNDED).alias("anomaly_score"))
 
 
+# ---------------------------------------------------------------------- batch jobs
+
+_THRESHOLD, _CUTOFF = 0.3, 0.5
+_JOB = ("with iso as (" + _isolation_sql() + "), fx as (with " + O.SPLIT + ", ft as (" + R._FEATURES_SQL + " from sp where split = 'test') select txn_id, 1 / (1 + exp(-("
+        + f"{R._BASE} + " + " + ".join(f"{w} * coalesce({c}, 0)" for c, w in R._COEF.items()) + " + " + R._METHOD_SQL + "))) as fraud_score from ft), job as ("
+        + f"select txn_id, fraud_score, cast(fraud_score >= {_THRESHOLD} as int) as predicted_fraud, anomaly_score, cast(anomaly_score >= {_CUTOFF} as int) as anomaly_flag from fx join iso using (txn_id))")
+
+
+def scored_file(spark, sf_dir) -> str:
+    """A file of test transactions through the scoring job: models are loaded from a run's folder, scores are written as text.  The folder of the scores."""
+    from txnrisk.plans import batch
+    from txnrisk.session import working_path
+    from txnrisk.sources import writers as W
+
+    txn, cuts = split_txn(spark, sf_dir)
+    run, given, out = (working_path(spark, n) for n in ("job-run", "job-input", "job-scores"))
+    terms = " + ".join(f"{w}D * coalesce(f_{c}, 0D)" for c, w in R._COEF.items())
+    bonus = " ".join(f"when method = '{v}' then {w}D" for v, w in R._METHOD_COEF.items())
+    classifier = PipelineModel([
+        SQLTransformer(statement=feature_select()),
+        SQLTransformer(statement=f"select *, 1D / (1D + exp(-({R._BASE}D + {terms} + case {bonus} else 0D end))) as prediction from __THIS__"),
+    ])
+    MD.save_model(classifier, f"{run}/models/classifier")
+    small_isolation_forest(txn.where(cuts.condition("train"))).save(spark, f"{run}/models/iforest")
+    W.write_document(spark.createDataFrame([(_THRESHOLD, _CUTOFF)], "threshold double, anomaly_cutoff double"), f"{run}/selection")
+    W.write_text(txn.where(cuts.condition("test")).drop("pseudo_score"), given)
+    batch.score_file(spark, given, out, run)
+    return out
+
+
+@query("score_job", _JOB + f""" select txn_id, round(fraud_score, {ROUNDED}) as fraud_score, predicted_fraud, anomaly_score, anomaly_flag,
+  case when predicted_fraud = 1 then 'Model review' when anomaly_flag = 1 then 'Anomaly review' else 'Lower score' end as review_status from job""")
+def score_job(spark, sf_dir):
+    """What the scoring job's file holds."""
+    from txnrisk.sources import readers
+
+    rows = readers.read_scored(spark, scored_file(spark, sf_dir))
+    return rows.select(
+        F.col("txn_id").cast("long").alias("txn_id"), F.round("fraud_score", ROUNDED).alias("fraud_score"), "predicted_fraud", F.round("anomaly_score", ROUNDED).alias("anomaly_score"),
+        "anomaly_flag", "review_status")
+
+
+@query("alerts_job", _JOB + f""" select cast(txn_id as varchar) as transaction_id, round(fraud_score, {ROUNDED}) as fraud_score, anomaly_flag, 'SIMULATED_ONLY' as status
+  from job where predicted_fraud = 1 order by job.fraud_score desc, cast(txn_id as varchar) limit 25""")
+def alerts_job(spark, sf_dir):
+    """The alert file made from the scoring job's file."""
+    from txnrisk.operators import scoring
+    from txnrisk.session import working_path
+    from txnrisk.sources import readers
+    from txnrisk.sources import writers as W
+
+    path = working_path(spark, "job-alerts")
+    wanted = scoring.alerts(readers.read_scored(spark, scored_file(spark, sf_dir)))
+    W.write_alerts(wanted, path)
+    rows = spark.read.schema(wanted.schema).json(path)
+    return rows.select("transaction_id", F.round("fraud_score", ROUNDED).alias("fraud_score"), "anomaly_flag", "status")
+
+
 # -------------------------------------------------------------- trees and regression
 
 _GINI = (_LONG + ", y0 as (select txn_id, '' as node, cast(label as double) as g, cast(1 as double) as h from src)"
