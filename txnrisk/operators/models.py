@@ -99,7 +99,7 @@ def fit_on(
     """Fit an estimator on a ``feature_table`` of ``rows`` rows; ``weight`` is an expression of ``label``."""
     spark = table.sparkSession
     _use_checkpoints(spark)
-    estimator = (family if isinstance(family, Estimator) else family(rows)).copy()
+    estimator = (family if hasattr(family, "fit") else family(rows)).copy()
     estimator.setFeaturesCol("features").setLabelCol("label")
     if weight is not None and isinstance(estimator, HistogramForest):
         estimator.balanced = True  # within each tree's sample
