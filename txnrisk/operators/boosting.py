@@ -32,8 +32,9 @@ from txnrisk.session import discard, working_path
 MAX_BINS = 255
 SKETCH_ACCURACY = 10_000
 BLOCK_ROWS = 1 << 16
-LOCAL_ROWS = 1 << 16      # of a leaf whose subtree is grown by one task
-STORE_EVERY = 10          # trees after which raw scores are stored anew
+LOCAL_ROWS = 1 << 17      # of a leaf whose subtree is grown by one task: some 6 MB
+MANY_ROWS = 1 << 10       # from which features are summed one by one
+STORE_EVERY = 5           # trees after which raw scores are stored anew
 LEAST_HESSIAN = 1e-3      # of a split's either side
 FIXED_POINT_BITS = 30
 # Rounds are many and short: a plan that is settled beforehand, few reducers (sums are bounded by leaves, features and bins), and few blocks in memory at once.
@@ -107,6 +108,8 @@ def order_of(split: tuple) -> tuple[float, int, int]:
 
 def histogram(bins: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Sums (feature, bin, [g, h, n]) of rows; whole numbers below 2**53."""
+    if len(g) > MANY_ROWS:
+        return np.stack([np.stack([np.bincount(row, x, 256) for x in (g, h, None)], axis=1) for row in bins])
     cell = (bins + (np.arange(len(bins)) * 256)[:, None]).ravel()
     sums = [np.bincount(cell, x, len(bins) * 256) for x in (np.tile(g, len(bins)), np.tile(h, len(bins)), None)]
     return np.stack(sums, axis=1).reshape(len(bins), 256, 3)
