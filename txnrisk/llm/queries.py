@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from txnrisk.llm import bpe, ctw, decontaminate, language, periodic, pii, quality, repair, sharding, simhash, spotsigs, substring, suffix
+from txnrisk.llm import bpe, ctw, decontaminate, language, oracles, periodic, pii, quality, repair, sharding, simhash, spotsigs, substring, suffix
 from txnrisk.llm.common import documents, encoded, remainder
 
 
@@ -151,6 +151,39 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
 
 
+# What SQL can state of queries that it cannot state as a whole.
+
+def pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of ``op1_pii``."""
+    return op1_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def shard_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of ``op6_sharding``, and whether its law holds and its slots have no gaps."""
+    found = op6_sharding(spark, sf_dir)
+    per = found.groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("slot").alias("first"), F.max("slot").alias("last"), F.count_distinct("slot").alias("slots"), F.max("law").alias("law"))
+    gapless = (F.col("first") == 0) & (F.col("last") == F.col("n") - 1) & (F.col("slots") == F.col("n"))
+    return per.agg(
+        F.sum("n").alias("documents"), F.count("*").alias("shards"), F.sum("bytes").alias("bytes"),
+        ((F.max("n") - F.min("n") <= 1) & (F.max("law") == "rows") & (F.min("law") == "rows")).alias("law_holds"), F.bool_and(gapless).alias("slots_gapless"))
+
+
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edited texts of ``op7_document_fingerprints``."""
+    return op7_document_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``op12_periodic_runs`` with -1 for the numbers that a document without runs lacks."""
+    found = op12_periodic_runs(spark, sf_dir)
+    return found.withColumns({c: F.coalesce(c, F.lit(-1)).cast("long") for c in ("start", "length", "period", "exponent_milli")})
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and base score of ``op11_context_tree_lm``."""
+    return op11_context_tree_lm(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's last stage over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -158,17 +191,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_substring_dedup, op3_suffix_array_dedup, op4_simhash_near_dedup, op5_benchmark_decontamination, op6_sharding, op7_document_fingerprints,
-    op8_language_id, op9_quality_classifier, op10_bpe, op11_context_tree_lm, op12_periodic_runs, op13_conversation_repair, pipeline,
+    op8_language_id, op9_quality_classifier, op10_bpe, op11_context_tree_lm, op12_periodic_runs, op13_conversation_repair, pipeline, pii_counts, shard_law, edited_texts, periodic_runs, lm_base_scores,
 )}
-_SUBSTRING_SQL = r"""with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
-win as (select doc_id, i, array_to_string(ws[i:i + 12], ' ') as k from w, lateral (select unnest(range(1, len(ws) - 11)) as i)),
-least_id as (select k, min(doc_id) as m from win group by k),
-gone as (select distinct doc_id, i + j as p from win join least_id using (k), range(13) r(j) where m < doc_id),
-words as (select doc_id, ws[p] as word, p from w, lateral (select unnest(range(1, len(ws) + 1)) as p)),
-kept as (select doc_id, count(*) as n, string_agg(word, ' ' order by p) as t from words anti join gone using (doc_id, p) group by doc_id)
-select w.doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
-from w left join kept using (doc_id)"""
-
-ORACLES: dict[str, str] = {"op2_substring_dedup": _SUBSTRING_SQL}
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": oracles.SUBSTRING, "periodic_runs": oracles.PERIODIC, "pii_counts": oracles.PII_COUNTS, "edited_texts": oracles.EDITED_TEXTS,
+    "shard_law": oracles.SHARD_LAW, "lm_base_scores": oracles.BASE_SCORES,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
