@@ -62,10 +62,10 @@ def test_every_stage_takes_odd_and_empty_tables(spark, sf, name, stage):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(5)
     odd = docs.unionByName(docs.limit(2)).unionByName(docs.limit(2).withColumn("doc_id", F.lit(None).cast("long")))
     odd = odd.unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string"))).unionByName(docs.limit(1).withColumn("text", F.lit("")))
-    odd = odd.withColumns({"fp": F.lit(1), "ids": F.lit("x"), "score": F.lit(0.5), "item_id": F.lit(3)})
+    odd = odd.withColumns({"fp": F.lit(1), "ids": F.lit("x"), "score": F.lit(0.5), "item_id": F.lit(3), "__key": F.lit("k"), "__key_": F.lit(2), "__coded": F.lit(3), "row": F.lit(4)})
     out = stage(spark, odd, sf)
     rows = out.collect()
-    assert {"fp", "score", "item_id"} <= set(out.columns)
+    assert {"fp", "score", "item_id", "__key", "__key_", "__coded", "row"} <= set(out.columns) and {r["__key"] for r in rows} <= {"k"}
     if name in ("pii", "tokenize"):
         assert len(rows) == odd.count()
     if name == "near_dedup":  # equal texts are one document, empty and null texts too

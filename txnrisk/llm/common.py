@@ -33,9 +33,21 @@ def remainder(doc_id, parts: int):
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
-def row_key(df: DataFrame) -> DataFrame:
-    """``df`` with ``__key``, a hash of all its columns: equal rows share it, a missing ID does not matter."""
-    return df.withColumn("__key", F.xxhash64(*[F.to_json(F.col(c)) if "map" in kind else F.col(c) for c, kind in df.dtypes]))
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def row_key(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
+    """``df`` with a hash of all its columns under ``name``: equal rows share it, a missing ID does not matter.
+
+    A ``wide`` key has 128 bits, so that no two of even 10**12 different rows share one.
+    """
+    cells = [F.to_json(F.col(c)) if "map" in kind else F.col(c) for c, kind in df.dtypes]
+    key = F.xxhash64(*cells)
+    return df.withColumn(name, F.struct(key.alias("a"), F.xxhash64(F.lit(1), *cells).alias("b")) if wide else key)
 
 
 def discard(spark: SparkSession, path: str) -> None:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.session import stage
+from txnrisk.llm.common import discard
+from txnrisk.session import working_path
 
 SALTS = 16  # parts over which the links of one node are spread in a join
 MAX_ROUNDS = 60
@@ -27,9 +28,19 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (columns u, v): root is the least node reachable, itself included.
 
     Rounds of "large" and "small" stars (each node points its larger, then its smaller neighbours to the least one) end when nothing changes;
-    their number grows with the logarithm of the longest path.  Each round is written to the shared folder.
+    their number grows with the logarithm of the longest path.  Each round is written to the shared folder, and the one before it removed.
     """
-    links = stage(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    spark, path = links.sparkSession, None
+
+    def keep(round_links: DataFrame) -> DataFrame:
+        nonlocal path
+        last, path = path, working_path(spark, "links")
+        round_links.write.parquet(path)
+        if last:
+            discard(spark, last)
+        return spark.read.parquet(path)
+
+    links = keep(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
     for _ in range(MAX_ROUNDS):
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -41,5 +52,5 @@ def components(links: DataFrame) -> DataFrame:
         large = with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         seen = with_least(large)
         small = seen.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(seen.select("u", F.col("m").alias("v")))
-        links = stage(small.distinct(), "links")
+        links = keep(small.distinct())
     raise RuntimeError(f"Components did not settle in {MAX_ROUNDS} rounds.")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import encoded, row_key
+from txnrisk.llm.common import encoded, free_name, row_key
 from txnrisk.llm.components import SALTS, components
 from txnrisk.session import stage
 
@@ -196,12 +196,13 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
 
     Rows equal in every column are one document, so one of them stays if any does.
     """
-    keyed = row_key(df)
-    rows = keyed.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("__key"), F.col(text).cast("string").alias("text"))
+    key = free_name(df, "__key")
+    keyed = row_key(df, key, wide=True)
+    rows = keyed.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(key).alias("row"), F.col(text).cast("string").alias("text"))
     found = cluster_rows(rows, shingle, radius)
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key"))
-    winners = stage(found.groupBy("component").agg(best.alias("best")).select("best.__key"), "winners")
-    kept = keyed.join(winners.distinct(), "__key", "left_semi")
-    repeats = found.groupBy("__key").count().where("count > 1").join(winners, "__key", "left_semi").limit(1).count()
-    kept = kept.dropDuplicates(["__key"]) if repeats else kept
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    winners = stage(found.groupBy("component").agg(best.alias("best")).select(F.col("best.row").alias(key)), "winners")
+    kept = keyed.join(winners.distinct(), key, "left_semi")
+    repeats = found.groupBy(F.col("row").alias(key)).count().where("count > 1").join(winners, key, "left_semi").limit(1).count()
+    kept = kept.dropDuplicates([key]) if repeats else kept
     return kept.select(*df.columns)
