@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import bpe, decontaminate, pii, quality, simhash
-from txnrisk.llm.common import discard, remainder, row_key, small_batches
+from txnrisk.llm.common import discard, free_name, remainder, row_key, small_batches
 from txnrisk.session import working_path
 
 
@@ -35,9 +35,10 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    keyed = row_key(docs)
-    found = decontaminate.contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="__key")
-    return keyed.join(found.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*docs.columns)
+    key = free_name(docs, "__key")
+    keyed = row_key(docs, key)
+    found = decontaminate.contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id=key)
+    return keyed.join(found.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +53,9 @@ def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     small_batches(spark)
     codec = bpe.Codec(spark, public_tokenizers.path("word_bpe_49k.json"))
     others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "decoded")]
-    coded = docs.select(*others, codec.round_trip(F.col("text")).alias("__coded"))
-    return coded.select(*others, F.col("__coded.ids"), F.size("__coded.ids").cast("long").alias("n_tokens"), F.col("__coded.decoded"))
+    name = free_name(docs, "__coded")
+    coded = docs.select(*others, codec.round_trip(F.col("text")).alias(name))
+    return coded.select(*others, F.col(f"{name}.ids"), F.size(f"{name}.ids").cast("long").alias("n_tokens"), F.col(f"{name}.decoded"))
 
 
 STAGES = [
