@@ -288,6 +288,14 @@ def test_permutation_moves_one_column_only(parts):
             assert (part[feature] != plain[feature]).mean() > 0.9
 
 
+def test_features_are_shuffled_apart(spark):
+    """Every (feature, repeat) draws its donors by itself: two columns with the same values end up in different orders."""
+    rows = spark.range(200).select(F.col("id").alias("txn_id"), F.lit(0).alias("label"), F.col("id").alias("a"), F.col("id").alias("b"))
+    moved = D.permuted(rows, ["a", "b"], 2, 42, rows_per_bucket=30).toPandas()
+    orders = {tuple(part.sort_values("txn_id")[f]) for (f, _), part in moved.groupby(["feature", "repeat"])}
+    assert len(orders) == 4
+
+
 def test_importance_finds_the_signal(parts, lr):
     got = D.permutation_importance(lambda df: MD.score(lr, df, "score"), parts["validation"], repeats=3).toPandas()
     assert set(got.feature) == set(SCORING_INPUTS)

@@ -209,20 +209,24 @@ def permuted(validation: DataFrame, features: list[str], repeats: int, seed: int
     """One copy of ``validation`` per (feature, repeat) in which only that feature is shuffled.
 
     A shuffle pairs two numberings of the same rows: position by one hash receives the
-    values of the row at that position by another.  There is one donor numbering per repeat, which all features share; a row meets its donor once a
-    repeat and is copied per feature afterwards, without a shuffle.
+    value of the row at that position by another.  Every (feature, repeat) has a donor numbering of its own, of which only the shuffled column moves; rows
+    meet all their donors in one join by position.
     """
     rows = validation.count() if rows is None else rows
     own = validation.select(key, "label", *features)
     takers = K.dense_index(own, _order("base", F.col(key), F.lit(seed)), [key], rows=rows, rows_per_bucket=rows_per_bucket, name="_pos")
-    givers = validation.select(key, F.struct(*features).alias("_given"), F.explode(F.array(*[F.lit(r) for r in range(repeats)])).alias("repeat"))
+    variants = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat")) for f in features for r in range(repeats)]))
+    givers = validation.select(key, *features, variants.alias("v")).select(
+        key, F.col("v.feature").alias("feature"), F.col("v.repeat").alias("repeat"),
+        *[F.when(F.col("v.feature") == f, F.col(f)).alias(f"_g_{f}") for f in features],
+    )
     givers = K.dense_index(
-        givers, _order("give", F.col(key), F.col("repeat"), F.lit(seed)), [key], ["repeat"], rows=rows, rows_per_bucket=rows_per_bucket, name="_pos",
-    ).select("repeat", "_pos", "_given")
-    pairs = givers.join(takers, "_pos")
-    return pairs.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features]))).select(
+        givers, _order("give", F.col(key), F.col("feature"), F.col("repeat"), F.lit(seed)), [key], ["feature", "repeat"],
+        rows=rows, rows_per_bucket=rows_per_bucket, name="_pos",
+    ).drop(key)
+    return givers.join(takers, "_pos").select(
         key, "label", "feature", "repeat",
-        *[F.when(F.col("feature") == f, F.col(f"_given.{f}")).otherwise(F.col(f)).alias(f) for f in features],
+        *[F.when(F.col("feature") == f, F.col(f"_g_{f}")).otherwise(F.col(f)).alias(f) for f in features],
     )
 
 
