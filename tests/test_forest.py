@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from txnrisk.operators import boosting as B
 from txnrisk.operators import forest as RF
 from txnrisk.operators import models as MD
 
@@ -72,6 +73,29 @@ def test_equals_plain_version(monkeypatch, table, local, balanced):
     assert [(t.numNodes + 1) // 2 for t in model.trees] == [n for _, n in want]
 
 
+def test_sums_are_of_drawn_features_only(monkeypatch, table):
+    """A pass sums the features that a node draws; the others follow for nodes that these do not split."""
+    monkeypatch.setattr(RF, "LOCAL_ROWS", 0)
+    passes, sums = [], RF.HistogramForest.sums
+    monkeypatch.setattr(RF.HistogramForest, "sums", lambda self, blocks, width, trees, features, *more: passes.append(features) or sums(self, blocks, width, trees, features, *more))
+    forest = RF.HistogramForest(trees=3, depth=3)
+    forest.fit(table[2])
+    sizes = [{len(f) for f in p.values()} for p in passes]
+    assert sizes[0] == {2} and set().union(*sizes) <= {2, 3}
+    first = set()
+    for p in passes:
+        assert all((k in first) == (len(f) == 3) for k, f in p.items())
+        first |= set(p)
+
+
+def test_driver_keeps_no_record_of_settled_nodes(monkeypatch, table):
+    """Nodes of subtrees grown by tasks live in the driver as entries of their trees only."""
+    made = []
+    monkeypatch.setattr(RF, "Leaf", lambda *sums: made.append(1) or B.Leaf(*sums))
+    _, trees = RF.HistogramForest(trees=4, depth=5).grow(table[2])
+    assert sum(len(t.left) for t in trees) > 8 and len(made) == 4
+
+
 def test_draws_are_poisson_and_follow_whole_numbers():
     rng = np.random.default_rng(1)
     key = rng.integers(0, 1 << 60, 200_000)

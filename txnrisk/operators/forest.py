@@ -5,7 +5,7 @@ draws the same.  ``balanced`` weighs a class by n / (2 * its draws) within each
 the number of features, drawn anew at every node (more only where these allow no split).
 
 All trees grow together, level by level.  Nodes with many rows get sums per (node, feature, bin) from one pass over the blocks, as many nodes at a time as
-``MAX_CELLS`` allows; the rows of a node of at most ``LOCAL_ROWS`` meet in one group, which grows the subtree below it.  Sums are whole numbers, so the
+``MAX_CELLS`` allows, and of the features that a node draws; the others are summed only for nodes that these do not split.  The rows of a node of at most ``LOCAL_ROWS`` meet in one group, which grows the subtree below it.  Sums are whole numbers, so the
 forest does not depend on partitions.  The fitted model is MLlib's ``RandomForestRegressionModel`` (the mean of the trees' positive shares).
 """
 
@@ -80,12 +80,17 @@ def bootstrap_weights(df: DataFrame, trees: int = 250, seed: int = 42) -> DataFr
 
 # --------------------------------------------------------------------------- growing
 
-def split_of(cells_of, leaf: Leaf, order: np.ndarray, few: int, min_rows: int) -> tuple | None:
-    """The best split over the first ``few`` features of ``order``, or over the next one that allows any.
+def tried(order: np.ndarray, few: int) -> list[np.ndarray]:
+    """Groups of features in the order a node tries them: the first ``few`` together, then one by one."""
+    return [order[:few], *order[few:, None]]
+
+
+def split_of(cells_of, leaf: Leaf, groups: list[np.ndarray], min_rows: int) -> tuple | None:
+    """The best split over the first group of features that allows any.
 
     ``cells_of``: features -> their sums.
     """
-    for group in [order[:few], *order[few:, None]]:
+    for group in groups:
         if found := best_split(cells_of(group), leaf, min_rows, 0.0):
             gain, feature, cut, left, right = found
             return gain, int(group[feature]), cut, left, right
@@ -110,7 +115,7 @@ def grow_rows(bins: np.ndarray, g: np.ndarray, h: np.ndarray, scale: float, tree
         if at.bit_length() > forest.depth or leaf.n < 2 * forest.min_rows or not mixed(leaf):
             continue
         own, own_g, own_h = bins[:, rows], g[rows], h[rows]
-        found = split_of(lambda f: histogram(own[f], own_g, own_h) / units, leaf, feature_order(len(bins), forest.seed, tree, at), forest.few(len(bins)), forest.min_rows)
+        found = split_of(lambda f: histogram(own[f], own_g, own_h) / units, leaf, tried(feature_order(len(bins), forest.seed, tree, at), forest.few(len(bins))), forest.min_rows)
         if found is None:
             continue
         _, feature, cut, left, right = found
@@ -173,18 +178,18 @@ def sample_task(width: int, trees: int, seed: int):
 SAMPLES_DDL = "tree long, label long, draws long, rows long"
 
 
-def node_rows(batches: Iterator[pa.RecordBatch], width: int, trees: dict[int, Tree], nodes: dict[int, list[int]], seed: int):
-    """(tree, node, bins, labels, draws) of every node's sampled rows in every block."""
+def node_rows(batches: Iterator[pa.RecordBatch], width: int, trees: dict[int, Tree], nodes: dict[int, list[int]], seed: int, features: dict[tuple[int, int], np.ndarray] | None = None):
+    """(tree, node, bins, labels, draws) of every node's sampled rows in every block; ``features``: those wanted of a node, if not all."""
     for bins, label, key in opened(batches, width):
         for t, wanted in nodes.items():
             times = draws(key, t, seed)
-            drawn = times > 0
-            mine, own_label, own_times = bins[:, drawn], label[drawn], times[drawn]
-            at = trees[t].reached(mine)
+            drawn = np.flatnonzero(times)
+            at = trees[t].reached(bins[:, drawn]) if len(trees[t].left) > 1 else np.zeros(len(drawn), np.int64)
             for n in wanted:
-                use = at == n
-                if use.any():
-                    yield t, n, mine[:, use], own_label[use], own_times[use]
+                rows = drawn[at == n]
+                if len(rows):
+                    own = bins[:, rows] if features is None else np.stack([bins[f][rows] for f in features[t, n]])
+                    yield t, n, own, label[rows], times[rows]
 
 
 def slopes(label: np.ndarray, times: np.ndarray, weights: list[float], scale: float) -> tuple[np.ndarray, np.ndarray]:
@@ -193,15 +198,17 @@ def slopes(label: np.ndarray, times: np.ndarray, weights: list[float], scale: fl
     return np.where(label == 1, h, 0.0), h
 
 
-def histogram_task(width: int, trees: dict[int, Tree], slots: dict[tuple[int, int], int], weights: dict[int, list[float]], scale: float, seed: int):
+def histogram_task(width: int, trees: dict[int, Tree], features: dict[tuple[int, int], np.ndarray], weights: dict[int, list[float]], scale: float, seed: int):
+    """Task over blocks: sums per (node in the order of ``features``, feature of its own, bin), only cells that have rows."""
     nodes: dict[int, list[int]] = {}
-    for t, n in slots:
+    for t, n in features:
         nodes.setdefault(t, []).append(n)
+    slots, most = {k: s for s, k in enumerate(features)}, max(map(len, features.values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(slots), width, 256, 3), np.int64)
-        for t, n, bins, label, times in node_rows(batches, width, trees, nodes, seed):
-            total[slots[t, n]] += histogram(bins, *slopes(label, times, weights[t], scale)).astype(np.int64)
+        total = np.zeros((len(slots), most, 256, 3), np.int64)
+        for t, n, bins, label, times in node_rows(batches, width, trees, nodes, seed, features):
+            total[slots[t, n], :len(bins)] += histogram(bins, *slopes(label, times, weights[t], scale)).astype(np.int64)
         flat = total.reshape(-1, 3)
         cell = np.flatnonzero(flat[:, 2])
         yield pa.RecordBatch.from_arrays([pa.array(cell), *(pa.array(flat[cell, k]) for k in range(3))], names=["cell", "g", "h", "n"])
@@ -297,41 +304,53 @@ class HistogramForest:
             roots[t] = Leaf(g, h, drawn[t, 0][1] + drawn[t, 1][1])
         return weights, roots
 
+    def sums(self, blocks: DataFrame, width: int, trees: dict[int, Tree], features: dict[tuple[int, int], np.ndarray], weights: dict[int, list[float]], scale: float) -> np.ndarray:
+        """Sums (node, feature of its own, bin, [g, h, n]) from one pass over the blocks."""
+        task = histogram_task(width, {t: trees[t] for t, _ in features}, features, weights, scale, self.seed)
+        found = blocks.mapInArrow(task, "cell long, g long, h long, n long").groupBy("cell").agg(*[F.sum(c).alias(c) for c in "ghn"]).toArrow()  # at most MAX_CELLS
+        most = max(map(len, features.values()))
+        cells = np.zeros((len(features) * most * 256, 3))
+        for j, c in enumerate("ghn"):
+            cells[found["cell"].to_numpy(), j] = found[c].to_numpy() / (1.0 if c == "n" else scale)
+        return cells.reshape(len(features), most, 256, 3)
+
     def grown(self, blocks: DataFrame, width: int, rows: int) -> list[Tree]:
         weights, leaves = self.samples(blocks, width)
         most = max(max(w) for w in weights.values())
         scale = 2.0 ** min(FIXED_POINT_BITS, 61 - math.ceil(math.log2(max(1.0, 12 * rows * most))))
         trees = {t: Tree() for t in range(self.trees)}
-        known = {(t, 0): (leaf, 1) for t, leaf in leaves.items()}  # (tree, node) -> sums and place
+        # (tree, node) -> sums and place, of open nodes alone: all trees' nodes would be hundreds of MB in the driver.
+        known = {(t, 0): (leaf, 1) for t, leaf in leaves.items()}
         open_nodes = list(known)
 
+        def share(g: float, h: float) -> float:
+            return g / h if h else 0.0
+
         def divide(t: int, node: int, feature: int, cut: int, left: tuple, right: tuple) -> tuple[int, int]:
             children = trees[t].divide(node, feature, cut)
-            for k, sums in enumerate((left, right)):
-                known[t, children[k]] = (Leaf(*sums), 2 * known[t, node][1] + k)
+            for child, (g, h, _) in zip(children, (left, right)):
+                trees[t].value[child] = share(g, h)
             return children
 
+        for t, leaf in leaves.items():
+            trees[t].value[0] = share(leaf.g, leaf.h)
         while open_nodes:
             worth = [k for k in open_nodes if known[k][0].n >= 2 * self.min_rows and mixed(known[k][0]) and known[k][1].bit_length() <= self.depth]
             many = [k for k in worth if known[k][0].n > LOCAL_ROWS]
             few = [k for k in worth if known[k][0].n <= LOCAL_ROWS]
-            open_nodes, at_once = [], max(1, MAX_CELLS // (width * 256))
-            splits = []
-            for a in range(0, len(many), at_once):
-                part = many[a:a + at_once]
-                slots = {k: s for s, k in enumerate(part)}
-                mine = {t: trees[t] for t, _ in part}
-                found = blocks.mapInArrow(histogram_task(width, mine, slots, weights, scale, self.seed), "cell long, g long, h long, n long")
-                sums = found.groupBy("cell").agg(*[F.sum(c).alias(c) for c in "ghn"]).toArrow()  # at most MAX_CELLS
-                cells = np.zeros((len(part) * width * 256, 3))
-                for j, c in enumerate("ghn"):
-                    cells[sums["cell"].to_numpy(), j] = sums[c].to_numpy() / (1.0 if c == "n" else scale)
-                cells = cells.reshape(len(part), width, 256, 3)
-                for (t, n), s in slots.items():
-                    leaf, place = known[t, n]
-                    found = split_of(lambda f, s=s: cells[s][f], leaf, feature_order(width, self.seed, t, place), self.few(width), self.min_rows)
-                    if found:
-                        splits.append((t, n, *found[1:]))
+            splits, enough = [], self.few(width)
+            for lo, hi in ((0, enough), (enough, width)):  # nodes that their first features do not split try the others
+                at_once, waiting, many = max(1, MAX_CELLS // (max(1, hi - lo) * 256)), many if hi > lo else [], []
+                for a in range(0, len(waiting), at_once):
+                    features = {k: feature_order(width, self.seed, k[0], known[k][1])[lo:hi] for k in waiting[a:a + at_once]}
+                    for k, cells in zip(features, self.sums(blocks, width, trees, features, weights, scale)):
+                        groups = tried(np.arange(hi - lo), 0 if lo else enough)
+                        found = split_of(lambda f, cells=cells: cells[f], known[k][0], [g for g in groups if len(g)], self.min_rows)
+                        if found:
+                            gain, feature, *rest = found
+                            splits.append((*k, int(features[k][feature]), *rest))
+                        elif not lo:
+                            many.append(k)
             if few:
                 nodes: dict[int, list[int]] = {}
                 for t, n in few:
@@ -339,15 +358,18 @@ class HistogramForest:
                 places = {k: known[k][1] for k in few}
                 gathered = blocks.mapInArrow(gather_task(width, {t: trees[t] for t in nodes}, nodes, self.seed), "tree long, node long, bins binary, label binary, times binary")
                 grown = gathered.groupBy("tree", "node").applyInArrow(grow_task(width, places, weights, scale, self), SPLITS_DDL).toArrow()  # at most trees x 2**depth
-                names: dict[tuple[int, int], dict[int, int]] = {k: {0: k[1]} for k in few}
-                count = dict.fromkeys(few, 0)
-                for t, root, node, feature, cut, lg, lh, ln, rg, rh, rn in zip(*(grown[c].to_pylist() for c in SPLITS.names)):
-                    child = 2 * count[t, root] + 1
-                    count[t, root] += 1
-                    children = divide(t, names[t, root][node], feature, cut, (lg, lh, ln), (rg, rh, rn))
-                    names[t, root].update({child: children[0], child + 1: children[1]})
+                subtree, names, count = None, {}, 0
+                for batch in grown.to_batches(max_chunksize=4096):  # a node's rows follow each other
+                    for t, root, node, feature, cut, lg, lh, ln, rg, rh, rn in zip(*(batch[c].to_pylist() for c in SPLITS.names)):
+                        if subtree != (t, root):
+                            subtree, names, count = (t, root), {0: root}, 0
+                        children = divide(t, names[node], feature, cut, (lg, lh, ln), (rg, rh, rn))
+                        names.update({2 * count + 1: children[0], 2 * count + 2: children[1]})
+                        count += 1
+            places = {(t, n): known[t, n][1] for t, n, *_ in splits}
+            known = {}
             for t, n, feature, cut, left, right in splits:
-                open_nodes += [(t, c) for c in divide(t, n, feature, cut, left, right)]
-        for (t, n), (leaf, _) in known.items():
-            trees[t].value[n] = leaf.g / leaf.h if leaf.h else 0.0
+                children = divide(t, n, feature, cut, left, right)
+                known.update({(t, c): (Leaf(*sums), 2 * places[t, n] + k) for k, (c, sums) in enumerate(zip(children, (left, right)))})
+            open_nodes = list(known)
         return [trees[t] for t in range(self.trees)]
