@@ -201,6 +201,7 @@ def sensitivity(
         model = final if keep_final else MD.fit_candidate(train, candidate, history, keyword)
         part = MD.score(model, validation, "score").select(F.lit(name).alias("variant"), "label", "score")
         scores = part if scores is None else scores.unionByName(part)
+    scores = stage(scores, "variant-scores")  # models score once, however often their scores are read
     table = M.evaluate(scores, 0.5, groups=["variant"], group_limit=len(variants))
     return table.select("variant", F.col("average_precision").alias("validation_ap"))
 

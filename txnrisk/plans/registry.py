@@ -917,10 +917,14 @@ def fitted_candidates(spark, sf_dir) -> dict:
 
 def selected_model(spark, sf_dir) -> tuple[str, object]:
     """The candidate that validation chooses, by average precision."""
+    from txnrisk.session import stage
+
     fitted = fitted_candidates(spark, sf_dir)
     val = _parts(spark, sf_dir)[1].withColumn("split", F.lit("validation"))
     cells = F.array(*[F.struct(F.lit(c).alias("model"), F.lit("supervised").alias("kind"), F.col(f"`{c}`").alias("score")) for c in fitted])
-    long = MD.score_wide(fitted, val).select("split", "label", F.explode(cells).alias("m")).select("split", "label", "m.*")
+    # Scored once; the comparison reads the scores several times.
+    wide = stage(MD.score_wide(fitted, val).select("split", "label", *[F.col(f"`{c}`") for c in fitted]), "validation-model-scores")
+    long = wide.select("split", "label", F.explode(cells).alias("m")).select("split", "label", "m.*")
     name = M.select_model(M.compare(long, models=len(fitted))).first()["model"]
     return name, fitted[name]
 
