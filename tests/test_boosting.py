@@ -94,3 +94,46 @@ def test_nothing_to_split(spark):
     assert start == 0 and all(t.left == [0] and t.value == [0.0] for t in trees)
     with pytest.raises(ValueError, match="No rows"):
         B.HistogramBoosting().fit(df.where("label > 1"))
+
+
+def test_large_and_small_leaves_share_a_pass(monkeypatch, table):
+    """One pass over the blocks settles the leaves that are summed and those whose rows meet in a group."""
+    _, _, _, df = table
+    monkeypatch.setattr(B, "LOCAL_ROWS", 250)
+    passes, kinds, look, run = [], [], B.HistogramBoosting.look, type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: passes.append(1) or run(self, *a, **k))
+
+    def counted(self, blocks, sizes, since, scale, ahead, leaves, nodes):
+        before = len(passes)
+        kinds.append({leaves[n].n > 250 for n in nodes})
+        look(self, blocks, sizes, since, scale, ahead, leaves, nodes)
+        assert len(passes) - before <= 1
+
+    monkeypatch.setattr(B.HistogramBoosting, "look", counted)
+    B.HistogramBoosting(max_iter=2, max_leaves=6, min_rows=20).grow(df)
+    assert {True, False} in kinds
+
+
+def test_few_values_need_no_sketch(monkeypatch, spark):
+    df = spark.range(3000).select(F.array(F.col("id").cast("double"), (F.col("id") % 5).cast("double"), F.lit(1.0)).alias("x"))
+    sketches, sketch = [], F.percentile_approx
+    monkeypatch.setattr(B.F, "percentile_approx", lambda *a: sketches.append(1) or sketch(*a))
+    assert [len(b) > 4 for b in B.bin_bounds(df, 3)] == [True, False, False] and len(sketches) == 1
+
+
+def test_rows_of_wanted_nodes():
+    rng = np.random.default_rng(2)
+    bins = rng.integers(0, 9, (3, 400)).astype(np.uint8)
+    tree = B.Tree()
+    for node, feature, cut in ((0, 0, 4), (1, 1, 2), (2, 2, 6), (4, 0, 1), (6, 1, 20)):
+        tree.divide(node, feature, cut)
+    at = np.zeros(400, int)
+    for i in range(400):
+        while tree.left[at[i]]:
+            at[i] = tree.left[at[i]] + (bins[tree.feature[at[i]], i] > tree.cut[at[i]])
+    leaves = {n for n, child in enumerate(tree.left) if not child}
+    got = {n: rows.tolist() for n, rows in B.parted(bins, tree.inner())}
+    assert got == {n: np.flatnonzero(at == n).tolist() for n in leaves if (at == n).any()}
+    some = np.arange(0, 400, 3)
+    assert {n: rows.tolist() for n, rows in B.parted(bins, tree.inner({3, 8}), {3, 8}, some)} == {n: [i for i in some if at[i] == n] for n in (3, 8)}
+    assert [n for n, _ in B.parted(bins, {}, {0})] == [0]

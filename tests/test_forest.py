@@ -120,3 +120,21 @@ def test_candidates_balance_per_sample(monkeypatch, parts):
     assert seen[0][0] is True and RF.KEY in seen[0][1] and MD.WEIGHT not in seen[0][1]
     scores = MD.score(model, parts["test"], "score").agg(F.min("score"), F.max("score")).first()
     assert 0 <= scores[0] < scores[1] <= 1
+
+
+def test_large_and_small_nodes_share_a_pass(monkeypatch, table):
+    """Sums of large nodes and rows of small ones come from one pass over the blocks."""
+    monkeypatch.setattr(RF, "LOCAL_ROWS", 150)
+    df, passes, shared, sums, run = table[2], [], [], RF.HistogramForest.sums, type(table[2]).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: passes.append(1) or run(self, *a, **k))
+
+    def counted(self, blocks, sizes, trees, features, weights, scale, few, known, together):
+        before = len(passes)
+        out = sums(self, blocks, sizes, trees, features, weights, scale, few, known, together)
+        shared.append(bool(features) and bool(few))
+        assert len(passes) - before == 1 and not set(features) & set(few)
+        return out
+
+    monkeypatch.setattr(RF.HistogramForest, "sums", counted)
+    RF.HistogramForest(trees=6, depth=4).grow(df)
+    assert any(shared)

@@ -5,8 +5,8 @@ draws the same.  ``balanced`` weighs a class by n / (2 * its draws) within each
 the number of features, drawn anew at every node (more only where these allow no split).
 
 All trees grow together, level by level.  Nodes with many rows get sums per (node, feature, bin) from one pass over the blocks, as many nodes at a time as
-``MAX_CELLS`` allows, and of the features that a node draws; the others are summed only for nodes that these do not split.  The rows of a node of at most ``LOCAL_ROWS`` meet in one group, which grows the subtree below it.  Sums are whole numbers, so the
-forest does not depend on partitions.  The fitted model is MLlib's ``RandomForestRegressionModel`` (the mean of the trees' positive shares).
+``MAX_CELLS`` allows, and of the features that a node draws; the others are summed only for nodes that these do not split.  The rows of a node of at most ``LOCAL_ROWS`` meet in one group, which grows the subtree below it.  Sums and such rows travel in the
+same pass, and the group of a node returns its split or its subtree.  Sums are whole numbers, so the forest does not depend on partitions.  The fitted model is MLlib's ``RandomForestRegressionModel`` (the mean of the trees' positive shares).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.operators import kernels as K
-from txnrisk.operators.boosting import FIXED_POINT_BITS, ROUND_CONF, Leaf, Tree, best_split, bin_bounds, histogram, stored_ensemble
+from txnrisk.operators.boosting import FIXED_POINT_BITS, ROUND_CONF, Leaf, Tree, as_batch, best_split, bin_bounds, histogram, packed, parted, stored_ensemble, unpacked
 from txnrisk.session import discard, working_path
 
 MAX_BINS = 255
@@ -48,8 +48,11 @@ def row_key(df: DataFrame) -> Column:
 
 def draws(key: np.ndarray, tree: int, seed: int) -> np.ndarray:
     """How often each row is in a tree's sample."""
-    top = (key.astype(np.uint64) * np.uint64(tree_factor(tree, seed))) >> np.uint64(32)
-    return np.searchsorted(np.array(DRAWS, np.uint64), top, side="right")
+    top = ((key.astype(np.uint64) * np.uint64(tree_factor(tree, seed))) >> np.uint64(32)).astype(np.uint32)
+    times = np.zeros(len(top), np.uint8)
+    for least in DRAWS:  # a few comparisons of short numbers take less time than a search
+        times += top >= np.uint32(least)
+    return times.astype(np.int64)
 
 
 def bootstrap_draws(df: DataFrame, trees: int = 250, seed: int = 42) -> DataFrame:
@@ -114,12 +117,17 @@ def grow_rows(bins: np.ndarray, g: np.ndarray, h: np.ndarray, scale: float, tree
         node, rows, at, leaf = open_nodes.pop()
         if at.bit_length() > forest.depth or leaf.n < 2 * forest.min_rows or not mixed(leaf):
             continue
-        own, own_g, own_h = bins[:, rows], g[rows], h[rows]
-        found = split_of(lambda f: histogram(own[f], own_g, own_h) / units, leaf, tried(feature_order(len(bins), forest.seed, tree, at), forest.few(len(bins))), forest.min_rows)
+        own_g, own_h = g[rows], h[rows]
+
+        def cells(features: np.ndarray) -> np.ndarray:
+            own = np.stack([bins[f][rows] for f in features])
+            return histogram(own, own_g, own_h, int(own.max()) + 1) / units
+
+        found = split_of(cells, leaf, tried(feature_order(len(bins), forest.seed, tree, at), forest.few(len(bins))), forest.min_rows)
         if found is None:
             continue
         _, feature, cut, left, right = found
-        child, low = 2 * len(out) + 1, own[feature] <= cut
+        child, low = 2 * len(out) + 1, bins[feature][rows] <= cut
         out.append((node, feature, cut, *left, *right))
         open_nodes += [(child, rows[low], 2 * at, Leaf(*left)), (child + 1, rows[~low], 2 * at + 1, Leaf(*right))]
     return out
@@ -178,51 +186,46 @@ def sample_task(width: int, trees: int, seed: int):
 SAMPLES_DDL = "tree long, label long, draws long, rows long"
 
 
-def node_rows(batches: Iterator[pa.RecordBatch], width: int, trees: dict[int, Tree], nodes: dict[int, list[int]], seed: int, features: dict[tuple[int, int], np.ndarray] | None = None):
-    """(tree, node, bins, labels, draws) of every node's sampled rows in every block; ``features``: those wanted of a node, if not all."""
-    for bins, label, key in opened(batches, width):
-        for t, wanted in nodes.items():
-            times = draws(key, t, seed)
-            drawn = np.flatnonzero(times)
-            at = trees[t].reached(bins[:, drawn]) if len(trees[t].left) > 1 else np.zeros(len(drawn), np.int64)
-            for n in wanted:
-                rows = drawn[at == n]
-                if len(rows):
-                    own = bins[:, rows] if features is None else np.stack([bins[f][rows] for f in features[t, n]])
-                    yield t, n, own, label[rows], times[rows]
-
-
 def slopes(label: np.ndarray, times: np.ndarray, weights: list[float], scale: float) -> tuple[np.ndarray, np.ndarray]:
     """Fixed-point weight of the positive class, and of both, of every row."""
     h = np.rint(times * np.where(label == 1, weights[1], weights[0]) * scale)
     return np.where(label == 1, h, 0.0), h
 
 
-def histogram_task(width: int, trees: dict[int, Tree], features: dict[tuple[int, int], np.ndarray], weights: dict[int, list[float]], scale: float, seed: int):
-    """Task over blocks: sums per (node in the order of ``features``, feature of its own, bin), only cells that have rows."""
-    nodes: dict[int, list[int]] = {}
-    for t, n in features:
-        nodes.setdefault(t, []).append(n)
-    slots, most = {k: s for s, k in enumerate(features)}, max(map(len, features.values()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(slots), most, 256, 3), np.int64)
-        for t, n, bins, label, times in node_rows(batches, width, trees, nodes, seed, features):
-            total[slots[t, n], :len(bins)] += histogram(bins, *slopes(label, times, weights[t], scale)).astype(np.int64)
-        flat = total.reshape(-1, 3)
-        cell = np.flatnonzero(flat[:, 2])
-        yield pa.RecordBatch.from_arrays([pa.array(cell), *(pa.array(flat[cell, k]) for k in range(3))], names=["cell", "g", "h", "n"])
-    return run
-
+# Of some rows of a node: bins, labels and draws; or, without bins, sums per cell.
+PARTS_DDL = "tree long, node long, bins binary, label binary, times binary, g binary, h binary, n binary"
+PARTS = pa.schema([("tree", pa.int64()), ("node", pa.int64()), *((c, pa.binary()) for c in ("bins", "label", "times", "g", "h", "n"))])
 
-GATHERED = pa.schema([("tree", pa.int64()), ("node", pa.int64()), *((c, pa.binary()) for c in ("bins", "label", "times"))])
 
+def pass_task(
+    width: int, sizes: list[int], trees: dict[int, Tree], features: dict[tuple[int, int], np.ndarray], few: list[tuple[int, int]], weights: dict[int, list[float]], scale: float, seed: int,
+):
+    """Task over blocks: sums of the nodes in ``features`` by features of their own, the sampled rows of the nodes in ``few``."""
+    nodes: dict[int, set[int]] = {}
+    for t, n in (*features, *few):
+        nodes.setdefault(t, set()).add(n)
+    inner = {t: trees[t].inner(wanted) for t, wanted in nodes.items()}
+    few_at, own_weights = set(few), {t: weights[t] for t in nodes}
 
-def gather_task(width: int, trees: dict[int, Tree], nodes: dict[int, list[int]], seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, n, bins, label, times in node_rows(batches, width, trees, nodes, seed):
-            cells = (t, n, bins.tobytes(), label.tobytes(), times.astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cells, GATHERED)], schema=GATHERED)
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for bins, label, key in opened(batches, width):
+            for t, wanted in nodes.items():
+                times, out = draws(key, t, seed), []
+                for n, rows in parted(bins, inner[t], wanted, np.flatnonzero(times)):
+                    if not len(rows):
+                        continue
+                    if (t, n) in few_at:
+                        out.append((t, n, bins[:, rows].tobytes(), label[rows].tobytes(), times[rows].astype(np.uint8).tobytes(), None, None, None))
+                        continue
+                    own = features[t, n]
+                    sums = packed((bins[f][rows] for f in own), (sizes[f] for f in own), *slopes(label[rows], times[rows], own_weights[t], scale))
+                    total[t, n] = total[t, n] + sums if (t, n) in total else sums
+                if out:
+                    yield as_batch(out, PARTS)
+        done = [(*k, None, None, None, *(x.tobytes() for x in sums)) for k, sums in total.items()]
+        for a in range(0, len(done), 64):
+            yield as_batch(done[a:a + 64], PARTS)
     return run
 
 
@@ -230,16 +233,31 @@ SPLITS = pa.schema([(c, pa.float64() if c in ("lg", "lh", "rg", "rh") else pa.in
 SPLITS_DDL = ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'double'}" for f in SPLITS)
 
 
-def grow_task(width: int, places: dict[tuple[int, int], int], weights: dict[int, list[float]], scale: float, forest: HistogramForest):
-    """Task over the gathered rows of one node: its subtree."""
-    def run(t: pa.Table) -> pa.Table:
-        parts = t.to_pylist()
-        tree, node = parts[0]["tree"], parts[0]["node"]
-        label, times = (np.frombuffer(b"".join(p[c] for p in parts), np.uint8) for c in ("label", "times"))
-        bins = np.concatenate([np.frombuffer(p["bins"], np.uint8).reshape(width, -1) for p in parts], axis=1)
-        splits = grow_rows(bins, *slopes(label, times, weights[tree], scale), scale, tree, places[tree, node], forest)
-        rows = [(tree, node, *s) for s in splits]
-        return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(SPLITS)], schema=SPLITS)
+def settle_task(
+    width: int, sizes: list[int], features: dict[tuple[int, int], np.ndarray], sums_of: dict[tuple[int, int], tuple], together: int, places: dict[tuple[int, int], int],
+    weights: dict[int, list[float]], scale: float, forest: HistogramForest,
+):
+    """Task over what was sent of one node: its best split from sums (the first ``together`` features first, then one by one), its subtree from rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, total, at = [], None, None
+        for b in batches:
+            for part in b.to_pylist():
+                at = part["tree"], part["node"]
+                if part["bins"] is not None:
+                    rows.append(part)
+                else:
+                    sums = np.stack([np.frombuffer(part[c], np.int64) for c in "ghn"])
+                    total = sums if total is None else total + sums
+        if rows:
+            label, times = (np.frombuffer(b"".join(p[c] for p in rows), np.uint8) for c in ("label", "times"))
+            bins = np.concatenate([np.frombuffer(p["bins"], np.uint8).reshape(width, -1) for p in rows], axis=1)
+            splits = [(*at, *s) for s in grow_rows(bins, *slopes(label, times, weights[at[0]], scale), scale, at[0], places[at], forest)]
+        else:
+            own = features[at]
+            cells = unpacked(total, [sizes[f] for f in own]) / np.array([scale, scale, 1.0])
+            found = split_of(lambda f: cells[f], Leaf(*sums_of[at]), [g for g in tried(np.arange(len(own)), together) if len(g)], forest.min_rows)
+            splits = [(*at, 0, int(own[found[1]]), found[2], *found[3], *found[4])] if found else []
+        yield as_batch(splits, SPLITS)
     return run
 
 
@@ -288,7 +306,7 @@ class HistogramForest:
             rounds.conf.set(key, value)  # subtrees are worth as many reducers as the caller's own shuffles
         path = working_path(spark, "forest-blocks")
         rows.mapInArrow(block_task(bounds), BLOCKS_DDL).write.parquet(path)
-        trees = self.grown(rounds.read.schema(BLOCKS_DDL).parquet(path), width, one["n"])
+        trees = self.grown(rounds.read.schema(BLOCKS_DDL).parquet(path), [len(b) + 1 for b in bounds], one["n"])
         discard(spark, path)
         return bounds, trees
 
@@ -304,17 +322,18 @@ class HistogramForest:
             roots[t] = Leaf(g, h, drawn[t, 0][1] + drawn[t, 1][1])
         return weights, roots
 
-    def sums(self, blocks: DataFrame, width: int, trees: dict[int, Tree], features: dict[tuple[int, int], np.ndarray], weights: dict[int, list[float]], scale: float) -> np.ndarray:
-        """Sums (node, feature of its own, bin, [g, h, n]) from one pass over the blocks."""
-        task = histogram_task(width, {t: trees[t] for t, _ in features}, features, weights, scale, self.seed)
-        found = blocks.mapInArrow(task, "cell long, g long, h long, n long").groupBy("cell").agg(*[F.sum(c).alias(c) for c in "ghn"]).toArrow()  # at most MAX_CELLS
-        most = max(map(len, features.values()))
-        cells = np.zeros((len(features) * most * 256, 3))
-        for j, c in enumerate("ghn"):
-            cells[found["cell"].to_numpy(), j] = found[c].to_numpy() / (1.0 if c == "n" else scale)
-        return cells.reshape(len(features), most, 256, 3)
-
-    def grown(self, blocks: DataFrame, width: int, rows: int) -> list[Tree]:
+    def sums(
+        self, blocks: DataFrame, sizes: list[int], trees: dict[int, Tree], features: dict[tuple[int, int], np.ndarray], weights: dict[int, list[float]], scale: float,
+        few: list[tuple[int, int]], known: dict[tuple[int, int], tuple[Leaf, int]], together: int,
+    ) -> pa.Table:
+        """Splits from one pass over the blocks: of the nodes in ``features`` from sums, of all below those in ``few`` from their rows."""
+        sums_of = {k: (known[k][0].g, known[k][0].h, known[k][0].n) for k in features}
+        parts = blocks.mapInArrow(pass_task(len(sizes), sizes, trees, features, few, weights, scale, self.seed), PARTS_DDL)
+        task = settle_task(len(sizes), sizes, features, sums_of, together, {k: known[k][1] for k in few}, weights, scale, self)
+        return parts.groupBy("tree", "node").applyInArrow(task, SPLITS_DDL).toArrow()  # at most trees x 2**depth
+
+    def grown(self, blocks: DataFrame, sizes: list[int], rows: int) -> list[Tree]:
+        width = len(sizes)
         weights, leaves = self.samples(blocks, width)
         most = max(max(w) for w in weights.values())
         scale = 2.0 ** min(FIXED_POINT_BITS, 61 - math.ceil(math.log2(max(1.0, 12 * rows * most))))
@@ -341,31 +360,23 @@ class HistogramForest:
             splits, enough = [], self.few(width)
             for lo, hi in ((0, enough), (enough, width)):  # nodes that their first features do not split try the others
                 at_once, waiting, many = max(1, MAX_CELLS // (max(1, hi - lo) * 256)), many if hi > lo else [], []
-                for a in range(0, len(waiting), at_once):
+                for a in range(0, max(len(waiting), bool(few)), at_once):
                     features = {k: feature_order(width, self.seed, k[0], known[k][1])[lo:hi] for k in waiting[a:a + at_once]}
-                    for k, cells in zip(features, self.sums(blocks, width, trees, features, weights, scale)):
-                        groups = tried(np.arange(hi - lo), 0 if lo else enough)
-                        found = split_of(lambda f, cells=cells: cells[f], known[k][0], [g for g in groups if len(g)], self.min_rows)
-                        if found:
-                            gain, feature, *rest = found
-                            splits.append((*k, int(features[k][feature]), *rest))
-                        elif not lo:
-                            many.append(k)
-            if few:
-                nodes: dict[int, list[int]] = {}
-                for t, n in few:
-                    nodes.setdefault(t, []).append(n)
-                places = {k: known[k][1] for k in few}
-                gathered = blocks.mapInArrow(gather_task(width, {t: trees[t] for t in nodes}, nodes, self.seed), "tree long, node long, bins binary, label binary, times binary")
-                grown = gathered.groupBy("tree", "node").applyInArrow(grow_task(width, places, weights, scale, self), SPLITS_DDL).toArrow()  # at most trees x 2**depth
-                subtree, names, count = None, {}, 0
-                for batch in grown.to_batches(max_chunksize=4096):  # a node's rows follow each other
-                    for t, root, node, feature, cut, lg, lh, ln, rg, rh, rn in zip(*(batch[c].to_pylist() for c in SPLITS.names)):
-                        if subtree != (t, root):
-                            subtree, names, count = (t, root), {0: root}, 0
-                        children = divide(t, names[node], feature, cut, (lg, lh, ln), (rg, rh, rn))
-                        names.update({2 * count + 1: children[0], 2 * count + 2: children[1]})
-                        count += 1
+                    grown = self.sums(blocks, sizes, trees, features, weights, scale, few, known, 0 if lo else enough)
+                    few, subtree, names, count, settled = [], None, {}, 0, set()  # rows travel in the first pass
+                    for batch in grown.to_batches(max_chunksize=4096):  # a node's rows follow each other
+                        for t, root, node, feature, cut, lg, lh, ln, rg, rh, rn in zip(*(batch[c].to_pylist() for c in SPLITS.names)):
+                            if (t, root) in features:
+                                splits.append((t, root, feature, cut, (lg, lh, ln), (rg, rh, rn)))
+                                settled.add((t, root))
+                                continue
+                            if subtree != (t, root):
+                                subtree, names, count = (t, root), {0: root}, 0
+                            children = divide(t, names[node], feature, cut, (lg, lh, ln), (rg, rh, rn))
+                            names.update({2 * count + 1: children[0], 2 * count + 2: children[1]})
+                            count += 1
+                    if not lo:
+                        many += [k for k in features if k not in settled]
             places = {(t, n): known[t, n][1] for t, n, *_ in splits}
             known = {}
             for t, n, feature, cut, left, right in splits:

@@ -70,9 +70,11 @@ def fit_all(train: DataFrame, names: list[str] | None = None, parallel: int = 4)
     def fit(c: MD.Candidate):
         return MD.fit_on(tables[c.scale], rows, ready[c.scale], c.family, weight if c.balanced else None)
 
+    # Ensembles take longest and start first; the models come in the order of the candidates.
+    longest = sorted(chosen, key=lambda name: [MD.boosting, MD.forest].index(chosen[name].family) if chosen[name].family in (MD.boosting, MD.forest) else 2)
     with ThreadPoolExecutor(parallel) as pool:
-        jobs = {name: pool.submit(inheritable_thread_target(train.sparkSession)(fit), c) for name, c in chosen.items()}
-        return {name: job.result() for name, job in jobs.items()}
+        jobs = {name: pool.submit(inheritable_thread_target(train.sparkSession)(fit), chosen[name]) for name in longest}
+        return {name: jobs[name].result() for name in chosen}
 
 
 def run(
