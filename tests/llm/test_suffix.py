@@ -1,5 +1,6 @@
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -127,3 +128,44 @@ def test_divided_groups_find_the_same_repeats(monkeypatch, chunk, depth):
         found.setdefault(r, []).append(s)
     gone = {d: sum(e - s for s, e in zip(*(x.tolist() for x in S.unpack_spans(found.get(d))))) for d, _ in docs}
     assert [(d, gone[d]) for d, _ in docs] == sorted((d, n) for d, _, n, _, _ in plain(docs, 60))
+
+
+def held_bytes(n):
+    return [S.Piece(0, 0, 0, n, np.random.default_rng(n).integers(0, 4, n, np.uint8).tobytes())]
+
+
+@pytest.mark.parametrize("n", [60, 64, 1_000])
+@pytest.mark.parametrize("gram", [8, 16, 32])
+def test_hashes_and_anchors_do_not_depend_on_blocks(monkeypatch, n, gram):
+    held, hot = held_bytes(n), np.random.default_rng(1).random(2**S.SLOT_BITS) < 0.5
+    whole = suffix.grams_of(held, gram)[1]
+    places = S.anchors(whole, hot, 60 - gram + 1)
+    keys = S.order_keys(whole, hot)
+    assert places.tolist() == [i + int(np.argmin(keys[i:i + 60 - gram + 1])) for i in range(n - 59)]
+    words = [int.from_bytes(held[0].data[i:i + 8], "little") for i in range(n - 7)]
+    for i in (0, n // 2, n - gram):
+        if i + gram <= n:
+            hashed = np.array(words[i:i + 1], np.uint64)
+            for k in range(8, gram, 8):
+                hashed = S.join_hashes(hashed, np.array(words[i + k:i + k + 1], np.uint64))
+            assert whole[i] == S.mix(hashed)[0]
+    for block in (1, 7, 64):
+        monkeypatch.setattr(suffix, "HASH_BLOCK", block)
+        monkeypatch.setattr(S, "MIN_BLOCK", block)
+        assert (suffix.grams_of(held, gram)[1] == whole).all()
+        assert (S.anchors(whole, hot, 60 - gram + 1) == places).all()
+
+
+def test_a_chunk_is_hashed_in_small_blocks():
+    """Arrays as long as the chunk for every step of the hash are what made the passes over the texts slow."""
+    held, hot, valid = held_bytes(1 << 20), np.zeros(2**S.SLOT_BITS, bool), np.zeros(1 << 20, bool)
+    suffix.grams_of(held, 32)
+    tracemalloc.start()
+    grams = suffix.grams_of(held, 32)[1]
+    hashing = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    S.runs(grams, hot, 369, valid)
+    seeking = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert hashing < 16 * len(grams) and seeking < 16 * len(grams)
