@@ -5,6 +5,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from txnrisk.operators import boosting as B
+from txnrisk.operators import lines as L
 
 
 def plain(x, y, w, rounds, step, max_leaves, min_rows, l2):
@@ -137,3 +138,61 @@ def test_rows_of_wanted_nodes():
     some = np.arange(0, 400, 3)
     assert {n: rows.tolist() for n, rows in B.parted(bins, tree.inner({3, 8}), {3, 8}, some)} == {n: [i for i in some if at[i] == n] for n in (3, 8)}
     assert [n for n, _ in B.parted(bins, {}, {0})] == [0]
+
+
+def test_lines_lose_nothing():
+    """One-hot columns share a bundle, small bundles a line, and sums and splits by codes are those by bins."""
+    rng = np.random.default_rng(6)
+    n = 3000
+    kind, other = rng.integers(0, 6, n), rng.integers(0, 4, n)
+    bins = np.stack([rng.integers(0, 200, n), *[kind == k for k in range(5)], rng.integers(0, 7, n), np.zeros(n, int), *[other == k for k in range(3)], rng.integers(0, 2, n)]).astype(np.uint8)
+    sizes = [200, 2, 2, 2, 2, 2, 7, 1, 2, 2, 2, 2]
+    met = bins.astype(int) @ bins.T > 0
+    plan = L.planned(sizes, met)
+    assert sorted(len(b) for line in plan.held for b in line) == [1, 1, 1, 3, 5] and plan.codes == [200, 7 * 6 * 4 * 2]
+    codes = plan.pack(bins)
+    again = plan.split(b"".join(c.tobytes() for c in codes), n)
+    assert all((a == b).all() for a, b in zip(codes, again))
+    g, h = np.rint(rng.normal(size=n) * 1000), np.rint(rng.random(n) * 1000)
+    rows = np.arange(0, n, 3, dtype=np.int32)
+    got = plan.cells(L.line_sums(plan, codes, g, h, rows), np.array([g[rows].sum(), h[rows].sum(), len(rows)]).astype(int))
+    assert (got == B.histogram(bins[:, rows], g[rows], h[rows], 200)).all()
+    for f in (0, 3, 6, 9, 11):
+        line, low = plan.low(f, int(bins[f].max()) // 2)
+        left, right = L.parted_rows(codes[line], low, rows)
+        assert left.tolist() == [i for i in rows if bins[f, i] <= bins[f].max() // 2] and len(left) + len(right) == len(rows)
+
+
+def test_one_task_boosts_a_table(monkeypatch, table):
+    """A table that one task can hold takes no rounds, and gives the trees of rounds."""
+    _, _, _, df = table
+    looks, look = [], B.HistogramBoosting.look
+    monkeypatch.setattr(B.HistogramBoosting, "look", lambda self, *a: looks.append(1) or look(self, *a))
+    grow = lambda: [(t.feature, t.cut, t.left, t.value) for t in B.HistogramBoosting(max_iter=7, max_leaves=8, min_rows=20, weight="w").grow(df)[2]]
+    alone = grow()
+    assert not looks and len(alone) == 7
+    monkeypatch.setattr(B, "LOCAL_ROWS", 90)
+    assert grow() == alone and looks
+
+
+@pytest.mark.parametrize("most", [62, 3])
+def test_route(monkeypatch, most):
+    """Tables over codes lead rows to the leaves that comparisons lead them to."""
+    monkeypatch.setattr(B, "MOST_LEAVES", most)
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 9, (3, 500)).astype(np.uint8)
+    plan, tree = L.planned([9, 9, 9], np.zeros((3, 3), bool)), B.Tree()
+    for node, feature, cut in ((0, 0, 4), (1, 1, 2), (2, 2, 6), (4, 0, 1), (6, 1, 5)):
+        tree.divide(node, feature, cut)
+    route = B.Route(plan, tree.inner())
+    at = route([c.astype(np.intp) for c in plan.pack(bins)], 500)
+    got = {n: np.flatnonzero(at == i).tolist() for i, n in enumerate(route.leaves)}
+    assert {n: r for n, r in got.items() if r} == {n: sorted(r.tolist()) for n, r in B.parted(bins, tree.inner())}
+
+
+def test_known_bounds_are_used(monkeypatch, table):
+    """Estimators that share a table need not find the same bins again."""
+    _, _, _, df = table
+    bounds = B.HistogramBoosting(max_iter=1).grow(df)[0]
+    monkeypatch.setattr(B, "bin_bounds", lambda *a: 1 / 0)
+    assert B.HistogramBoosting(max_iter=1, bounds=bounds).copy().grow(df)[0] is bounds
