@@ -138,3 +138,46 @@ def test_large_and_small_nodes_share_a_pass(monkeypatch, table):
     monkeypatch.setattr(RF.HistogramForest, "sums", counted)
     RF.HistogramForest(trees=6, depth=4).grow(df)
     assert any(shared)
+
+
+def test_one_task_grows_a_tree(monkeypatch, table):
+    """Samples that a task can hold are grown without rounds, and as rounds grow them."""
+    _, _, df = table
+    rounds, sums = [], RF.HistogramForest.sums
+    monkeypatch.setattr(RF.HistogramForest, "sums", lambda self, *a: rounds.append(1) or sums(self, *a))
+
+    def nodes(balanced):
+        _, trees = RF.HistogramForest(trees=5, depth=6, balanced=balanced).grow(df)
+
+        def walk(t, n):
+            return (t.feature[n], t.cut[n], walk(t, t.left[n]), walk(t, t.left[n] + 1)) if t.left[n] else round(t.value[n], 7)
+        return [walk(t, 0) for t in trees]
+
+    alone = [nodes(b) for b in (False, True)]
+    assert not rounds
+    monkeypatch.setattr(RF, "LOCAL_ROWS", 70)
+    assert [nodes(b) for b in (False, True)] == alone and rounds
+
+
+def test_drawn_sums_stay_apart():
+    """Every row drawn most often, in chunks that are full."""
+    n = 3 * RF.CHUNK + 5
+    label = (np.arange(n) % 2).astype(np.uint8)
+    code = (np.arange(n) // 2 % 3).astype(np.uint8)
+    for weights in ([2.0, 5.0], [0.7, 3.3]):  # multiples of one draw's weight, and others
+        unit = RF.weights_of(weights, 1024.0)
+        (got,) = RF.drawn_sums([code], [3], np.uint8(12) + 16 * label, np.arange(n, dtype=np.int32), unit)
+        counts = [[int(((code == c) & (label == y)).sum()) for c in range(3)] for y in (0, 1)]
+        assert got.tolist() == [[b * unit[28] for b in counts[1]], [a * unit[12] + b * unit[28] for a, b in zip(*counts)], [a + b for a, b in zip(*counts)]]
+    (one,) = RF.drawn_sums([np.zeros(n, np.uint8)], [1], np.full(n, 28, np.uint8), np.arange(n, dtype=np.int32), RF.weights_of([1.0, 1.0], 2.0))
+    assert one.tolist() == [[24 * n], [24 * n], [n]]
+
+
+def test_scores_equal_the_stored_model(table):
+    """Trees passed by whole batches give MLlib's own predictions."""
+    _, _, df = table
+    model = RF.HistogramForest(trees=7, depth=6).fit(df)
+    rows = df.select("txn_id", "features").unionByName(df.limit(3).select((-F.col("txn_id") - 1).alias("txn_id"), F.expr("features")))
+    mine = {r[0]: r[1] for r in rows.select("txn_id", RF.scored(rows, model.tables)).collect()}
+    assert mine == {r[0]: r[1] for r in model.transform(rows).select("txn_id", "prediction").collect()}
+    assert RF.mean_of_trees(np.array([[np.nan]]), [(np.array([0, 0, 0]), np.array([1.0, np.inf, np.inf]), np.array([1, 1, 2]), np.array([0.0, 2.0, 3.0]), 1)]).tolist() == [3.0]

@@ -4,32 +4,42 @@ A sample is a number of draws per row, Poisson with mean one, read off a hash of
 draws the same.  ``balanced`` weighs a class by n / (2 * its draws) within each sample.  Trees minimise the weighted Gini impurity over the root of
 the number of features, drawn anew at every node (more only where these allow no split).
 
-All trees grow together, level by level.  Nodes with many rows get sums per (node, feature, bin) from one pass over the blocks, as many nodes at a time as
-``MAX_CELLS`` allows, and of the features that a node draws; the others are summed only for nodes that these do not split.  The rows of a node of at most ``LOCAL_ROWS`` meet in one group, which grows the subtree below it.  Sums and such rows travel in the
+A sample of at most ``LOCAL_ROWS`` rows is held by one task, in a few bytes a row (``lines``), which grows its tree.  Every such task reads the stored table and
+draws for itself, so nothing is shuffled.  Trees of larger samples grow together, level by level.  Nodes with many rows get sums per (node, feature, bin) from one pass over the blocks, as many nodes at a time as
+``MAX_CELLS`` allows, and of the features that a node draws; the others are summed only for nodes that these do not split.  The rows of a node of at most ``GROUP_ROWS`` meet in one group, which grows the subtree below it.  Sums and such rows travel in the
 same pass, and the group of a node returns its split or its subtree.  Sums are whole numbers, so the forest does not depend on partitions.  The fitted model is MLlib's ``RandomForestRegressionModel`` (the mean of the trees' positive shares).
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.operators import kernels as K
-from txnrisk.operators.boosting import FIXED_POINT_BITS, ROUND_CONF, Leaf, Tree, as_batch, best_split, bin_bounds, histogram, packed, parted, stored_ensemble, unpacked
+from txnrisk.operators.boosting import (
+    FIXED_POINT_BITS, LEAST_HESSIAN, ROUND_CONF, Leaf, Tree, as_batch, best_split, bin_bounds, histogram, packed, parted, stored_ensemble, unpacked,
+)
+from txnrisk.operators.lines import Lines, line_task, parted_rows, plan_of
 from txnrisk.session import discard, working_path
 
 MAX_BINS = 255
 BLOCK_ROWS = 1 << 16
-LOCAL_ROWS = 1 << 16     # of a node whose subtree is grown by one task
+LOCAL_ROWS = 1 << 25     # of a sample whose tree is grown by one task: some 15 bytes each
+GROUP_ROWS = 1 << 16     # of a node whose subtree is grown by one group
+TASK_BYTES = 1 << 27     # of samples held by one task, if it has several
+TASKS = 32               # that share the trees, at least
 MAX_CELLS = 1 << 22      # sums a task holds in one pass
 KEY = "row_key"
 # A row is drawn k times where the top 32 bits of its hash lie between these numbers k - 1 and k: 2**32 * P(draws <= k).
@@ -133,6 +143,89 @@ def grow_rows(bins: np.ndarray, g: np.ndarray, h: np.ndarray, scale: float, tree
     return out
 
 
+# Of a drawn row, by draws + 16 * label: one, the draws of a negative and the draws of a positive as parts of one whole number, whose sums over CHUNK rows stay apart.
+CHUNK = 1 << 14
+PARTS_OF = np.array([1 + t * (1 << 33 if y else 1 << 15) for y in (0, 1) for t in range(16)], float)
+
+
+def weights_of(weights: list[float], scale: float) -> np.ndarray:
+    """Fixed-point weight of a row by draws + 16 * label."""
+    return np.concatenate([np.rint(np.arange(16) * w * scale) for w in weights])
+
+
+def drawn_sums(codes: list[np.ndarray], sizes: list[int], drawn: np.ndarray, rows: np.ndarray, unit: np.ndarray) -> list[np.ndarray]:
+    """Sums ([weight of positives, weight, rows], code) of some rows by columns of codes; ``unit``: weight by ``drawn``."""
+    out = [np.zeros((3, n), np.int64) for n in sizes]
+    # Draws are counted, not weights, where a weight is a number of draws times that of one.
+    counted = all((unit[k:k + 16] == np.arange(16) * unit[k + 1]).all() for k in (0, 16))
+    positive = np.where(np.arange(32) < 16, 0.0, unit)
+    for a in range(0, len(rows), CHUNK):
+        own = rows[a:a + CHUNK].astype(np.intp)
+        kinds = drawn.take(own).astype(np.intp)
+        parts = [PARTS_OF.take(kinds)] if counted else [positive.take(kinds), unit.take(kinds), None]
+        for sums, column, n in zip(out, codes, sizes):
+            code = column.take(own).astype(np.intp)
+            found = [np.bincount(code, x, n).astype(np.int64) for x in parts]
+            if counted:
+                found = [found[0] >> 33, found[0] >> 15 & 0x3FFFF, found[0] & 0x7FFF]
+            for s, x in zip(sums, found):
+                s += x
+    if counted:
+        for sums in out:
+            sums[0] *= int(unit[17])
+            sums[1] = sums[0] + sums[1] * int(unit[1])
+    return out
+
+
+def best_cut(below: np.ndarray, leaf: Leaf, min_rows: int, scale: float) -> tuple | None:
+    """The first of the cuts with the largest gain, from sums below each: as ``best_split`` without a penalty."""
+    g, h, n = below[0] / scale, below[1] / scale, below[2]
+    rg, rh, rn = leaf.g - g, leaf.h - h, leaf.n - n
+    allowed = (n >= min_rows) & (rn >= min_rows) & (h >= LEAST_HESSIAN) & (rh >= LEAST_HESSIAN)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(allowed, g * g / h + rg * rg / rh - leaf.g**2 / leaf.h, -np.inf)
+    at = int(np.argmax(gain))
+    if not gain[at] > 0:
+        return None
+    return at, (float(g[at]), float(h[at]), int(n[at])), (float(rg[at]), float(rh[at]), int(rn[at]))
+
+
+def grow_sample(plan: Lines, codes: list[np.ndarray], drawn: np.ndarray, root: Leaf, unit: np.ndarray, scale: float, tree: int, forest: HistogramForest) -> Tree:
+    """The tree of one sample; ``drawn``: draws + 16 * label of every row."""
+    width, out = len(plan.sizes), Tree(value=[root.g / root.h if root.h else 0.0])
+    open_nodes = [(0, np.arange(len(drawn), dtype=np.int32), 1, root)]
+    while open_nodes:
+        node, rows, at, leaf = open_nodes.pop()
+        if at.bit_length() > forest.depth or leaf.n < 2 * forest.min_rows or not mixed(leaf):
+            continue
+        for group in tried(feature_order(width, forest.seed, tree, at), forest.few(width)):
+            own = [f for f in group.tolist() if f in plan.place]
+            lines = sorted({plan.place[f][0] for f in own})
+            sums = dict(zip(lines, drawn_sums([codes[i] for i in lines], [plan.codes[i] for i in lines], drawn, rows, unit)))
+            bundles = {b: plan.bundle_sums(*b, sums[b[0]]) for b in {plan.place[f][:2] for f in own}}
+            below = []
+            for f in own:
+                line, k, j = plan.place[f]
+                values = bundles[line, k]
+                below.append(values.cumsum(axis=1)[:, :-1] if len(plan.held[line][k]) == 1 else values.sum(axis=1, keepdims=True) - values[:, j + 1:j + 2])
+            found = best_cut(np.concatenate(below, axis=1), leaf, forest.min_rows, scale) if own else None
+            if found:
+                break
+        else:
+            continue
+        cut, left, right = found
+        for f, cuts in zip(own, below):
+            if cut < cuts.shape[1]:
+                break
+            cut -= cuts.shape[1]
+        children = out.divide(node, f, cut)
+        line, low = plan.low(f, cut)
+        for child, part, place, (g, h, n) in zip(children, parted_rows(codes[line], low, rows), (2 * at, 2 * at + 1), (left, right)):
+            out.value[child] = g / h if h else 0.0
+            open_nodes.append((child, part, place, Leaf(g, h, n)))
+    return out
+
+
 # --------------------------------------------------------------------------- blocks
 
 BLOCKS_DDL = "rows long, bins binary, label binary, key binary"
@@ -174,10 +267,8 @@ def sample_task(width: int, trees: int, seed: int):
         total = np.zeros((trees, 2, 2), np.int64)
         for _, label, key in opened(batches, width):
             for t in range(trees):
-                times = draws(key, t, seed)
-                for c in (0, 1):
-                    mine = times[label == c]
-                    total[t, c] += (mine.sum(), (mine > 0).sum())
+                found = np.bincount(draws(key, t, seed) + 16 * label, minlength=32).reshape(2, 16)
+                total[t] += np.stack([found @ np.arange(16), found[:, 1:].sum(axis=1)], axis=1)
         t, c = (x.ravel() for x in np.indices((trees, 2)))
         yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(c), *(pa.array(total[..., k].ravel()) for k in (0, 1))], names=["tree", "label", "draws", "rows"])
     return run
@@ -192,6 +283,34 @@ def slopes(label: np.ndarray, times: np.ndarray, weights: list[float], scale: fl
     return np.where(label == 1, h, 0.0), h
 
 
+TREES = pa.schema([("tree", pa.int64()), *((c, pa.binary()) for c in ("feature", "cut", "left", "value"))])
+TREES_DDL = "tree long, feature binary, cut binary, left binary, value binary"
+
+
+def trees_task(plan: Lines, groups: list[list[int]], roots: dict[int, tuple], weights: dict[int, list[float]], scale: float, forest: HistogramForest):
+    """Task over all blocks of codes: the trees of the group with the number of its partition."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = groups[TaskContext.get().partitionId()]
+        held: dict[int, list[list[np.ndarray]]] = {t: [[] for _ in (*plan.held, "drawn")] for t in own}
+        for b in batches:
+            for cells in b.to_pylist():
+                columns = plan.split(cells["bins"], cells["rows"])
+                label, key = np.frombuffer(cells["label"], np.uint8), np.frombuffer(cells["key"], "<i8")
+                for t in own:
+                    times = draws(key, t, forest.seed).astype(np.uint8)
+                    rows = np.flatnonzero(times)
+                    for part, c in zip(held[t], (*columns, times + 16 * label)):
+                        part.append(c.take(rows))
+        for t in own:
+            columns = held.pop(t)
+            for k, part in enumerate(columns):
+                columns[k] = np.concatenate(part)
+            tree = grow_sample(plan, columns[:-1], columns[-1], Leaf(*roots[t]), weights_of(weights[t], scale), scale, t, forest)
+            cells = [np.array(x, kind).tobytes() for x, kind in ((tree.feature, np.int64), (tree.cut, np.int64), (tree.left, np.int64), (tree.value, float))]
+            yield as_batch([(t, *cells)], TREES)
+    return run
+
+
 # Of some rows of a node: bins, labels and draws; or, without bins, sums per cell.
 PARTS_DDL = "tree long, node long, bins binary, label binary, times binary, g binary, h binary, n binary"
 PARTS = pa.schema([("tree", pa.int64()), ("node", pa.int64()), *((c, pa.binary()) for c in ("bins", "label", "times", "g", "h", "n"))])
@@ -261,6 +380,52 @@ def settle_task(
     return run
 
 
+# --------------------------------------------------------------------------- scoring
+
+def node_tables(trees: list[Tree], bounds: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Per tree: feature, threshold, left child (the right one follows; a leaf's is itself) and value by node, and its depth."""
+    out = []
+    for t in trees:
+        left = np.array(t.left)
+        inner, depth, level = left > 0, 0, np.zeros(1, int)
+        while len(level := left[level[inner[level]]]):
+            level, depth = np.concatenate([level, level + 1]), depth + 1
+        limits = np.array([float(bounds[f][c]) if i else np.inf for f, c, i in zip(t.feature, t.cut, inner)])
+        out.append((np.where(inner, t.feature, 0).astype(np.int16 if len(bounds) < 1 << 15 else np.int32), limits, np.where(inner, left, np.arange(len(left))).astype(np.int32), np.array(t.value, float), depth))
+    return out
+
+
+SCORED_ROWS = 1 << 11    # whose features a core's cache holds
+
+
+def mean_of_trees(x: np.ndarray, tables: list[tuple]) -> np.ndarray:
+    """The mean of the trees' values for the rows of a matrix, tree by tree: the same sums in the same order as MLlib's model."""
+    out = np.zeros(len(x))
+    wide = [(f.astype(np.intp), limit, left.astype(np.intp), value, depth) for f, limit, left, value, depth in tables]
+    for a in range(0, len(x), SCORED_ROWS):
+        part = np.ascontiguousarray(x[a:a + SCORED_ROWS].T)
+        part[np.isnan(part)] = np.inf  # goes right
+        flat, n = part.ravel(), part.shape[1]
+        own = np.arange(n)
+        for feature, limit, left, value, depth in wide:
+            node = np.zeros(n, np.intp)
+            for _ in range(depth):
+                node = left.take(node) + (flat.take(feature.take(node) * n + own) > limit.take(node))
+            out[a:a + n] += value.take(node)
+    return out / len(tables)
+
+
+def scored(df: DataFrame, tables: list[tuple], features: str = "features") -> Column:
+    """Score by ``tables`` of a vector column."""
+    shared = df.sparkSession.sparkContext.broadcast(tables)
+
+    @F.pandas_udf("double")
+    def mean(x: pd.Series) -> pd.Series:
+        return pd.Series(mean_of_trees(np.vstack(x.to_numpy()), shared.value) if len(x) else [], dtype=float)
+
+    return mean(vector_to_array(features))
+
+
 # --------------------------------------------------------------------------- fitting
 
 @dataclass
@@ -274,6 +439,7 @@ class HistogramForest:
     seed: int = 42
     features: str = "features"
     label: str = "label"
+    bounds: list[np.ndarray] | None = None  # of bins, if known
 
     def copy(self) -> HistogramForest:
         return HistogramForest(**vars(self))
@@ -291,7 +457,9 @@ class HistogramForest:
 
     def fit(self, df: DataFrame) -> RandomForestRegressionModel:
         bounds, trees = self.grow(df)
-        return stored_ensemble(df.sparkSession, "forest", trees, bounds)
+        model = stored_ensemble(df.sparkSession, "forest", trees, bounds)
+        model.tables = node_tables(trees, bounds)  # for scoring here; a model that was loaded scores by itself
+        return model
 
     def grow(self, df: DataFrame) -> tuple[list[np.ndarray], list[Tree]]:
         keyed = df if KEY in df.columns else df.withColumn(KEY, row_key(df))
@@ -300,9 +468,9 @@ class HistogramForest:
         if not one["n"]:
             raise ValueError("No rows to learn from.")
         width = one["width"]
-        bounds = bin_bounds(rows, width, MAX_BINS)
+        bounds = bin_bounds(rows, width, MAX_BINS) if self.bounds is None else self.bounds
         spark, rounds = df.sparkSession, df.sparkSession.newSession()
-        for key, value in {**ROUND_CONF, "spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions")}.items():
+        for key, value in {**ROUND_CONF, "spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"), "spark.sql.unionOutputPartitioning": "false"}.items():
             rounds.conf.set(key, value)  # subtrees are worth as many reducers as the caller's own shuffles
         path = working_path(spark, "forest-blocks")
         rows.mapInArrow(block_task(bounds), BLOCKS_DDL).write.parquet(path)
@@ -310,6 +478,21 @@ class HistogramForest:
         discard(spark, path)
         return bounds, trees
 
+    def one_by_one(self, blocks: DataFrame, sizes: list[int], weights: dict[int, list[float]], roots: dict[int, Leaf], scale: float) -> list[Tree]:
+        """Every tree grown by one task, which reads all blocks; a task has several trees where samples are small."""
+        spark, plan = blocks.sparkSession, plan_of(blocks, sizes)
+        path = working_path(spark, "forest-lines")
+        blocks.mapInArrow(line_task(plan), BLOCKS_DDL).write.parquet(path)
+        most = max(r.n for r in roots.values())
+        together = max(1, min(TASK_BYTES // (max(1, most) * (plan.row_bytes + 1)), self.trees // TASKS))
+        groups = [list(range(a, min(self.trees, a + together))) for a in range(0, self.trees, together)]
+        whole = spark.read.schema(BLOCKS_DDL).parquet(path).coalesce(1)
+        task = trees_task(plan, groups, {t: (r.g, r.h, r.n) for t, r in roots.items()}, weights, scale, self)
+        grown = functools.reduce(DataFrame.unionAll, [whole] * len(groups)).mapInArrow(task, TREES_DDL).toArrow().to_pylist()
+        discard(spark, path)
+        out = {r["tree"]: Tree(*(np.frombuffer(r[c], kind).tolist() for c, kind in (("feature", np.int64), ("cut", np.int64), ("left", np.int64), ("value", float)))) for r in grown}
+        return [out[t] for t in range(self.trees)]
+
     def samples(self, blocks: DataFrame, width: int) -> tuple[dict[int, list[float]], dict[int, Leaf]]:
         """Class weights and root of every tree's sample."""
         found = blocks.mapInArrow(sample_task(width, self.trees, self.seed), SAMPLES_DDL).groupBy("tree", "label").agg(F.sum("draws").alias("draws"), F.sum("rows").alias("rows")).collect()
@@ -337,6 +520,8 @@ class HistogramForest:
         weights, leaves = self.samples(blocks, width)
         most = max(max(w) for w in weights.values())
         scale = 2.0 ** min(FIXED_POINT_BITS, 61 - math.ceil(math.log2(max(1.0, 12 * rows * most))))
+        if max(leaf.n for leaf in leaves.values()) <= LOCAL_ROWS:
+            return self.one_by_one(blocks, sizes, weights, leaves, scale)
         trees = {t: Tree() for t in range(self.trees)}
         # (tree, node) -> sums and place, of open nodes alone: all trees' nodes would be hundreds of MB in the driver.
         known = {(t, 0): (leaf, 1) for t, leaf in leaves.items()}
@@ -355,8 +540,8 @@ class HistogramForest:
             trees[t].value[0] = share(leaf.g, leaf.h)
         while open_nodes:
             worth = [k for k in open_nodes if known[k][0].n >= 2 * self.min_rows and mixed(known[k][0]) and known[k][1].bit_length() <= self.depth]
-            many = [k for k in worth if known[k][0].n > LOCAL_ROWS]
-            few = [k for k in worth if known[k][0].n <= LOCAL_ROWS]
+            many = [k for k in worth if known[k][0].n > min(LOCAL_ROWS, GROUP_ROWS)]
+            few = [k for k in worth if known[k][0].n <= min(LOCAL_ROWS, GROUP_ROWS)]
             splits, enough = [], self.few(width)
             for lo, hi in ((0, enough), (enough, width)):  # nodes that their first features do not split try the others
                 at_once, waiting, many = max(1, MAX_CELLS // (max(1, hi - lo) * 256)), many if hi > lo else [], []

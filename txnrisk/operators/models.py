@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.operators.boosting import HistogramBoosting
-from txnrisk.operators.forest import KEY, HistogramForest, row_key
+from txnrisk.operators.forest import KEY, HistogramForest, row_key, scored
 from txnrisk.operators.preprocess import Preprocess
-from txnrisk.session import shared_folder, working_path
+from txnrisk.session import shared_folder, stage, working_path
 
 SEED = 42
 WEIGHT = "_weight"
@@ -106,7 +106,9 @@ def fit_on(
     elif weight is not None:
         table = table.withColumn(WEIGHT, weight)
         estimator.setWeightCol(WEIGHT)
-    return PipelineModel([*ready.stages, _without_summary(estimator.fit(table.repartition(_partitions(rows))), spark)])
+    if not binned(estimator):
+        table = table.repartition(_partitions(rows))
+    return PipelineModel([*ready.stages, _without_summary(estimator.fit(table), spark)])
 
 
 def fit_estimator(
@@ -116,7 +118,15 @@ def fit_estimator(
     """Fit preprocessing (unless given fitted) and estimator on ``train`` only."""
     ready = preprocess if isinstance(preprocess, PipelineModel) else preprocess.fit(train)
     weight = weight_column(train.select(F.col(label).alias("label"))) if balanced else None
-    return fit_on(feature_table(train, ready, label), train.count(), ready, family, weight)
+    rows = train.count()
+    estimator = family if hasattr(family, "fit") else family(rows)
+    table = feature_table(train, ready, label)
+    return fit_on(stage(table, "features") if binned(estimator) else table, rows, ready, estimator, weight)
+
+
+def binned(estimator: Estimator) -> bool:
+    """Whether the estimator makes a table of its own, which does not depend on partitions, from a few passes."""
+    return isinstance(estimator, (HistogramBoosting, HistogramForest))
 
 
 def _without_summary(model, spark: SparkSession):
@@ -144,6 +154,9 @@ def fit_candidate(train: DataFrame, candidate: Candidate, include_history: bool
 
 def score(model: PipelineModel, df: DataFrame, name: str = "fraud_score") -> DataFrame:
     """All columns of ``df`` plus the probability of the positive class."""
+    if hasattr(model.stages[-1], "tables"):  # a forest's trees are large: all rows of a batch pass one tree before the next
+        out = PipelineModel(model.stages[:-1]).transform(df)
+        return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name], scored(out, model.stages[-1].tables).alias(name))
     out = model.transform(df)
     positive = vector_to_array("probability")[1] if "probability" in out.columns else F.col("prediction")
     return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name], positive.alias(name))
