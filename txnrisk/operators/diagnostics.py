@@ -244,7 +244,7 @@ def permutation_importance(
     # Shuffled copies are scored once; the unshuffled scores' ranges serve them all, for ranges only balance load.
     bounds = K.value_bounds(plain, "score", rows=rows)
     base = M.evaluate(plain, 0.5, bounds=bounds).select("average_precision").first()[0]
-    scored = score(permuted(validation, features, repeats, seed, rows=rows)).select("feature", "repeat", "label", "score")
+    scored = stage(score(permuted(validation, features, repeats, seed, rows=rows)).select("feature", "repeat", "label", "score"), "permuted-scores")
     aps = M.evaluate(scored, 0.5, groups=["feature", "repeat"], group_limit=len(features) * repeats, bounds=bounds)
     drop = F.lit(base) - F.col("average_precision")
     return (

@@ -22,6 +22,15 @@ from txnrisk.sources.schema import check_inputs
 UNKNOWN = "Unknown"  # fixed value: stands for a missing category
 
 
+def fitted_variants(df: DataFrame, scales: list[bool]) -> dict[bool, PipelineModel]:
+    """``Preprocess(scale)`` fitted for every wanted ``scale``: statistics and categories do not depend on it and are learned once."""
+    out: dict[bool, PipelineModel] = {}
+    stats = Preprocess().statistics(df) if scales else {}
+    for scale in scales:
+        out[scale] = Preprocess(scale).assembled(df, stats, next(iter(out.values()), None))
+    return out
+
+
 def number_sql(x: float) -> str:
     return f"{float(x)!r}D"
 
@@ -59,7 +68,10 @@ class Preprocess(Estimator):
         return SQLTransformer(statement=FT.feature_select(self.include_history, self.include_keyword))
 
     def _fit(self, df: DataFrame) -> PipelineModel:
-        stats = self.statistics(df)
+        return self.assembled(df, self.statistics(df))
+
+    def assembled(self, df: DataFrame, stats: dict[str, dict], like: PipelineModel | None = None) -> PipelineModel:
+        """The stages from known statistics; the category stages are those of ``like``, a fit of the same inputs, if given."""
         cats = FT.categorical_features(self.include_keyword)
         select, vector = [], []
         for n, s in stats.items():
@@ -75,6 +87,9 @@ class Preprocess(Estimator):
         select += [f"coalesce({FT.PREFIX}{c}, '{UNKNOWN}') AS c_{c}" for c in cats]
         features = self._features()
         filled = SQLTransformer(statement=f"SELECT *, {', '.join(select)} FROM __THIS__")
+        join = VectorAssembler(inputCols=vector + [f"o_{c}" for c in cats], outputCol=self.output)
+        if like is not None:
+            return PipelineModel([features, filled, *like.stages[2:-1], join])
         ready = filled.transform(features.transform(df.select(*self.inputs())))
         # Columns with very many values are numbered by a stored dictionary instead of a list in the stage.
         many = many_valued(ready, [f"c_{c}" for c in cats])
@@ -92,7 +107,6 @@ class Preprocess(Estimator):
             index = CategoryIndex.fit(ready, {c: f"i_{c[2:]}" for c in many})
             hot = OneHotEncoder(inputCols=[f"i_{c[2:]}" for c in many], outputCols=[f"o_{c[2:]}" for c in many], dropLast=True, handleInvalid="keep").fit(index.transform(ready))
             stages += [index, hot]
-        join = VectorAssembler(inputCols=vector + [f"o_{c}" for c in cats], outputCol=self.output)
         return PipelineModel([*stages, join])
 
     def _scaled(self, value: str, mean: float, std: float) -> str:

@@ -887,7 +887,7 @@ def fixed_coeff_score(spark, sf_dir):
     return rounded(S.with_flags(out, 0.3, 0.9))
 
 
-_STORED: dict[tuple[str, str], str] = {}  # (application, tables) -> stored transactions
+_STORED: dict[tuple[str, str], tuple[str, SP.Cuts]] = {}  # (application, tables) -> stored transactions and their cuts
 _FITTED: dict[tuple[str, str], dict] = {}  # (application, tables) -> every candidate, fitted
 
 
@@ -900,9 +900,9 @@ def stored_txn(spark, sf_dir) -> tuple[DataFrame, SP.Cuts]:
     if key not in _STORED:
         path = working_path(spark, "txn")
         write_by_month(T.transactions(spark, sf_dir), path)
-        _STORED[key] = path
-    txn = spark.read.parquet(_STORED[key]).drop("txn_month")
-    return txn, SP.find_cuts(txn)
+        _STORED[key] = path, SP.find_cuts(spark.read.parquet(path))
+    path, cuts = _STORED[key]
+    return spark.read.parquet(path).drop("txn_month"), cuts
 
 
 def fitted_candidates(spark, sf_dir) -> dict:
@@ -1020,7 +1020,7 @@ def candidate_comparison(spark, sf_dir):
     txn, cuts = stored_txn(spark, sf_dir)
     train = txn.where(cuts.condition("train"))
     fitted = fitted_candidates(spark, sf_dir)
-    forest = IsolationForest.fit(train)
+    forest = IsolationForest.fit(train, preprocess=TR.scaled_preprocess(fitted))
     anomalies = stage(forest.score(train).select("anomaly_score"), "anomaly-scores")
     cutoff = K.exact_quantiles(anomalies, {"a": (F.col("anomaly_score"), [0.9])})["a"][0]
     prior = float(train.agg(F.avg("label")).first()[0])

@@ -10,6 +10,8 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,8 @@ from txnrisk.operators import scoring as S
 from txnrisk.operators import split as SP
 from txnrisk.operators.analytics import template_rows
 from txnrisk.operators.iforest import IsolationForest
-from txnrisk.operators.preprocess import Preprocess
+from txnrisk.operators.boosting import bin_bounds
+from txnrisk.operators.preprocess import fitted_variants
 from txnrisk.session import build_session, stage, tune
 from txnrisk.sources import readers as R
 from txnrisk.sources import writers as W
@@ -57,6 +60,17 @@ def long_form(wide: DataFrame) -> DataFrame:
     return wide.select(*SCORE_KEYS, F.explode(F.array(*cells)).alias("m")).select(*SCORE_KEYS, "m.*")
 
 
+def feature_bounds(table: DataFrame) -> list:
+    """Bounds of bins of a feature table's columns."""
+    rows = table.select(vector_to_array("features").alias("x"))
+    return bin_bounds(rows, rows.select(F.size("x").alias("n")).first()["n"])
+
+
+def scaled_preprocess(fitted: dict) -> PipelineModel | None:
+    """The scaled preprocessing of the fitted candidates, if one has it: the isolation forest takes the same."""
+    return next((PipelineModel(fitted[name].stages[:-1]) for name, c in MD.candidates().items() if c.scale and name in fitted), None)
+
+
 def fit_all(train: DataFrame, names: list[str] | None = None, parallel: int = 4) -> dict:
     """Every candidate, ``parallel`` at a time.
 
@@ -64,16 +78,24 @@ def fit_all(train: DataFrame, names: list[str] | None = None, parallel: int = 4)
     """
     chosen = {k: v for k, v in MD.candidates().items() if names is None or k in names}
     rows, weight = train.count(), MD.weight_column(train.select("label"))
-    ready = {scale: Preprocess(scale).fit(train) for scale in {c.scale for c in chosen.values()}}
+    ready = fitted_variants(train, sorted({c.scale for c in chosen.values()}))
     tables = {scale: stage(MD.feature_table(train, model), "features") for scale, model in ready.items()}
-
-    def fit(c: MD.Candidate):
-        return MD.fit_on(tables[c.scale], rows, ready[c.scale], c.family, weight if c.balanced else None)
+    families = {name: c.family(rows) for name, c in chosen.items()}
+    # Ensembles cut the features of a table into the same bins, so these are found once.
+    binned = {chosen[name].scale for name, family in families.items() if MD.binned(family)} if rows else set()
+    bounds = {scale: feature_bounds(tables[scale]) for scale in binned}
+    for name, family in families.items():
+        if MD.binned(family):
+            family.bounds = bounds.get(chosen[name].scale)
+
+    def fit(name: str):
+        c = chosen[name]
+        return MD.fit_on(tables[c.scale], rows, ready[c.scale], families[name], weight if c.balanced else None)
 
     # Ensembles take longest and start first; the models come in the order of the candidates.
     longest = sorted(chosen, key=lambda name: [MD.boosting, MD.forest].index(chosen[name].family) if chosen[name].family in (MD.boosting, MD.forest) else 2)
     with ThreadPoolExecutor(parallel) as pool:
-        jobs = {name: pool.submit(inheritable_thread_target(train.sparkSession)(fit), chosen[name]) for name in longest}
+        jobs = {name: pool.submit(inheritable_thread_target(train.sparkSession)(fit), name) for name in longest}
         return {name: jobs[name].result() for name in chosen}
 
 
@@ -102,7 +124,7 @@ def run(
     tagged = SP.with_split(df, cuts)
 
     fitted = fit_all(train, names)
-    forest = IsolationForest.fit(train, trees=trees)
+    forest = IsolationForest.fit(train, trees=trees, preprocess=scaled_preprocess(fitted))
     # Scored once, in Python; the quantile reads the result several times.
     anomalies = stage(forest.score(train).select("anomaly_score"), "anomaly-scores")
     cutoff = K.exact_quantiles(anomalies, {"a": (F.col("anomaly_score"), [REVIEW_QUANTILE])})["a"][0]
