@@ -190,8 +190,10 @@ def best_cut(below: np.ndarray, leaf: Leaf, min_rows: int, scale: float) -> tupl
     return at, (float(g[at]), float(h[at]), int(n[at])), (float(rg[at]), float(rh[at]), int(rn[at]))
 
 
-def grow_sample(plan: Lines, codes: list[np.ndarray], drawn: np.ndarray, root: Leaf, unit: np.ndarray, scale: float, tree: int, forest: HistogramForest) -> Tree:
+def grow_sample(plan: Lines, codes: list[np.ndarray], drawn: np.ndarray, unit: np.ndarray, scale: float, tree: int, forest: HistogramForest) -> Tree:
     """The tree of one sample; ``drawn``: draws + 16 * label of every row."""
+    count = np.bincount(drawn, minlength=32)
+    root = Leaf(float(count[16:] @ unit[16:]) / scale, float(count @ unit) / scale, len(drawn))
     width, out = len(plan.sizes), Tree(value=[root.g / root.h if root.h else 0.0])
     open_nodes = [(0, np.arange(len(drawn), dtype=np.int32), 1, root)]
     while open_nodes:
@@ -287,7 +289,7 @@ TREES = pa.schema([("tree", pa.int64()), *((c, pa.binary()) for c in ("feature",
 TREES_DDL = "tree long, feature binary, cut binary, left binary, value binary"
 
 
-def trees_task(plan: Lines, groups: list[list[int]], roots: dict[int, tuple], weights: dict[int, list[float]], scale: float, forest: HistogramForest):
+def trees_task(plan: Lines, groups: list[list[int]], weights: dict[int, list[float]], scale: float, forest: HistogramForest):
     """Task over all blocks of codes: the trees of the group with the number of its partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = groups[TaskContext.get().partitionId()]
@@ -305,7 +307,7 @@ def trees_task(plan: Lines, groups: list[list[int]], roots: dict[int, tuple], we
             columns = held.pop(t)
             for k, part in enumerate(columns):
                 columns[k] = np.concatenate(part)
-            tree = grow_sample(plan, columns[:-1], columns[-1], Leaf(*roots[t]), weights_of(weights[t], scale), scale, t, forest)
+            tree = grow_sample(plan, columns[:-1], columns[-1], weights_of(weights[t], scale), scale, t, forest)
             cells = [np.array(x, kind).tobytes() for x, kind in ((tree.feature, np.int64), (tree.cut, np.int64), (tree.left, np.int64), (tree.value, float))]
             yield as_batch([(t, *cells)], TREES)
     return run
@@ -487,7 +489,7 @@ class HistogramForest:
         together = max(1, min(TASK_BYTES // (max(1, most) * (plan.row_bytes + 1)), self.trees // TASKS))
         groups = [list(range(a, min(self.trees, a + together))) for a in range(0, self.trees, together)]
         whole = spark.read.schema(BLOCKS_DDL).parquet(path).coalesce(1)
-        task = trees_task(plan, groups, {t: (r.g, r.h, r.n) for t, r in roots.items()}, weights, scale, self)
+        task = trees_task(plan, groups, weights, scale, self)
         grown = functools.reduce(DataFrame.unionAll, [whole] * len(groups)).mapInArrow(task, TREES_DDL).toArrow().to_pylist()
         discard(spark, path)
         out = {r["tree"]: Tree(*(np.frombuffer(r[c], kind).tolist() for c, kind in (("feature", np.int64), ("cut", np.int64), ("left", np.int64), ("value", float)))) for r in grown}
